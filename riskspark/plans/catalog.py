@@ -13,8 +13,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.operators import explore, quality
+from riskspark.operators import explore, export, features, forest, quality, resolution
 from riskspark.plans.cache import memoized
+from riskspark.schema import FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN, PARITY_TOLERANCE
+from riskspark.session import shared_path
 from riskspark.sources.incidents import incidents as incidents_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +110,117 @@ def q_incident_snapshot(spark, sf_dir):
     return explore.incident_snapshot(cleaned_incidents(spark, sf_dir))
 
 
+# --- model -------------------------------------------------------------------
+
+def train_incidents(spark, sf_dir):
+    return features.train_part(cleaned_incidents(spark, sf_dir))
+
+
+def test_incidents(spark, sf_dir):
+    return features.test_part(cleaned_incidents(spark, sf_dir))
+
+
+def feature_model(spark, sf_dir):
+    return memoized(spark, sf_dir, "feature_model",
+                    lambda: features.fit_features(train_incidents(spark, sf_dir)))
+
+
+def resolution_model(spark, sf_dir):
+    return memoized(spark, sf_dir, "resolution_model",
+                    lambda: resolution.fit_resolution_model(
+                        train_incidents(spark, sf_dir), feature_model(spark, sf_dir)))
+
+
+def saved_resolution_model(spark, sf_dir) -> str:
+    """Folder of the saved model in the shared checkpoint area."""
+    return memoized(spark, sf_dir, "saved_resolution_model",
+                    lambda: resolution.save_model(
+                        resolution_model(spark, sf_dir),
+                        shared_path(spark, "models", "resolution", unique=True)))
+
+
+def forest_nodes(spark, sf_dir):
+    def build():
+        path = export.forest_stage_path(saved_resolution_model(spark, sf_dir),
+                                        resolution_model(spark, sf_dir))
+        return export.model_nodes(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
+    return memoized(spark, sf_dir, "forest_nodes", build)
+
+
+def delta_table(spark, sf_dir):
+    return memoized(spark, sf_dir, "model_deltas",
+                    lambda: export.model_deltas(spark, feature_model(spark, sf_dir))
+                    .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def q_label_index(spark, sf_dir):
+    return features.model_labels(spark, feature_model(spark, sf_dir))
+
+
+def q_encoded_features(spark, sf_dir):
+    return features.encoded_features(feature_model(spark, sf_dir), cleaned_incidents(spark, sf_dir))
+
+
+def q_train_test_split(spark, sf_dir):
+    out = features.split_summary(cleaned_incidents(spark, sf_dir))
+    return out.select("split", "incident_count", _mean("mean_resolution_hours"))
+
+
+def _rounded_metrics(df):
+    return df.select("evaluated_rows", _mean("rmse"), _mean("mae"), _mean("r2"))
+
+
+def q_mean_baseline_metrics(spark, sf_dir):
+    return _rounded_metrics(resolution.mean_baseline_metrics(
+        train_incidents(spark, sf_dir), test_incidents(spark, sf_dir)))
+
+
+def q_model_deltas(spark, sf_dir):
+    return delta_table(spark, sf_dir)
+
+
+def q_features_from_deltas(spark, sf_dir):
+    return export.features_from_deltas(cleaned_incidents(spark, sf_dir), delta_table(spark, sf_dir))
+
+
+def q_score_incidents(spark, sf_dir):
+    return resolution.score(resolution_model(spark, sf_dir), cleaned_incidents(spark, sf_dir))
+
+
+def q_model_metrics(spark, sf_dir):
+    scored = resolution_model(spark, sf_dir).transform(test_incidents(spark, sf_dir))
+    return _rounded_metrics(resolution.regression_metrics(scored, LABEL_COLUMN, "prediction"))
+
+
+def q_reload_parity(spark, sf_dir):
+    reloaded = resolution.load_model(saved_resolution_model(spark, sf_dir))
+    data = cleaned_incidents(spark, sf_dir)
+    return forest.parity(resolution.raw_predictions(resolution_model(spark, sf_dir), data),
+                         resolution.raw_predictions(reloaded, data), PARITY_TOLERANCE)
+
+
+def q_model_nodes(spark, sf_dir):
+    return forest_nodes(spark, sf_dir)
+
+
+def q_model_summary(spark, sf_dir):
+    return export.model_summary(forest_nodes(spark, sf_dir),
+                                features.feature_size(feature_model(spark, sf_dir)))
+
+
+def q_forest_score(spark, sf_dir):
+    slots = export.features_from_deltas(cleaned_incidents(spark, sf_dir), delta_table(spark, sf_dir))
+    return forest.forest_predictions(forest.slot_map(slots), forest_nodes(spark, sf_dir),
+                                     FOREST_TREES, FOREST_DEPTH)
+
+
+def q_forest_parity(spark, sf_dir):
+    data = cleaned_incidents(spark, sf_dir)
+    return forest.parity(q_forest_score(spark, sf_dir),
+                         resolution.raw_predictions(resolution_model(spark, sf_dir), data),
+                         PARITY_TOLERANCE)
+
+
 QUERIES: dict[str, Query] = {
     "incidents": q_incidents,
     "validate_incidents": q_validate_incidents,
@@ -123,4 +236,17 @@ QUERIES: dict[str, Query] = {
     "avg_loss_by_attack": q_avg_loss_by_attack,
     "distinct_options": q_distinct_options,
     "incident_snapshot": q_incident_snapshot,
+    "label_index": q_label_index,
+    "encoded_features": q_encoded_features,
+    "train_test_split": q_train_test_split,
+    "mean_baseline_metrics": q_mean_baseline_metrics,
+    "model_deltas": q_model_deltas,
+    "features_from_deltas": q_features_from_deltas,
+    "score_incidents": q_score_incidents,
+    "model_metrics": q_model_metrics,
+    "reload_parity": q_reload_parity,
+    "model_nodes": q_model_nodes,
+    "model_summary": q_model_summary,
+    "forest_score": q_forest_score,
+    "forest_parity": q_forest_parity,
 }

@@ -112,6 +112,47 @@ def _mean(expr: str, alias: str) -> str:
 
 COUNTRIES = _sql_list(SELECTED_COUNTRIES)
 
+_CELLS = "\n  UNION ALL ".join(
+    f"SELECT incident_id, '{c}' AS column_name, {i} AS block, {c} AS label FROM cleaned"
+    for i, c in enumerate(["country", "attack_type", "target_industry",
+                           "attack_source", "vulnerability_type", "defense_mechanism"]))
+
+# Indexer labels fitted on the training rows, slot offsets of each block.
+LABELS = _with(f""", cells AS (
+  {_CELLS}),
+train_counts AS (
+  SELECT column_name, block, label, count(*) AS n
+  FROM cells WHERE incident_id % {TEST_FOLDS} <> 0 AND label IS NOT NULL
+  GROUP BY column_name, block, label),
+labels AS (
+  SELECT column_name, block, label,
+         CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, label) - 1 AS INTEGER)
+           AS label_index
+  FROM train_counts),
+sizes AS (SELECT column_name, block, count(*) AS n FROM labels GROUP BY column_name, block),
+offsets AS (
+  SELECT column_name, block, n,
+         4 + coalesce(sum(n + 1) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING
+                                       AND 1 PRECEDING), 0) AS off
+  FROM sizes)
+""".replace("WITH ", "WITH ", 1)).replace("\n, cells AS", ", cells AS")
+
+ENCODED = LABELS + """
+SELECT incident_id, CAST(feature_index AS INTEGER) AS feature_index, value FROM (
+  SELECT incident_id, 0 AS feature_index, CAST(year AS DOUBLE) AS value FROM cleaned
+  UNION ALL SELECT incident_id, 1, financial_loss_million FROM cleaned
+  UNION ALL SELECT incident_id, 2, CAST(affected_users AS DOUBLE) FROM cleaned
+  UNION ALL SELECT incident_id, 3, loss_per_user FROM cleaned
+  UNION ALL
+  SELECT c.incident_id, o.off + coalesce(l.label_index, o.n), CAST(1 AS DOUBLE)
+  FROM cells c JOIN offsets o ON o.column_name = c.column_name
+  LEFT JOIN labels l ON l.column_name = c.column_name AND l.label = c.label)
+WHERE value <> 0"""
+
+TRAIN_TEST = f"""
+, train AS (SELECT * FROM cleaned WHERE incident_id % {TEST_FOLDS} <> 0),
+test AS (SELECT * FROM cleaned WHERE incident_id % {TEST_FOLDS} = 0)"""
+
 SQL: dict[str, str] = {
     "incidents": "WITH " + RAW + "\nSELECT * FROM raw",
     "validate_incidents": "WITH " + RAW + f"""
@@ -161,6 +202,33 @@ SELECT DISTINCT column_name, value FROM (
   UNION ALL SELECT 'vulnerability_type', vulnerability_type FROM cleaned
   UNION ALL SELECT 'defense_mechanism', defense_mechanism FROM cleaned)
 WHERE value IS NOT NULL ORDER BY 1, 2"""),
+    "label_index": LABELS + "SELECT column_name, label, label_index FROM labels",
+    "encoded_features": ENCODED,
+    "features_from_deltas": ENCODED,
+    "model_deltas": LABELS + """
+SELECT '__baseline__' AS column_name, CAST(NULL AS VARCHAR) AS label,
+       CAST(off + n AS INTEGER) AS feature_index, CAST(1 AS DOUBLE) AS delta FROM offsets
+UNION ALL
+SELECT l.column_name, l.label, CAST(o.off + l.label_index AS INTEGER), CAST(1 AS DOUBLE)
+FROM labels l JOIN offsets o ON o.column_name = l.column_name
+UNION ALL
+SELECT l.column_name, l.label, CAST(o.off + o.n AS INTEGER), CAST(-1 AS DOUBLE)
+FROM labels l JOIN offsets o ON o.column_name = l.column_name
+UNION ALL
+SELECT column_name, CAST(NULL AS VARCHAR), CAST(feature_index AS INTEGER), CAST(1 AS DOUBLE)
+FROM (VALUES ('year', 0), ('financial_loss_million', 1), ('affected_users', 2),
+             ('loss_per_user', 3)) AS numeric_columns(column_name, feature_index)""",
+    "train_test_split": _with(f"""
+SELECT CASE WHEN incident_id % {TEST_FOLDS} = 0 THEN 'test' ELSE 'train' END AS split,
+       CAST(count(*) AS BIGINT) AS incident_count,
+       {_mean('avg(resolution_time_hours)', 'mean_resolution_hours')}
+FROM cleaned GROUP BY 1"""),
+    "mean_baseline_metrics": _with(TRAIN_TEST + f"""
+SELECT CAST(count(*) AS BIGINT) AS evaluated_rows,
+       {_mean('sqrt(avg((resolution_time_hours - m) * (resolution_time_hours - m)))', 'rmse')},
+       {_mean('avg(abs(resolution_time_hours - m))', 'mae')},
+       {_mean('1 - avg((resolution_time_hours - m) * (resolution_time_hours - m)) / var_pop(resolution_time_hours)', 'r2')}
+FROM test, (SELECT avg(resolution_time_hours) AS m FROM train) AS train_mean"""),
     "incident_snapshot": _with("""
 SELECT incident_id, country, year, attack_type, target_industry,
        financial_loss_million, affected_users, resolution_time_hours
