@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.schema import (CATEGORICAL_COLUMNS, SNAPSHOT_COLUMNS,
-                              SNAPSHOT_ROWS)
+from riskspark.schema import CATEGORICAL_COLUMNS, SNAPSHOT_COLUMNS, SNAPSHOT_ROWS
 
 
 def filter_countries(df: DataFrame, countries: Sequence[str] | None) -> DataFrame:

@@ -13,11 +13,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.operators import explore, export, features, forest, quality, resolution
+from riskspark.functions.scalar import postprocess_prediction
+from riskspark.operators import (explore, export, features, forest, quality,
+                                 resolution, segment)
 from riskspark.plans.cache import memoized
 from riskspark.schema import FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN, PARITY_TOLERANCE
 from riskspark.session import shared_path
+from riskspark.sources import files
 from riskspark.sources.incidents import incidents as incidents_view
+from riskspark.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -221,6 +225,95 @@ def q_forest_parity(spark, sf_dir):
                          PARITY_TOLERANCE)
 
 
+def q_clip_round(spark, sf_dir):
+    """Service post-processing (clip at 0, round to 2, cast) on the mean model.
+
+    ``baseline_hours`` is the mean-baseline prediction; ``excess_hours`` is
+    how far each incident ran past it (negative differences clip to 0).
+    """
+    train_mean = train_incidents(spark, sf_dir).agg(F.avg(LABEL_COLUMN)).scalar()
+    return cleaned_incidents(spark, sf_dir).select(
+        "incident_id",
+        postprocess_prediction(train_mean).alias("baseline_hours"),
+        postprocess_prediction(F.col(LABEL_COLUMN) - train_mean).alias("excess_hours"))
+
+
+# --- sources and sinks ------------------------------------------------------
+
+def q_incidents_csv_roundtrip(spark, sf_dir):
+    path = files.write_csv(cleaned_incidents(spark, sf_dir),
+                           shared_path(spark, "tables", "incidents_csv", unique=True))
+    return files.read_incidents_csv(spark, path)
+
+
+def q_incidents_json_roundtrip(spark, sf_dir):
+    path = files.write_json(cleaned_incidents(spark, sf_dir),
+                            shared_path(spark, "tables", "incidents_json", unique=True))
+    return files.read_incidents_json(spark, path)
+
+
+# --- segmentation -----------------------------------------------------------
+
+def segmentation(spark, sf_dir):
+    """(segmented incidents, profile assignment), fitted once per application."""
+    def build():
+        segmented, assignment = segment.segment(spark, cleaned_incidents(spark, sf_dir))
+        return segmented.persist(StorageLevel.MEMORY_AND_DISK), assignment
+    return memoized(spark, sf_dir, "segmentation", build)
+
+
+def q_segment_incidents(spark, sf_dir):
+    return segmentation(spark, sf_dir)[0]
+
+
+def q_profile_assignment(spark, sf_dir):
+    return segmentation(spark, sf_dir)[1]
+
+
+def q_risk_profile_summary(spark, sf_dir):
+    return segment.profile_summary(segmentation(spark, sf_dir)[0])
+
+
+def q_profiles_by_count(spark, sf_dir):
+    return segment.profiles_by_count(segmentation(spark, sf_dir)[0])
+
+
+def q_profile_count(spark, sf_dir):
+    return segment.profile_count(segmentation(spark, sf_dir)[0])
+
+
+def q_segmented_snapshot(spark, sf_dir):
+    return explore.incident_snapshot(segmentation(spark, sf_dir)[0],
+                                     list(explore.SNAPSHOT_COLUMNS) + ["risk_profile"])
+
+
+def q_silhouette_by_k(spark, sf_dir):
+    vectors, _ = segment.scaled(cleaned_incidents(spark, sf_dir))
+    try:
+        return segment.silhouette_by_k(spark, vectors)
+    finally:
+        vectors.unpersist()
+
+
+def q_segmented_sink(spark, sf_dir):
+    path = files.write_parquet(segmentation(spark, sf_dir)[0],
+                               shared_path(spark, "tables", "segmented", unique=True),
+                               partition_by=["risk_profile"])
+    return files.read_parquet(spark, path)
+
+
+# --- streaming --------------------------------------------------------------
+
+def q_stream_score(spark, sf_dir):
+    """Test-split incidents arrive as JSON files and are scored as a stream."""
+    root = shared_path(spark, "streams", "score", unique=True)
+    arrivals = test_incidents(spark, sf_dir).drop(LABEL_COLUMN, "loss_per_user")
+    files.write_json(arrivals.repartition(4, "incident_id"), f"{root}/source")
+    schema = arrivals.schema
+    return scoring.run_until_drained(spark, resolution_model(spark, sf_dir), f"{root}/source",
+                                     schema, f"{root}/sink", f"{root}/checkpoint")
+
+
 QUERIES: dict[str, Query] = {
     "incidents": q_incidents,
     "validate_incidents": q_validate_incidents,
@@ -249,4 +342,16 @@ QUERIES: dict[str, Query] = {
     "model_summary": q_model_summary,
     "forest_score": q_forest_score,
     "forest_parity": q_forest_parity,
+    "clip_round": q_clip_round,
+    "incidents_csv_roundtrip": q_incidents_csv_roundtrip,
+    "incidents_json_roundtrip": q_incidents_json_roundtrip,
+    "segment_incidents": q_segment_incidents,
+    "profile_assignment": q_profile_assignment,
+    "risk_profile_summary": q_risk_profile_summary,
+    "profiles_by_count": q_profiles_by_count,
+    "profile_count": q_profile_count,
+    "segmented_snapshot": q_segmented_snapshot,
+    "silhouette_by_k": q_silhouette_by_k,
+    "segmented_sink": q_segmented_sink,
+    "stream_score": q_stream_score,
 }

@@ -229,6 +229,13 @@ SELECT CAST(count(*) AS BIGINT) AS evaluated_rows,
        {_mean('avg(abs(resolution_time_hours - m))', 'mae')},
        {_mean('1 - avg((resolution_time_hours - m) * (resolution_time_hours - m)) / var_pop(resolution_time_hours)', 'r2')}
 FROM test, (SELECT avg(resolution_time_hours) AS m FROM train) AS train_mean"""),
+    "clip_round": _with(TRAIN_TEST + """
+SELECT incident_id,
+       CAST(round(greatest(0.0, m), 2) AS DOUBLE) AS baseline_hours,
+       CAST(round(greatest(0.0, resolution_time_hours - m), 2) AS DOUBLE) AS excess_hours
+FROM cleaned, (SELECT avg(resolution_time_hours) AS m FROM train) AS train_mean"""),
+    "incidents_csv_roundtrip": _with("SELECT * FROM cleaned"),
+    "incidents_json_roundtrip": _with("SELECT * FROM cleaned"),
     "incident_snapshot": _with("""
 SELECT incident_id, country, year, attack_type, target_industry,
        financial_loss_million, affected_users, resolution_time_hours
