@@ -20,15 +20,15 @@ from riskspark.schema import (FOREST_DEPTH, FOREST_SEED, FOREST_TREES,
                               LABEL_COLUMN, PREDICTION_COLUMN)
 
 
-def forest_estimator() -> RandomForestRegressor:
+def forest_estimator(trees: int = FOREST_TREES, depth: int = FOREST_DEPTH,
+                     seed: int = FOREST_SEED) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol=FEATURES, labelCol=LABEL_COLUMN,
                                  predictionCol="prediction",
-                                 numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH,
-                                 seed=FOREST_SEED)
+                                 numTrees=trees, maxDepth=depth, seed=seed)
 
 
-def fit_resolution_model(train: DataFrame,
-                         features: PipelineModel | None = None) -> PipelineModel:
+def fit_resolution_model(train: DataFrame, features: PipelineModel | None = None,
+                         trees: int = FOREST_TREES, depth: int = FOREST_DEPTH) -> PipelineModel:
     """Fit feature stages (unless given) and the forest on ``train``.
 
     Bootstrap samples are drawn per partition, so the rows are placed by a
@@ -42,7 +42,7 @@ def fit_resolution_model(train: DataFrame,
                 .sortWithinPartitions("incident_id")
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        forest = forest_estimator().fit(prepared)
+        forest = forest_estimator(trees, depth).fit(prepared)
     finally:
         prepared.unpersist()
     return PipelineModel(stages=list(features.stages) + [forest])

@@ -1,0 +1,80 @@
+"""Dashboard query semantics: filters, NULL keys, ties, snapshot."""
+
+from __future__ import annotations
+
+from riskspark.operators import explore
+from riskspark.schema import INCIDENT_SCHEMA
+
+BASE = dict(country="A", year=2020, attack_type="DDoS", target_industry="Banking",
+            financial_loss_million=10.0, affected_users=10, attack_source="Insider",
+            vulnerability_type="Weak Passwords", defense_mechanism="Firewall",
+            resolution_time_hours=5.0)
+
+
+def frame(spark, rows):
+    data = []
+    for i, change in enumerate(rows):
+        row = dict(BASE, incident_id=i + 1)
+        row.update(change)
+        data.append(tuple(row[f.name] for f in INCIDENT_SCHEMA.fields))
+    return spark.createDataFrame(data, INCIDENT_SCHEMA)
+
+
+def test_empty_country_list_keeps_all(spark):
+    df = frame(spark, [{}, {"country": "B"}])
+    assert explore.filter_countries(df, []).count() == 2
+    assert explore.filter_countries(df, None).count() == 2
+
+
+def test_filter_matching_nothing(spark):
+    df = frame(spark, [{}, {"country": "B"}])
+    row = explore.filtered_kpis(df, ["Nowhere"]).first()
+    assert row["matching_incidents"] == 0
+    assert row["average_loss_million"] is None and row["average_resolution_hours"] is None
+
+
+def test_filtered_means(spark):
+    df = frame(spark, [{"financial_loss_million": 10.0}, {"financial_loss_million": 30.0},
+                       {"country": "B", "financial_loss_million": 100.0}])
+    row = explore.filtered_kpis(df, ["A"]).first()
+    assert row["matching_incidents"] == 2 and row["average_loss_million"] == 20.0
+
+
+def test_null_group_key_left_out_and_ties_by_key(spark):
+    df = frame(spark, [{"attack_type": "Phishing"}, {"attack_type": "DDoS"},
+                       {"attack_type": None}, {"attack_type": "Malware"},
+                       {"attack_type": "Malware"}])
+    out = [(r["attack_type"], r["incident_count"])
+           for r in explore.attack_distribution(df).collect()]
+    assert out == [("Malware", 2), ("DDoS", 1), ("Phishing", 1)]
+
+
+def test_average_loss_ascending(spark):
+    df = frame(spark, [{"attack_type": "X", "financial_loss_million": 5.0},
+                       {"attack_type": "Y", "financial_loss_million": 1.0}])
+    out = [r["attack_type"] for r in explore.average_loss_by_attack(df).collect()]
+    assert out == ["Y", "X"]
+
+
+def test_overview_counts_ignore_nulls(spark):
+    df = frame(spark, [{}, {"country": None}, {"country": "B", "attack_type": "X"}])
+    row = explore.overview_kpis(df).first()
+    assert (row["total_incidents"], row["countries"], row["attack_types"]) == (3, 2, 2)
+
+
+def test_by_year_sorted(spark):
+    df = frame(spark, [{"year": 2022}, {"year": 2016}, {"year": 2022}])
+    out = [(r["year"], r["incident_count"]) for r in explore.incidents_by_year(df).collect()]
+    assert out == [(2016, 1), (2022, 2)]
+
+
+def test_distinct_options_sorted_without_nulls(spark):
+    df = frame(spark, [{"country": "B"}, {"country": None}, {"country": "A"}])
+    out = [r["value"] for r in explore.distinct_options(df, ["country"]).collect()]
+    assert out == ["A", "B"]
+
+
+def test_snapshot_first_rows_by_id(spark):
+    df = frame(spark, [{} for _ in range(20)])
+    out = explore.incident_snapshot(df).collect()
+    assert [r["incident_id"] for r in out] == list(range(1, 13))
