@@ -17,7 +17,8 @@ from riskspark.functions.scalar import postprocess_prediction
 from riskspark.operators import (explore, export, features, forest, quality,
                                  resolution, segment)
 from riskspark.plans.cache import memoized
-from riskspark.schema import FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN, PARITY_TOLERANCE
+from riskspark.schema import (CLUSTER_FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN,
+                              PARITY_TOLERANCE)
 from riskspark.session import shared_path
 from riskspark.sources import files
 from riskspark.sources.incidents import incidents as incidents_view
@@ -288,7 +289,7 @@ def q_segmented_snapshot(spark, sf_dir):
 
 
 def q_silhouette_by_k(spark, sf_dir):
-    vectors, _ = segment.scaled(cleaned_incidents(spark, sf_dir))
+    vectors, _ = segment.scaled(cleaned_incidents(spark, sf_dir).select(*CLUSTER_FEATURES))
     try:
         return segment.silhouette_by_k(spark, vectors)
     finally:
