@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -35,6 +36,8 @@ from riskspark.schema import (CLUSTER_FEATURES, CLUSTER_K, CLUSTER_SEED,
                               SILHOUETTE_K_RANGE)
 
 SCALED = "scaled_features"
+# K-Means fits of the silhouette sweep submitted at the same time.
+SWEEP_CONCURRENCY = 4
 
 
 def scaler_pipeline() -> Pipeline:
@@ -63,10 +66,15 @@ def silhouette_by_k(spark: SparkSession, vectors: DataFrame,
     evaluator = ClusteringEvaluator(featuresCol=SCALED, predictionCol="cluster_id",
                                     metricName="silhouette",
                                     distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in ks:
+
+    def fit_and_score(k: int) -> tuple[int, float]:
         assigned = kmeans(k).fit(vectors).transform(vectors)
-        rows.append((k, float(evaluator.evaluate(assigned))))
+        return k, float(evaluator.evaluate(assigned))
+
+    # The fits are independent jobs over the same persisted vectors; running a
+    # few at once overlaps their per-iteration scheduling gaps.
+    with ThreadPoolExecutor(max_workers=min(SWEEP_CONCURRENCY, len(ks))) as pool:
+        rows = list(pool.map(fit_and_score, ks))
     schema = T.StructType([T.StructField("k", T.IntegerType(), False),
                            T.StructField("silhouette", T.DoubleType(), False)])
     return spark.createDataFrame(rows, schema)
