@@ -149,6 +149,11 @@ SELECT incident_id, CAST(feature_index AS INTEGER) AS feature_index, value FROM
   LEFT JOIN labels l ON l.column_name = c.column_name AND l.label = c.label)
 WHERE value <> 0"""
 
+PARITY_ORACLE = """
+SELECT CAST(count(*) AS BIGINT) AS compared, CAST(0 AS BIGINT) AS missing,
+       CAST(0 AS DOUBLE) AS max_difference, true AS within_tolerance
+FROM cleaned"""
+
 TRAIN_TEST = f"""
 , train AS (SELECT * FROM cleaned WHERE incident_id % {TEST_FOLDS} <> 0),
 test AS (SELECT * FROM cleaned WHERE incident_id % {TEST_FOLDS} = 0)"""
@@ -236,6 +241,10 @@ SELECT incident_id,
 FROM cleaned, (SELECT avg(resolution_time_hours) AS m FROM train) AS train_mean"""),
     "incidents_csv_roundtrip": _with("SELECT * FROM cleaned"),
     "incidents_json_roundtrip": _with("SELECT * FROM cleaned"),
+    # Parity invariants: every cleaned incident scored by both sides, none
+    # missing, identical predictions.
+    "reload_parity": _with(PARITY_ORACLE),
+    "forest_parity": _with(PARITY_ORACLE),
     "incident_snapshot": _with("""
 SELECT incident_id, country, year, attack_type, target_industry,
        financial_loss_million, affected_users, resolution_time_hours
