@@ -144,22 +144,29 @@ def saved_resolution_model(spark, sf_dir) -> str:
                         shared_path(spark, "models", "resolution", unique=True)))
 
 
+def exported_model(spark, sf_dir) -> str:
+    """Folder of the exported model tables (labels, deltas, nodes)."""
+    return memoized(spark, sf_dir, "exported_model",
+                    lambda: export.export_model(
+                        spark, resolution_model(spark, sf_dir),
+                        saved_resolution_model(spark, sf_dir),
+                        shared_path(spark, "models", "export", unique=True)))
+
+
 def forest_nodes(spark, sf_dir):
-    def build():
-        path = export.forest_stage_path(saved_resolution_model(spark, sf_dir),
-                                        resolution_model(spark, sf_dir))
-        return export.model_nodes(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
-    return memoized(spark, sf_dir, "forest_nodes", build)
+    return memoized(spark, sf_dir, "forest_nodes",
+                    lambda: export.read_export(spark, exported_model(spark, sf_dir), "model_nodes")
+                    .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def delta_table(spark, sf_dir):
     return memoized(spark, sf_dir, "model_deltas",
-                    lambda: export.model_deltas(spark, feature_model(spark, sf_dir))
+                    lambda: export.read_export(spark, exported_model(spark, sf_dir), "model_deltas")
                     .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def q_label_index(spark, sf_dir):
-    return features.model_labels(spark, feature_model(spark, sf_dir))
+    return export.read_export(spark, exported_model(spark, sf_dir), "model_labels")
 
 
 def q_encoded_features(spark, sf_dir):

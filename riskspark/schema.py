@@ -78,11 +78,6 @@ NA_TOKENS = [
 ]
 
 STRING_COLUMNS = CATEGORICAL_COLUMNS
-MODEL_COLUMNS = [
-    "country", "year", "attack_type", "target_industry",
-    "financial_loss_million", "affected_users", "attack_source",
-    "vulnerability_type", "defense_mechanism",
-]
 
 INCIDENT_SCHEMA = T.StructType([
     T.StructField("incident_id", T.LongType(), True),
@@ -110,6 +105,13 @@ MODEL_LABELS_SCHEMA = T.StructType([
     T.StructField("label_index", T.IntegerType(), False),
 ])
 
+MODEL_DELTAS_SCHEMA = T.StructType([
+    T.StructField("column_name", T.StringType(), False),
+    T.StructField("label", T.StringType(), True),
+    T.StructField("feature_index", T.IntegerType(), False),
+    T.StructField("delta", T.DoubleType(), False),
+])
+
 MODEL_NODES_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType(), False),
     T.StructField("node_id", T.IntegerType(), False),

@@ -129,3 +129,22 @@ def test_parity_reports_missing_and_difference(spark):
     assert not row["within_tolerance"]
     with pytest.raises(RuntimeError):
         forest.assert_parity(forest.parity(a, b, 1e-6))
+
+
+def test_score_from_exported_tables(spark, fitted, scratch):
+    cleaned, _, model, path = fitted
+    out = export.export_model(spark, model, path, f"{scratch}/export")
+    labels = export.read_export(spark, out, "model_labels")
+    assert labels.count() == sum(len(x) for x in features.indexer_of(model).labelsArray)
+    slots = export.features_from_deltas(cleaned, export.read_export(spark, out, "model_deltas"))
+    nodes = export.read_export(spark, out, "model_nodes")
+    mine = forest.forest_predictions(forest.slot_map(slots), nodes, TREES, DEPTH)
+    row = forest.parity(mine, resolution.raw_predictions(model, cleaned), PARITY_TOLERANCE).first()
+    assert row["missing"] == 0 and row["max_difference"] <= 1e-9
+
+
+def test_forest_size_is_checked(spark, fitted):
+    _, _, model, path = fitted
+    nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
+    with pytest.raises(ValueError):
+        forest.forest_literals(nodes, TREES, 1)  # claims depth 1: bound too small
