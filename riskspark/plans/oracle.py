@@ -107,7 +107,8 @@ def _with(body: str) -> str:
 
 
 def _mean(expr: str, alias: str) -> str:
-    return f"round({expr}, {MEAN_PLACES}) AS {alias}"
+    # "+ 0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding gives.
+    return f"(round({expr}, {MEAN_PLACES}) + CAST(0 AS DOUBLE)) AS {alias}"
 
 
 COUNTRIES = _sql_list(SELECTED_COUNTRIES)
@@ -118,7 +119,7 @@ _CELLS = "\n  UNION ALL ".join(
                            "attack_source", "vulnerability_type", "defense_mechanism"]))
 
 # Indexer labels fitted on the training rows, slot offsets of each block.
-LABELS = _with(f""", cells AS (
+LABELS = BASE + f""", cells AS (
   {_CELLS}),
 train_counts AS (
   SELECT column_name, block, label, count(*) AS n
@@ -135,7 +136,7 @@ offsets AS (
          4 + coalesce(sum(n + 1) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING
                                        AND 1 PRECEDING), 0) AS off
   FROM sizes)
-""".replace("WITH ", "WITH ", 1)).replace("\n, cells AS", ", cells AS")
+"""
 
 ENCODED = LABELS + """
 SELECT incident_id, CAST(feature_index AS INTEGER) AS feature_index, value FROM (
