@@ -7,6 +7,7 @@ computed once per application and data folder.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Country selection used by the filtered dashboard queries.
 SELECTED_COUNTRIES = ["NATION_3", "NATION_7", "NATION_12", "NATION_21"]
+# Micro-batches the stream-scoring query splits its arrivals into.
+STREAM_MICRO_BATCHES = 4
 # Means are rounded before comparison with another engine (summation order).
 MEAN_PLACES = 6
 
@@ -313,13 +316,19 @@ def q_segmented_sink(spark, sf_dir):
 # --- streaming --------------------------------------------------------------
 
 def q_stream_score(spark, sf_dir):
-    """Test-split incidents arrive as JSON files and are scored as a stream."""
+    """Test-split incidents arrive as JSON files and are scored as a stream.
+
+    The arrivals keep the table's own partitioning (one file per partition,
+    written in parallel); the stream takes them in about
+    ``STREAM_MICRO_BATCHES`` micro-batches.
+    """
     root = shared_path(spark, "streams", "score", unique=True)
     arrivals = test_incidents(spark, sf_dir).drop(LABEL_COLUMN, "loss_per_user")
-    files.write_json(arrivals.repartition(4, "incident_id"), f"{root}/source")
-    schema = arrivals.schema
+    files.write_json(arrivals, f"{root}/source")
+    per_batch = max(1, math.ceil(arrivals.rdd.getNumPartitions() / STREAM_MICRO_BATCHES))
     return scoring.run_until_drained(spark, resolution_model(spark, sf_dir), f"{root}/source",
-                                     schema, f"{root}/sink", f"{root}/checkpoint")
+                                     arrivals.schema, f"{root}/sink", f"{root}/checkpoint",
+                                     files_per_batch=per_batch)
 
 
 QUERIES: dict[str, Query] = {
