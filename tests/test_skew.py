@@ -51,3 +51,55 @@ def test_hot_group_counts_whole(spark):
     assert rows["HOT"] == 2000
     counts = explore.attack_distribution(df).collect()
     assert sum(r["incident_count"] for r in counts) == 3000
+
+
+def test_hot_customer_and_part_joins_are_split(spark, scratch):
+    """A customer with a third of the orders, a part with a third of the lines.
+
+    With broadcasts off, both joins are sort-merge; AQE must split the hot
+    partitions, and every order still comes out once.
+    """
+    from riskspark.sources.incidents import incidents
+    n = 30000
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997).alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"),
+        (F.col("id") % 1000 + 1000).cast("double").alias("o_totalprice"),
+        F.to_timestamp(F.lit("1996-01-01")).cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{scratch}/orders.parquet")
+    spark.range(997).select(F.col("id").alias("c_custkey"),
+                            (F.col("id") % 25).cast("int").alias("c_nationkey"),
+                            F.lit("BUILDING").alias("c_mktsegment")) \
+        .write.parquet(f"{scratch}/customer.parquet")
+    spark.range(25).select(F.col("id").cast("int").alias("n_nationkey"),
+                           F.concat(F.lit("N"), F.col("id").cast("string")).alias("n_name")) \
+        .write.parquet(f"{scratch}/nation.parquet")
+    spark.range(500).select(F.col("id").alias("p_partkey"), F.lit("SMALL").alias("p_type")) \
+        .write.parquet(f"{scratch}/part.parquet")
+    spark.range(4 * n).select(
+        (F.col("id") % n).alias("l_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 500).alias("l_partkey"),
+        F.lit(2.0).alias("l_quantity"), F.lit(1000.0).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag")).write.parquet(f"{scratch}/lineitem.parquet")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = incidents(spark, scratch)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows) == n and len({r["incident_id"] for r in rows}) == n
+    assert all(r["affected_users"] == 4 * 2 * 5000 for r in rows)
+    assert plan.count("SortMergeJoin(skew=true)") >= 2
