@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.functions.scalar import postprocess_prediction
+from riskspark.functions.scalar import loss_per_user, postprocess_prediction
 from riskspark.operators import (explore, export, features, forest, quality,
                                  resolution, segment)
 from riskspark.plans.cache import memoized
@@ -70,7 +70,6 @@ def q_clean_incidents(spark, sf_dir):
 
 
 def q_loss_per_user(spark, sf_dir):
-    from riskspark.functions.scalar import loss_per_user
     return raw_incidents(spark, sf_dir).select(
         "incident_id", loss_per_user().alias("loss_per_user"))
 
