@@ -1,0 +1,51 @@
+"""Command line: list, query, train, score."""
+
+from __future__ import annotations
+
+import json
+
+from conftest import SF_SMALL
+from riskspark.__main__ import main
+
+REQUESTS = [
+    dict(incident_id=1, country="NATION_3", year=2024, attack_type="1-URGENT",
+         target_industry="BUILDING", financial_loss_million=50.0, affected_users=100000,
+         attack_source="O", vulnerability_type="N", defense_mechanism="SMALL"),
+    dict(incident_id=2, country="Australia", year=2024, attack_type="DDoS",
+         target_industry="Banking", financial_loss_million=50.0, affected_users=100000,
+         attack_source="Hacker Group", vulnerability_type="Social Engineering",
+         defense_mechanism="AI-based Detection"),
+    dict(incident_id=3, country="", year=2031, attack_type="DDoS", target_industry="Banking",
+         financial_loss_million=-1.0, affected_users=0, attack_source="Insider",
+         vulnerability_type="Weak Passwords", defense_mechanism="Firewall"),
+]
+
+
+def test_list(capsys):
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.split()
+    assert "attack_distribution" in out and "stream_score" in out
+
+
+def test_query_to_parquet(spark, scratch):
+    assert main(["query", "attack_distribution", SF_SMALL, "--output", f"{scratch}/q"]) == 0
+    assert spark.read.parquet(f"{scratch}/q").count() == 5
+
+
+def test_train_then_score(spark, scratch, tmp_path):
+    model = f"{scratch}/model"
+    assert main(["train", SF_SMALL, "--model", model]) == 0
+    src = tmp_path / "requests"
+    src.mkdir()
+    (src / "part-0.json").write_text("\n".join(json.dumps(r) for r in REQUESTS))
+    assert main(["score", "--model", model, "--input", str(src), "--output", f"{scratch}/out"]) == 0
+    scored = spark.read.parquet(f"{scratch}/out/scored").orderBy("incident_id").collect()
+    assert [r["incident_id"] for r in scored] == [1, 2]  # unseen labels are still scored
+    assert all(r["predicted_resolution_time_hours"] >= 0 for r in scored)
+    rejected = spark.read.parquet(f"{scratch}/out/rejected").collect()
+    assert len(rejected) == 1
+    assert rejected[0]["reject_reasons"] == (
+        "country is empty;year outside 2015..2030;financial_loss_million is negative;"
+        "affected_users is below 1")
+    exported = spark.read.parquet(f"{model}_export/model_nodes")
+    assert exported.where("node_id = 0").count() == 150
