@@ -37,7 +37,7 @@ from riskspark.schema import (CLUSTER_FEATURES, CLUSTER_K, CLUSTER_SEED,
 
 SCALED = "scaled_features"
 # K-Means fits of the silhouette sweep submitted at the same time.
-SWEEP_CONCURRENCY = 4
+SWEEP_CONCURRENCY = 7
 
 
 def scaler_pipeline() -> Pipeline:

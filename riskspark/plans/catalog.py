@@ -222,15 +222,24 @@ def q_model_summary(spark, sf_dir):
                                 features.feature_size(feature_model(spark, sf_dir)))
 
 
+def exported_scores(spark, sf_dir):
+    """Predictions from the exported tables alone, persisted once per application."""
+    def build():
+        slots = export.features_from_deltas(cleaned_incidents(spark, sf_dir),
+                                            delta_table(spark, sf_dir))
+        return forest.forest_predictions(forest.slot_map(slots), forest_nodes(spark, sf_dir),
+                                         FOREST_TREES, FOREST_DEPTH) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+    return memoized(spark, sf_dir, "exported_scores", build)
+
+
 def q_forest_score(spark, sf_dir):
-    slots = export.features_from_deltas(cleaned_incidents(spark, sf_dir), delta_table(spark, sf_dir))
-    return forest.forest_predictions(forest.slot_map(slots), forest_nodes(spark, sf_dir),
-                                     FOREST_TREES, FOREST_DEPTH)
+    return exported_scores(spark, sf_dir)
 
 
 def q_forest_parity(spark, sf_dir):
     data = cleaned_incidents(spark, sf_dir)
-    return forest.parity(q_forest_score(spark, sf_dir),
+    return forest.parity(exported_scores(spark, sf_dir),
                          resolution.raw_predictions(resolution_model(spark, sf_dir), data),
                          PARITY_TOLERANCE)
 
