@@ -140,11 +140,18 @@ def name_clusters(assigned: DataFrame, assignment: DataFrame) -> DataFrame:
 
 def segment(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segmented incidents, profile assignment)."""
-    vectors, _ = scaled(df)
-    model = kmeans().fit(vectors)
-    assigned = model.transform(vectors).withColumn("cluster_id", F.col("cluster_id").cast("int"))
-    assignment = profile_assignment(spark, assigned)
-    segmented = name_clusters(assigned, assignment).drop(SCALED)
+    vectors, scaler = scaled(df)
+    try:
+        model = kmeans().fit(vectors)
+        assigned = model.transform(vectors).withColumn("cluster_id",
+                                                       F.col("cluster_id").cast("int"))
+        assignment = profile_assignment(spark, assigned)  # runs now: k rows
+    finally:
+        vectors.unpersist()
+    # The result is lazy: scaling and assignment are cheap projections.
+    labelled = model.transform(scaler.transform(df)).withColumn(
+        "cluster_id", F.col("cluster_id").cast("int"))
+    segmented = name_clusters(labelled, assignment).drop(SCALED, "cluster_input")
     return segmented, assignment
 
 
