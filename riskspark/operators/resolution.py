@@ -35,18 +35,20 @@ def forest_estimator(trees: int = FOREST_TREES, depth: int = FOREST_DEPTH,
 
 
 def fit_resolution_model(train: DataFrame, features: PipelineModel | None = None,
-                         trees: int = FOREST_TREES, depth: int = FOREST_DEPTH) -> PipelineModel:
+                         trees: int = FOREST_TREES, depth: int = FOREST_DEPTH,
+                         partitions: int | None = None) -> PipelineModel:
     """Fit feature stages (unless given) and the forest on ``train``.
 
-    Bootstrap samples are drawn per partition, so the rows are placed by a
-    hash of the id and sorted inside each partition: the same data gives the
-    same forest for a given partition count.
+    Bootstrap samples are drawn per partition, so rows are sorted by id
+    inside each partition: the same partitions give the same forest.  The
+    input's own partitioning is kept (the cleaned table is already
+    hash-partitioned on the id) unless ``partitions`` asks for a repartition.
     """
     features = features or fit_features(train)
-    prepared = (features.transform(train)
-                .select("incident_id", FEATURES, LABEL_COLUMN)
-                .repartition("incident_id")
-                .sortWithinPartitions("incident_id")
+    prepared = features.transform(train).select("incident_id", FEATURES, LABEL_COLUMN)
+    if partitions:
+        prepared = prepared.repartition(partitions, "incident_id")
+    prepared = (prepared.sortWithinPartitions("incident_id")
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         forest = forest_estimator(trees, depth).fit(prepared)

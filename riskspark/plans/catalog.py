@@ -18,11 +18,13 @@ from riskspark.functions.scalar import loss_per_user, postprocess_prediction
 from riskspark.operators import (explore, export, features, forest, quality,
                                  resolution, segment)
 from riskspark.plans.cache import memoized
+from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.schema import (CLUSTER_FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN,
                               PARITY_TOLERANCE)
 from riskspark.session import shared_path
 from riskspark.sources import files
 from riskspark.sources.incidents import incidents as incidents_view
+from riskspark.sources.tables import read_table
 from riskspark.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,10 +42,20 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned table, persisted once per application (reused by all)."""
+    """The cleaned table, persisted once per application (reused by all).
+
+    Hash-partitioned on ``incident_id`` into a count that follows the number
+    of orders (one incident per order; a metadata-only count), after the
+    deduplication has combined copies map-side.  Every later group-by or join
+    on ``incident_id`` reuses this partitioning, and fits see the same
+    partitions whatever ``spark.sql.shuffle.partitions`` is.
+    """
     def build() -> DataFrame:
-        return quality.clean(incidents_view(spark, sf_dir)).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
+        partitions = partitions_for_rows(spark, orders)
+        return (quality.clean(incidents_view(spark, sf_dir))
+                .repartition(partitions, "incident_id")
+                .persist(StorageLevel.MEMORY_AND_DISK))
     return memoized(spark, sf_dir, "cleaned_incidents", build)
 
 
