@@ -88,3 +88,29 @@ def test_stream_scoring_equals_batch(spark, scratch):
     assert streamed.select("batch_id").distinct().count() >= 2
     rejected = spark.read.parquet(f"{scratch}/sink/rejected")
     assert rejected.count() == 3
+
+
+def test_stream_restart_processes_only_new_files(spark, scratch):
+    cleaned = catalog.cleaned_incidents(spark, SF_SMALL)
+    model = resolution.fit_resolution_model(features.train_part(cleaned), trees=3, depth=3)
+    arrivals = features.test_part(cleaned).drop("resolution_time_hours", "loss_per_user")
+    first, second = arrivals.where("incident_id % 2 = 0"), arrivals.where("incident_id % 2 = 1")
+    source, sink, ckpt = f"{scratch}/src", f"{scratch}/sink", f"{scratch}/ckpt"
+    first.write.json(f"{source}/a")
+    once = scoring.run_until_drained(spark, model, f"{source}/*", arrivals.schema, sink, ckpt)
+    assert once.count() == first.count()
+    second.write.json(f"{source}/b")  # new files arrive; same checkpoint
+    again = scoring.run_until_drained(spark, model, f"{source}/*", arrivals.schema, sink, ckpt)
+    assert again.count() == arrivals.count()
+    assert again.select("incident_id").distinct().count() == arrivals.count()
+
+
+def test_replayed_batch_overwrites_its_output(spark, scratch):
+    cleaned = catalog.cleaned_incidents(spark, SF_SMALL)
+    model = resolution.fit_resolution_model(features.train_part(cleaned), trees=3, depth=3)
+    batch = features.test_part(cleaned).drop("resolution_time_hours", "loss_per_user")
+    handle = scoring._score_batch(model, f"{scratch}/sink")
+    handle(batch, 7)
+    handle(batch, 7)  # the same micro-batch delivered again after a failure
+    out = spark.read.parquet(f"{scratch}/sink/scored")
+    assert out.count() == batch.count()
