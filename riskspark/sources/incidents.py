@@ -22,9 +22,10 @@ not depend on summation order.
 
 Plan shape: line items are reduced to one row per order with a partial
 (map-side) aggregate before any shuffle on the order key, so a hot order
-costs one row per map task; only (order, part) key pairs meet ``part``.  ``part`` and ``customer`` join by the planner's
-size-checked choice (broadcast when small, sort-merge with AQE skew
-splitting beyond); ``nation`` is broadcast behind an explicit row bound.
+costs one row per map task; only (order, part) key pairs meet ``part``.
+``part`` and ``customer`` join by the planner's size-checked choice
+(broadcast when small, sort-merge with AQE skew splitting beyond);
+``nation`` is broadcast behind an explicit row bound.
 """
 
 from __future__ import annotations
