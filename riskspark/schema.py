@@ -54,6 +54,12 @@ PROFILE_NAMES = [
     "High-Impact Long-Resolution Incidents",
     "Concentrated High-Cost Incidents",
 ]
+# Text read as missing by the dashboard's CSV loader (pandas' default list).
+NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+]
 # --- end of fixed values -----------------------------------------------------
 
 # Our choices (not stated by the analysed application).
@@ -70,12 +76,6 @@ PROFILE_DIRECTIONS = {
 }
 # Train/test rule: an incident is held out when incident_id % TEST_FOLDS == 0.
 TEST_FOLDS = 5
-# Missing-value text tokens read as NULL (pandas' default list).
-NA_TOKENS = [
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
-    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
-    "nan", "null",
-]
 
 STRING_COLUMNS = CATEGORICAL_COLUMNS
 
