@@ -121,6 +121,23 @@ def q_avg_loss_by_attack(spark, sf_dir):
     return out.select("attack_type", _mean("financial_loss_million"))
 
 
+def _selected(spark, sf_dir):
+    return explore.filter_countries(cleaned_incidents(spark, sf_dir), SELECTED_COUNTRIES)
+
+
+def q_incidents_by_year_filtered(spark, sf_dir):
+    return explore.incidents_by_year(_selected(spark, sf_dir))
+
+
+def q_attack_distribution_filtered(spark, sf_dir):
+    return explore.attack_distribution(_selected(spark, sf_dir))
+
+
+def q_avg_loss_by_attack_filtered(spark, sf_dir):
+    out = explore.average_loss_by_attack(_selected(spark, sf_dir))
+    return out.select("attack_type", _mean("financial_loss_million"))
+
+
 def q_distinct_options(spark, sf_dir):
     return explore.distinct_options(cleaned_incidents(spark, sf_dir))
 
@@ -364,6 +381,9 @@ QUERIES: dict[str, Query] = {
     "incidents_by_year": q_incidents_by_year,
     "attack_distribution": q_attack_distribution,
     "avg_loss_by_attack": q_avg_loss_by_attack,
+    "incidents_by_year_filtered": q_incidents_by_year_filtered,
+    "attack_distribution_filtered": q_attack_distribution_filtered,
+    "avg_loss_by_attack_filtered": q_avg_loss_by_attack_filtered,
     "distinct_options": q_distinct_options,
     "incident_snapshot": q_incident_snapshot,
     "label_index": q_label_index,

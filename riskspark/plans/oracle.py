@@ -198,6 +198,18 @@ GROUP BY attack_type ORDER BY incident_count DESC, attack_type"""),
     "avg_loss_by_attack": _with(f"""
 SELECT attack_type, {_mean('avg(financial_loss_million)', 'financial_loss_million')}
 FROM cleaned WHERE attack_type IS NOT NULL
+GROUP BY attack_type ORDER BY 2, 1"""),
+    "incidents_by_year_filtered": _with(f"""
+SELECT year, CAST(count(*) AS BIGINT) AS incident_count
+FROM cleaned WHERE year IS NOT NULL AND country IN ({COUNTRIES})
+GROUP BY year ORDER BY year"""),
+    "attack_distribution_filtered": _with(f"""
+SELECT attack_type, CAST(count(*) AS BIGINT) AS incident_count
+FROM cleaned WHERE attack_type IS NOT NULL AND country IN ({COUNTRIES})
+GROUP BY attack_type ORDER BY incident_count DESC, attack_type"""),
+    "avg_loss_by_attack_filtered": _with(f"""
+SELECT attack_type, {_mean('avg(financial_loss_million)', 'financial_loss_million')}
+FROM cleaned WHERE attack_type IS NOT NULL AND country IN ({COUNTRIES})
 GROUP BY attack_type ORDER BY 2, 1"""),
     "distinct_options": _with("""
 SELECT DISTINCT column_name, value FROM (
