@@ -6,6 +6,7 @@
     python -m riskspark train /data --model /shared/models/resolution
     python -m riskspark score --model /shared/models/resolution \\
         --input /shared/requests --output /shared/scored [--format json]
+    python -m riskspark score --export /shared/models/resolution_export ...
 
 ``score`` is the batch form of a prediction request: records are validated,
 valid ones get a clipped, rounded prediction, rejected ones their reasons.
@@ -60,15 +61,19 @@ def cmd_train(args) -> int:
 def cmd_score(args) -> int:
     from riskspark.functions.scalar import postprocess_prediction
     from riskspark.operators import quality, resolution
+    from riskspark.operators.forest import score_exported
     from riskspark.schema import PREDICTION_COLUMN
     from riskspark.sources.records import REQUEST_SCHEMA
     spark = _session(args)
-    model = resolution.load_model(args.model)
     reader = spark.read.schema(REQUEST_SCHEMA)
     records = reader.json(args.input) if args.format == "json" else reader.parquet(args.input)
     checked = quality.validate(records)
-    scored = model.transform(checked.where(F.col("is_valid"))).select(
-        "incident_id", postprocess_prediction(F.col("prediction")).alias(PREDICTION_COLUMN))
+    valid = checked.where(F.col("is_valid"))
+    if args.export:
+        scored = score_exported(spark, valid, args.export)
+    else:
+        scored = resolution.load_model(args.model).transform(valid).select(
+            "incident_id", postprocess_prediction(F.col("prediction")).alias(PREDICTION_COLUMN))
     scored.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/scored")
     (checked.where(~F.col("is_valid")).select("incident_id", "reject_reasons")
      .write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/rejected"))
@@ -92,7 +97,9 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--model", required=True)
     t.set_defaults(run=cmd_train)
     s = sub.add_parser("score", help="validate and score request records")
-    s.add_argument("--model", required=True)
+    source = s.add_mutually_exclusive_group(required=True)
+    source.add_argument("--model", help="saved pipeline folder")
+    source.add_argument("--export", help="exported tables folder (no Spark model needed)")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--format", choices=["json", "parquet"], default="json")

@@ -126,4 +126,10 @@ MODEL_NODES_SCHEMA = T.StructType([
     T.StructField("tree_weight", T.DoubleType(), False),
 ])
 
+MODEL_INFO_SCHEMA = T.StructType([
+    T.StructField("trees", T.IntegerType(), False),
+    T.StructField("max_depth", T.IntegerType(), False),
+    T.StructField("feature_count", T.IntegerType(), False),
+])
+
 BASELINE_COLUMN_NAME = "__baseline__"

@@ -49,3 +49,17 @@ def test_train_then_score(spark, scratch, tmp_path):
         "affected_users is below 1")
     exported = spark.read.parquet(f"{model}_export/model_nodes")
     assert exported.where("node_id = 0").count() == 150
+
+
+def test_score_from_export_equals_model(spark, scratch, tmp_path):
+    model = f"{scratch}/model"
+    assert main(["train", SF_SMALL, "--model", model]) == 0
+    src = tmp_path / "requests"
+    src.mkdir()
+    (src / "part-0.json").write_text("\n".join(json.dumps(r) for r in REQUESTS))
+    assert main(["score", "--model", model, "--input", str(src), "--output", f"{scratch}/a"]) == 0
+    assert main(["score", "--export", f"{model}_export", "--input", str(src),
+                 "--output", f"{scratch}/b"]) == 0
+    a = spark.read.parquet(f"{scratch}/a/scored")
+    b = spark.read.parquet(f"{scratch}/b/scored")
+    assert a.count() == 2 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
