@@ -114,3 +114,14 @@ def test_replayed_batch_overwrites_its_output(spark, scratch):
     handle(batch, 7)  # the same micro-batch delivered again after a failure
     out = spark.read.parquet(f"{scratch}/sink/scored")
     assert out.count() == batch.count()
+
+
+def test_parquet_stream_source(spark, scratch):
+    cleaned = catalog.cleaned_incidents(spark, SF_SMALL)
+    model = resolution.fit_resolution_model(features.train_part(cleaned), trees=3, depth=3)
+    arrivals = features.test_part(cleaned).drop("resolution_time_hours", "loss_per_user")
+    arrivals.write.parquet(f"{scratch}/src")
+    out = scoring.run_until_drained(spark, model, f"{scratch}/src", arrivals.schema,
+                                    f"{scratch}/sink", f"{scratch}/ckpt", fmt="parquet",
+                                    files_per_batch=None)
+    assert out.count() == arrivals.count()
