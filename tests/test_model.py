@@ -148,3 +148,13 @@ def test_forest_size_is_checked(spark, fitted):
     nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
     with pytest.raises(ValueError):
         forest.forest_literals(nodes, TREES, 1)  # claims depth 1: bound too small
+
+
+def test_sparse_lookup_path_equals_dense(spark, fitted, monkeypatch):
+    cleaned, feats, model, path = fitted
+    nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
+    slots = forest.slot_map(export.features_from_deltas(cleaned, export.model_deltas(spark, feats)))
+    dense = forest.forest_predictions(slots, nodes, TREES, DEPTH)
+    monkeypatch.setattr(forest, "DENSE_SLOT_LIMIT", 0)
+    sparse = forest.forest_predictions(slots, nodes, TREES, DEPTH)
+    assert forest.parity(dense, sparse, 0.0).first()["within_tolerance"]
