@@ -63,11 +63,9 @@ def cmd_score(args) -> int:
     from riskspark.operators import quality, resolution
     from riskspark.operators.forest import score_exported
     from riskspark.schema import PREDICTION_COLUMN
-    from riskspark.sources.records import REQUEST_SCHEMA
+    from riskspark.sources.records import read_requests
     spark = _session(args)
-    reader = spark.read.schema(REQUEST_SCHEMA)
-    records = reader.json(args.input) if args.format == "json" else reader.parquet(args.input)
-    checked = quality.validate(records)
+    checked = quality.validate(read_requests(spark, args.input, args.format))
     valid = checked.where(F.col("is_valid"))
     if args.export:
         scored = score_exported(spark, valid, args.export)

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import loss_per_user
-from riskspark.schema import (INCIDENT_COLUMNS, LABEL_COLUMN, NA_TOKENS,
-                              STRING_COLUMNS, YEAR_MAX, YEAR_MIN)
+from riskspark.schema import (CORRUPT_COLUMN, INCIDENT_COLUMNS, LABEL_COLUMN,
+                              NA_TOKENS, STRING_COLUMNS, YEAR_MAX, YEAR_MIN)
 
 REASON_SEPARATOR = ";"
 
@@ -56,9 +56,15 @@ def _number_reasons(name: str, low: float | None, high: float | None,
     ]
 
 
-def reject_reasons(require_label: bool = False) -> Column:
-    """All validation failures of a row, in column order, joined by ``;``."""
+def reject_reasons(require_label: bool = False, malformed: bool = False) -> Column:
+    """All validation failures of a row, in column order, joined by ``;``.
+
+    With ``malformed``, a row whose raw text did not parse (a value of the
+    wrong type, broken JSON) is rejected first, before its field reasons.
+    """
     reasons: list[Column] = []
+    if malformed:
+        reasons.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("record is malformed")))
     reasons += _text_reasons("country")
     reasons += _number_reasons("year", YEAR_MIN, YEAR_MAX,
                                f"outside {YEAR_MIN}..{YEAR_MAX}")
@@ -76,11 +82,17 @@ def reject_reasons(require_label: bool = False) -> Column:
 
 
 def validate(df: DataFrame, require_label: bool = False) -> DataFrame:
-    """Add ``loss_per_user``, ``reject_reasons`` and ``is_valid``."""
-    return (df
-            .withColumn("loss_per_user", loss_per_user())
-            .withColumn("reject_reasons", reject_reasons(require_label))
-            .withColumn("is_valid", F.col("reject_reasons") == F.lit("")))
+    """Add ``loss_per_user``, ``reject_reasons`` and ``is_valid``.
+
+    A ``_corrupt_record`` column (from a permissive JSON or CSV read) is
+    checked too and dropped from the output.
+    """
+    malformed = CORRUPT_COLUMN in df.columns
+    out = (df
+           .withColumn("loss_per_user", loss_per_user())
+           .withColumn("reject_reasons", reject_reasons(require_label, malformed))
+           .withColumn("is_valid", F.col("reject_reasons") == F.lit("")))
+    return out.drop(CORRUPT_COLUMN) if malformed else out
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

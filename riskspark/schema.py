@@ -133,3 +133,5 @@ MODEL_INFO_SCHEMA = T.StructType([
 ])
 
 BASELINE_COLUMN_NAME = "__baseline__"
+# Raw text of an input record that did not parse against its schema.
+CORRUPT_COLUMN = "_corrupt_record"

@@ -37,16 +37,20 @@ def test_train_then_score(spark, scratch, tmp_path):
     assert main(["train", SF_SMALL, "--model", model]) == 0
     src = tmp_path / "requests"
     src.mkdir()
-    (src / "part-0.json").write_text("\n".join(json.dumps(r) for r in REQUESTS))
+    bad_type = dict(REQUESTS[0], incident_id=4, year="two thousand")
+    lines = [json.dumps(r) for r in REQUESTS + [bad_type]] + ['{"incident_id": 5, "country": ']
+    (src / "part-0.json").write_text("\n".join(lines))
     assert main(["score", "--model", model, "--input", str(src), "--output", f"{scratch}/out"]) == 0
     scored = spark.read.parquet(f"{scratch}/out/scored").orderBy("incident_id").collect()
     assert [r["incident_id"] for r in scored] == [1, 2]  # unseen labels are still scored
     assert all(r["predicted_resolution_time_hours"] >= 0 for r in scored)
-    rejected = spark.read.parquet(f"{scratch}/out/rejected").collect()
-    assert len(rejected) == 1
-    assert rejected[0]["reject_reasons"] == (
-        "country is empty;year outside 2015..2030;financial_loss_million is negative;"
-        "affected_users is below 1")
+    rejected = {r["incident_id"]: r["reject_reasons"]
+                for r in spark.read.parquet(f"{scratch}/out/rejected").collect()}
+    assert len(rejected) == 3
+    assert rejected[3] == ("country is empty;year outside 2015..2030;"
+                           "financial_loss_million is negative;affected_users is below 1")
+    assert rejected[4] == "record is malformed;year is missing"
+    assert rejected[None].startswith("record is malformed;country is missing")
     exported = spark.read.parquet(f"{model}_export/model_nodes")
     assert exported.where("node_id = 0").count() == 150
 
