@@ -158,3 +158,10 @@ def test_sparse_lookup_path_equals_dense(spark, fitted, monkeypatch):
     monkeypatch.setattr(forest, "DENSE_SLOT_LIMIT", 0)
     sparse = forest.forest_predictions(slots, nodes, TREES, DEPTH)
     assert forest.parity(dense, sparse, 0.0).first()["within_tolerance"]
+
+
+def test_empty_forest_is_an_error(spark):
+    from riskspark.schema import MODEL_NODES_SCHEMA
+    empty = spark.createDataFrame([], MODEL_NODES_SCHEMA)
+    with pytest.raises(ValueError):
+        forest.forest_literals(empty, 3, 3)
