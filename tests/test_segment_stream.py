@@ -125,3 +125,41 @@ def test_parquet_stream_source(spark, scratch):
                                     f"{scratch}/sink", f"{scratch}/ckpt", fmt="parquet",
                                     files_per_batch=None)
     assert out.count() == arrivals.count()
+
+
+def test_silhouette_and_cluster_means_match_brute_force(spark):
+    import numpy as np
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import vector_to_array
+    df, _ = planted_frame(spark, per_group=15)
+    vectors, _ = segment.scaled(df)
+    assigned = segment.kmeans(4).fit(vectors).transform(vectors)
+    rows = assigned.select(vector_to_array(segment.SCALED).alias("z"), "cluster_id").collect()
+    z = np.array([r["z"] for r in rows])
+    c = np.array([r["cluster_id"] for r in rows])
+    # standardisation: unit-variance (sample) columns with zero mean
+    raw = np.array([[r[f] for f in ("financial_loss_million", "affected_users",
+                                    "resolution_time_hours")] for r in df.collect()])
+    order = np.argsort([r["incident_id"] for r in df.collect()])
+    assert np.allclose(np.sort(z[:, 0]), np.sort((raw[order, 0] - raw[:, 0].mean())
+                                                 / raw[:, 0].std(ddof=1)))
+    # cluster means of the standardised features
+    means = {r["cluster_id"]: r for r in segment.cluster_means(assigned).collect()}
+    for k in set(c):
+        assert np.allclose(z[c == k].mean(axis=0),
+                           [means[k]["z_financial_loss_million"], means[k]["z_affected_users"],
+                            means[k]["z_resolution_time_hours"]])
+    # silhouette with squared Euclidean distance, own point excluded
+    d = ((z[:, None, :] - z[None, :, :]) ** 2).sum(axis=2)
+    scores = []
+    for i in range(len(z)):
+        same = (c == c[i])
+        if same.sum() == 1:
+            scores.append(0.0)
+            continue
+        a = d[i, same].sum() / (same.sum() - 1)
+        b = min(d[i, c == k].mean() for k in set(c) if k != c[i])
+        scores.append((b - a) / max(a, b))
+    spark_value = ClusteringEvaluator(featuresCol=segment.SCALED, predictionCol="cluster_id",
+                                      distanceMeasure="squaredEuclidean").evaluate(assigned)
+    assert abs(spark_value - float(np.mean(scores))) < 1e-6
