@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 
@@ -65,7 +66,9 @@ def cmd_score(args) -> int:
     from riskspark.schema import PREDICTION_COLUMN
     from riskspark.sources.records import read_requests
     spark = _session(args)
-    checked = quality.validate(read_requests(spark, args.input, args.format))
+    # Both outputs read the parsed, validated input: parse it once.
+    checked = quality.validate(read_requests(spark, args.input, args.format)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     valid = checked.where(F.col("is_valid"))
     if args.export:
         scored = score_exported(spark, valid, args.export)
@@ -75,6 +78,7 @@ def cmd_score(args) -> int:
     scored.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/scored")
     (checked.where(~F.col("is_valid")).select("incident_id", "reject_reasons")
      .write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/rejected"))
+    checked.unpersist()
     print(args.output)
     return 0
 
