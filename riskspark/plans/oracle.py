@@ -7,7 +7,7 @@ the incidents view itself, so the oracle is independent of the Spark code.
 from __future__ import annotations
 
 from riskspark.plans.catalog import MEAN_PLACES, SELECTED_COUNTRIES
-from riskspark.schema import NA_TOKENS, TEST_FOLDS, YEAR_MAX, YEAR_MIN
+from riskspark.schema import CATEGORICAL_COLUMNS, NA_TOKENS, TEST_FOLDS, YEAR_MAX, YEAR_MIN
 
 
 def _sql_list(values) -> str:
@@ -115,8 +115,7 @@ COUNTRIES = _sql_list(SELECTED_COUNTRIES)
 
 _CELLS = "\n  UNION ALL ".join(
     f"SELECT incident_id, '{c}' AS column_name, {i} AS block, {c} AS label FROM cleaned"
-    for i, c in enumerate(["country", "attack_type", "target_industry",
-                           "attack_source", "vulnerability_type", "defense_mechanism"]))
+    for i, c in enumerate(CATEGORICAL_COLUMNS))
 
 # Indexer labels fitted on the training rows, slot offsets of each block.
 LABELS = BASE + f""", cells AS (
