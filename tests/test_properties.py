@@ -20,7 +20,7 @@ RECORD = st.fixed_dictionaries({
     "affected_users": st.one_of(st.none(), st.integers(-2, 3), st.just(1_000_000)),
     "resolution_time_hours": st.one_of(st.none(), st.floats(0, 200)),
 })
-SETTINGS = settings(max_examples=8, deadline=None,
+SETTINGS = settings(max_examples=8, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture,
                                            HealthCheck.too_slow])
 
