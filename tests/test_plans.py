@@ -38,13 +38,17 @@ def test_country_filter_reaches_the_nation_scan(spark):
     assert nation and "In(n_name" in nation[0][1]
 
 
-def test_scans_read_only_used_columns(spark):
+def test_scans_read_only_used_columns(spark, monkeypatch):
+    from riskspark.sources import incidents as view
     plan = executed(incidents(spark, SF_SMALL))
     scanned = " ".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
     for unused in ("l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_shipdate",
                    "c_name", "c_acctbal", "p_name", "p_brand", "n_regionkey"):
         assert unused not in scanned
-    # the part join sees (order, part) key pairs only
+    assert "BroadcastHashJoin [l_partkey" in plan  # small part: one pass, broadcast
+    # a part table over the bound: only (order, part) key pairs meet it
+    monkeypatch.setattr(view, "PART_BROADCAST_BOUND", 0)
+    plan = executed(incidents(spark, SF_SMALL))
     assert re.search(r"FileScan parquet \[l_orderkey#\d+L,l_partkey#\d+L\]", plan)
 
 
