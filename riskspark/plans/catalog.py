@@ -21,7 +21,7 @@ from riskspark.plans.cache import memoized
 from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.schema import (CLUSTER_FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN,
                               PARITY_TOLERANCE)
-from riskspark.session import shared_path
+from riskspark.session import checkpoint_root, shared_path
 from riskspark.sources import files
 from riskspark.sources.incidents import incidents as incidents_view
 from riskspark.sources.tables import read_table
@@ -44,18 +44,25 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table, persisted once per application (reused by all).
 
-    Hash-partitioned on ``incident_id`` into a count that follows the number
-    of orders (one incident per order; a metadata-only count), after the
-    deduplication has combined copies map-side.  Every later group-by or join
-    on ``incident_id`` reuses this partitioning, and fits see the same
+    Checkpointed to the shared folder after deduplication (which combines
+    copies map-side), then hash-partitioned on ``incident_id`` into a count
+    that follows the number of orders (one incident per order; a
+    metadata-only count) and cached.  Every later group-by or join on
+    ``incident_id`` reuses this partitioning, and fits see the same
     partitions whatever ``spark.sql.shuffle.partitions`` is.
     """
     def build() -> DataFrame:
         orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
         partitions = partitions_for_rows(spark, orders)
-        return (quality.clean(incidents_view(spark, sf_dir))
-                .repartition(partitions, "incident_id")
-                .persist(StorageLevel.MEMORY_AND_DISK))
+        checkpoint_root(spark)  # the shared folder, from the session
+        # Cut lineage first (a reliable checkpoint: a lost executor's data is
+        # re-read, not recomputed from the driver tables), then hash-partition
+        # and cache; a checkpoint does not keep partitioning, the cache does.
+        durable = quality.clean(incidents_view(spark, sf_dir)).checkpoint(eager=True)
+        cleaned = (durable.repartition(partitions, "incident_id")
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+        cleaned.count()
+        return cleaned
     return memoized(spark, sf_dir, "cleaned_incidents", build)
 
 
