@@ -57,10 +57,6 @@ def fit_resolution_model(train: DataFrame, features: PipelineModel | None = None
     return PipelineModel(stages=list(features.stages) + [forest])
 
 
-def forest_of(model: PipelineModel):
-    return model.stages[-1]
-
-
 def raw_predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
     """(incident_id, prediction) straight from the forest."""
     return model.transform(df).select("incident_id", "prediction")

@@ -82,3 +82,9 @@ def test_rejected_by_reason_counts(spark):
     df = frame(spark, {"country": ""}, {"country": "", "year": 2040}, {})
     out = {r["reason"]: r["rejected_rows"] for r in quality.rejected_by_reason(df).collect()}
     assert out == {"country is missing": 2, "year outside 2015..2030": 1}
+
+
+def test_split_valid(spark):
+    valid, rejected = quality.split_valid(quality.validate(frame(spark, {}, {"year": 1999})))
+    assert [r["incident_id"] for r in valid.collect()] == [1]
+    assert [r["incident_id"] for r in rejected.collect()] == [2]

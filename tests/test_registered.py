@@ -89,3 +89,14 @@ def test_stream_score_scores_the_test_split(spark):
     df = run(spark, "stream_score")
     assert df.count() == test_count
     assert df.select("incident_id").distinct().count() == test_count
+
+
+def test_memo_is_per_application_and_can_be_released(spark):
+    from riskspark.plans import cache
+    calls = []
+    first = cache.memoized(spark, "/x", "probe", lambda: calls.append(1) or len(calls))
+    again = cache.memoized(spark, "/x/", "probe", lambda: calls.append(1) or len(calls))
+    assert first == again == 1
+    cache.forget(spark)
+    assert cache.memoized(spark, "/x", "probe", lambda: 7) == 7
+    cache.forget(spark)
