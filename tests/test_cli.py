@@ -67,3 +67,9 @@ def test_score_from_export_equals_model(spark, scratch, tmp_path):
     a = spark.read.parquet(f"{scratch}/a/scored")
     b = spark.read.parquet(f"{scratch}/b/scored")
     assert a.count() == 2 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_query_show(capsys):
+    assert main(["query", "incidents_by_year", SF_SMALL, "--show", "3"]) == 0
+    out = capsys.readouterr().out
+    assert "incident_count" in out and "only showing top 3 rows" in out
