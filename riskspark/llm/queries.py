@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskspark.llm import sentencepiece, token_counts
+from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, token_counts
 from riskspark.llm.common import documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,13 +19,36 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(documents(spark, sf_dir, "doc_id", "text"), PIECE_MODEL)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "source", "text")
+    return quality_rules.verdicts(docs, ["doc_id"]).select(
+        "row.doc_id", *quality_rules.MEASURES, "base_failed", "kept", "removed_words")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "source", "text")
+    return mixing.curriculum(docs, ["doc_id"]).select(
+        "row.doc_id", "size", "source_size", "target", "taken", "position", "position_again")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
+    return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir, "doc_id", "text"), BYTE_VOCABULARY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_mixing": op6_mixing,
+    "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_quality_rules": oracle.QUALITY_RULES,
+    "op6_mixing": oracle.MIXING,
+}
