@@ -126,9 +126,10 @@ def curriculum(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text:
         F.col(taken) > 0, due(served, F.col("target"), F.col("slope")))
     return placed.select(
         "row", "size", "source_size", "target", (F.col("first") + F.col("again")).alias("taken"),
-        "first", "again", at("first", F.col("served")).alias("position"),
+        "first", "again",
+        at("first", F.col("served")).alias("position"),
         at("again", F.col("served") + F.col("source_size")).alias("position_again"),
-    ).orderBy("position")
+        F.col("key").alias("order")).orderBy(F.col("position").asc_nulls_last(), "order").drop("order")
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
