@@ -36,7 +36,7 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Entries a task keeps before it starts its table anew (memory, not results).
-TABLE_ROWS = 600_000
+TABLE_ROWS = 1_500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -62,45 +62,58 @@ class PrefixBpe:
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pieces = regex.compile(PIECES)
         self.counts = Table(self)
+        self.ends: dict[bytes, tuple | None] = {}
         self.apart: dict[tuple[bytes, bytes], bool] = {}
 
-    def merged(self, piece: bytes) -> list[bytes]:
-        """The encoding of a short string straight from the merge rules."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            ranks = [self.rank.get(pair, len(self.rank)) for pair in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == len(self.rank):
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i < len(ranks) and ranks[i] == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
+    def edges(self, token: bytes) -> tuple[list[tuple[bytes, int, int]], list[tuple[bytes, int, int]]] | None:
+        """The parts that stand at a token's left and right end while it is merged.
+
+        Each with the rank of the merge that made it and of the one that used
+        it up.  None if the rules do not make the token from its own bytes.
+        """
+        if token not in self.ends:
+            parts, born, never = [token[i:i + 1] for i in range(len(token))], -1, len(self.rank)
+            left, right = [(parts[0], -1)], [(parts[-1], -1)]
+            while len(parts) > 1:
+                born, k = min((self.rank.get(pair, never), k) for k, pair in enumerate(zip(parts, parts[1:])))
+                if born == never:
+                    break
+                parts[k:k + 2] = [parts[k] + parts[k + 1]]
+                if k == 0:
+                    left.append((parts[0], born))
+                if k == len(parts) - 1:
+                    right.append((parts[-1], born))
+            spans = lambda made: [(p, b, d) for (p, b), d in zip(made, [*(b for _, b in made[1:]), never])]
+            self.ends[token] = (spans(left), spans(right)) if len(parts) == 1 else None
+        return self.ends[token]
 
     def stay_apart(self, left: bytes, right: bytes) -> bool:
-        key = (left, right)
-        if key not in self.apart:
-            if len(self.apart) >= TABLE_ROWS:
-                self.apart.clear()
-            self.apart[key] = self.merged(left + right) == ([left, right] if left else [right])
-        return self.apart[key]
+        """Whether the rules, applied to both tokens' bytes, give the two tokens.
+
+        They do unless some merge joins a right end of ``left`` with a left
+        end of ``right`` while both stand; of equal ranks the left one is first.
+        """
+        if len(self.apart) >= TABLE_ROWS:
+            self.apart.clear()
+        own, rank = self.edges(right), self.rank
+        self.apart[left, right] = found = own is not None and (not left or not any(
+            a_born < rank.get((a, b), -1) < a_used and b_born < rank[a, b] <= b_used
+            for a, a_born, a_used in self.edges(left)[1] for b, b_born, b_used in own[0]))
+        return found
 
     def prefixes(self, piece: bytes) -> tuple[list[int], list[bytes]]:
         """For each prefix (by length, from 0): its number of tokens, its last token."""
         counts, last = [0], [b""]
+        tokens, known, longest = self.tokens, self.apart, self.longest
         for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
+            for start in range(max(0, end - longest), end):
                 token = piece[start:end]
-                if token in self.tokens and self.stay_apart(last[start], token):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+                if token in tokens:
+                    fits = known.get((last[start], token))
+                    if fits or fits is None and self.stay_apart(last[start], token):
+                        counts.append(counts[start] + 1)
+                        last.append(token)
+                        break
             else:  # a byte without a token of its own
                 raise ValueError(f"no token covers byte {piece[end - 1]:#x}")
         return counts, last
