@@ -36,7 +36,7 @@ UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 
 #: Entries a task keeps before it starts its table anew (memory, not results).
-TABLE_ROWS = 400_000
+TABLE_ROWS = 1_000_000
 
 
 class Pieces(dict):
@@ -76,6 +76,8 @@ class Pieces(dict):
         stretch = f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if not lines else f"{MARK}*[^{MARK}]+|{MARK}+"
         self.cut = re.compile(stretch).findall if not inside else lambda text: [text] if text else []
         self.apart: dict[tuple[str, str], bool] = {}
+        self.ends: dict[str, tuple[list, list] | None] = {}
+        self.cost = {p: -self.score[i] for p, i in self.ids.items()}
 
     def merged(self, text: str) -> list[str]:
         """Encoding of a short string straight from the merge order of a BPE model."""
@@ -88,41 +90,81 @@ class Pieces(dict):
             k = -best[1]
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
 
+    def edges(self, piece: str) -> tuple[list, list] | None:
+        """The parts that stand at a piece's left and right end while it is merged.
+
+        Each with the merge cost (negated score) that made it and that used it
+        up.  None if merging the piece's characters does not give the piece.
+        """
+        if piece not in self.ends:
+            parts, never = list(piece), np.inf
+            left, right = [(parts[0], -np.inf)], [(parts[-1], -np.inf)]
+            while len(parts) > 1:
+                cost, k = min((self.cost.get(a + b, never), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+                if cost == never:
+                    break
+                parts[k:k + 2] = [parts[k] + parts[k + 1]]
+                if k == 0:
+                    left.append((parts[0], cost))
+                if k == len(parts) - 1:
+                    right.append((parts[-1], cost))
+            spans = lambda made: [(p, b, d) for (p, b), d in zip(made, [*(b for _, b in made[1:]), never])]
+            self.ends[piece] = (spans(left), spans(right)) if len(parts) == 1 else None
+        return self.ends[piece]
+
     def stay_apart(self, left: str, right: str) -> bool:
-        key = (left, right)
-        if key not in self.apart:
-            if len(self.apart) >= TABLE_ROWS:
-                self.apart.clear()
-            self.apart[key] = self.merged(left + right) == ([left, right] if left else [right])
-        return self.apart[key]
+        """Whether merging both pieces' characters gives the two pieces.
+
+        It does unless some merge joins a right end of ``left`` with a left
+        end of ``right`` while both stand; of equal costs the left one is
+        first.  Runs of the space mark share one cost and are merged outright.
+        """
+        if len(self.apart) >= TABLE_ROWS:
+            self.apart.clear()
+        if left.endswith(MARK) or MARK in right[1:]:
+            found = self.merged(left + right) == ([left, right] if left else [right])
+        else:
+            found = self.edges(right) is not None and (not left or self.edges(left) is not None and not any(
+                a_born < r < a_used and b_born < r <= b_used
+                for a, a_born, a_used in self.edges(left)[1] for b, b_born, b_used in self.edges(right)[0]
+                if (r := self.cost.get(a + b)) is not None))
+        self.apart[left, right] = found
+        return found
 
     def path(self, text: str) -> list[int]:
         """Ids of the best path over ``text``; -1 for a character without a piece."""
-        n = len(text)
+        n, known = len(text), self.apart
         back: list[tuple[int, int]] = [(0, -1)] * (n + 1)  # start and id of the last piece
-        best = [0.0] + [-np.inf] * n
+        best: list[float | None] = [0.0] + [None] * n  # None: not reached
         last = [""] * (n + 1)
-        matches = self.automaton.iter(text)
-        found = next(matches, None)
-        for end in range(1, n + 1):
+        ending: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        for at, found in self.automaton.iter(text):
+            ending[at].append(found)
+        for end, found in enumerate(ending, 1):
             single = False
-            while found is not None and found[0] == end - 1:
-                length, i = found[1]
+            for length, i in found:
                 single |= length == 1
                 start = end - length
-                piece = text[start:end]
+                reached = best[start]
+                if reached is None:
+                    continue
                 if self.unigram:
-                    score = best[start] + self.score[i]
-                    if score > best[end]:
+                    score = reached + self.score[i]
+                    if best[end] is None or score > best[end]:
                         best[end], back[end] = score, (start, i)
-                elif best[start] == 0 and best[end] and self.stay_apart(last[start], piece):
-                    best[end], back[end], last[end] = 0.0, (start, i), piece
-                found = next(matches, None)
-            if not single:
-                if self.unigram and best[end - 1] + self.lowest > best[end]:
-                    best[end], back[end] = best[end - 1] + self.lowest, (end - 1, -1)
-                elif not self.unigram and best[end] and (
-                        best[end - 1] == 0 and self.stay_apart(last[end - 1], text[end - 1])):
+                else:
+                    piece = text[start:end]
+                    fits = known.get((last[start], piece))
+                    if fits or fits is None and self.stay_apart(last[start], piece):
+                        best[end], back[end], last[end] = 0.0, (start, i), piece
+                        single = True
+                        break
+            if not single and best[end - 1] is not None:
+                if self.unigram:
+                    score = best[end - 1] + self.lowest
+                    if best[end] is None or score > best[end]:
+                        best[end], back[end] = score, (end - 1, -1)
+                elif self.stay_apart(last[end - 1], text[end - 1]):
                     best[end], back[end], last[end] = 0.0, (end - 1, -1), text[end - 1]
         ids, end = [], n
         while end:
