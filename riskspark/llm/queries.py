@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, token_counts
+from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, token_counts, toxicity
 from riskspark.llm.common import documents
+from riskspark.sources.tables import read_table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,12 +41,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir, "doc_id", "text"), BYTE_VOCABULARY)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir, "doc_id", "text"),
+                           read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
