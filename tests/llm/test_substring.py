@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+from riskspark.llm import substring
+
+
+def brute(texts, k):
+    docs = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(d[i:i + k]) for d in docs for i in range(len(d) - k + 1))
+    out = []
+    for d in docs:
+        gone = [False] * len(d)
+        for i in range(len(d) - k + 1):
+            if seen[tuple(d[i:i + k])] > 1:
+                gone[i:i + k] = [True] * k
+        kept = b" ".join(w for w, g in zip(d, gone) if not g)
+        out.append((len(d), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)),
+                    hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefgh") + rng.choice(["", "x", "y", "é"])
+    make = lambda n: [word() for _ in range(n)]
+    passages = [make(rng.randrange(5, 60)) for _ in range(6)]
+    texts = [None, "", " \n ", "one two", "a " * 300, "a b " * 200]
+    for _ in range(60):
+        parts = make(rng.randrange(0, 40))
+        for _ in range(rng.randrange(0, 4)):
+            p = list(rng.choice(passages))
+            if rng.random() < 0.4:
+                p[rng.randrange(len(p))] = "edit"
+            parts += p + make(rng.randrange(0, 30))
+        texts.append(rng.choice([" ", "\n", "\t "]).join(parts))
+    texts += texts[8:14] + [texts[9]] * 5 + [" ".join(make(3000))] * 2
+    return texts
+
+
+def test_equals_brute_force(spark):
+    for seed, (window, anchor) in enumerate([(35, 6), (7, 2), (10, 3)]):
+        texts = corpus(seed)
+        docs = spark.createDataFrame([(i if i % 7 else None, t, i, "x") for i, t in enumerate(texts)],
+                                     "doc_id long, text string, i long, h string")
+        got = {r.row.i: (r.n_units, r.n_removed, r.n_spans, r.kept_sha256, r.n_marks) for r in
+               substring.remove_repeats(docs, ["i", "h"], window=window, anchor=anchor).collect()}
+        want = brute(texts, window)
+        assert len(got) == len(texts)
+        for i, w in enumerate(want):
+            assert got[i][:4] == w, (i, texts[i])
+            assert (got[i][4] > 0) == (w[1] > 0)
+
+
+def test_paths_are_compacted(spark):
+    passage = [f"w{i}" for i in range(200)]
+    texts = [" ".join(["left", *passage, "right"]), " ".join(["other", *passage, "end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = substring.remove_repeats(docs, ["doc_id"]).collect()
+    assert [(r.n_removed, r.n_spans, r.n_marks) for r in got] == [(200, 1, 1)] * 2
+
+
+def test_kept_text_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "q " + "a b c d e " * 2 + "z"), (2, "plain text")], "doc_id long, text string")
+    got = {r.row.doc_id: r for r in substring.remove_repeats(docs, ["doc_id"], window=5, anchor=2, keep_text=True).collect()}
+    assert got[1].kept.decode() == "q z" and got[2].kept.decode() == "plain text"
+    assert substring.remove_repeats(docs.limit(0), ["doc_id"]).count() == 0
