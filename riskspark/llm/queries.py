@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, token_counts, toxicity
+from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, substring, token_counts, toxicity
 from riskspark.llm.common import documents
 from riskspark.sources.tables import read_table
 
@@ -41,6 +41,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir, "doc_id", "text"), BYTE_VOCABULARY)
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
+    return found.select("row.doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256", "n_spans",
+                        F.col("n_marks").alias("n_paths"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(documents(spark, sf_dir, "doc_id", "text"),
                            read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
+    "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
 }
 
