@@ -239,13 +239,16 @@ def unpack(body: bytes) -> bytes:
 
 
 def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units, keep_text: bool) -> DataFrame:
-    """Remove the repeated windows ``repeated`` (h, s, offsets, marks) from the examined ``rows``.
+    """Remove the repeated windows ``repeated`` from the examined ``rows``.
+
+    ``repeated`` has, for a stretch (h, s), arrays firsts and stops: ranges of
+    its windows, and marks. Rows may share a stretch.
 
     Returns row, n_units, n_removed, n_spans, n_marks (different marks met),
     kept_sha256 and, with ``keep_text``, kept (binary).
     """
     hits = (found.join(repeated, ["h", "s"]).groupBy("a")
-            .agg(F.collect_list(F.struct("s", "place", "offsets", "marks")).alias("hits")))
+            .agg(F.collect_list(F.struct("s", "place", "firsts", "stops", "marks")).alias("hits")))
     ddl = "n_units bigint, n_removed bigint, n_spans bigint, n_marks bigint, kept_sha256 string, kept binary"
     clean = rows.where("body IS NULL").select(
         "row", F.col("units").alias("n_units"), F.lit(0).cast("long").alias("n_removed"),
@@ -263,9 +266,8 @@ def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units,
             if hits:
                 hashes = Hashes(units.codes([parts])[0])
                 for first, _, x in verified(hashes, hits, units, n):
-                    at = first + np.array(x["offsets"], np.int64)
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + units.window, -1)
+                    np.add.at(cover, first + np.array(x["firsts"], np.int64), 1)
+                    np.add.at(cover, first + np.array(x["stops"], np.int64) - 1 + units.window, -1)
                     marks.update(x["marks"] or ())
             gone = np.cumsum(cover[:n]) > 0
             kept = units.join(parts, ~gone)

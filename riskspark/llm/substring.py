@@ -34,7 +34,7 @@ def edge_content(parts, hashes: repeats.Hashes, first: int, count: int, alone: b
 
 
 def compacted(given: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(h, s, offsets, marks): the repeated windows of each stretch and their compacted paths.
+    """(h, s, firsts, stops, marks): ranges of repeated windows of a stretch and their compacted paths.
 
     ``given`` are (h, s, content) with the content of ``edge_content``.
     """
@@ -62,10 +62,12 @@ def compacted(given: DataFrame, kinds: DataFrame) -> DataFrame:
     chains = components(into.join(outof, into.end == outof.start).select("u", "v"))
     paths = paths.join(chains, paths.id == chains.node, "left").withColumn("path", F.coalesce("component", "id"))
     whole = (paths.join(alone.select("h", "s"), ["h", "s"])
-             .select("h", "s", F.sequence(F.lit(0), F.col("count") - 1).alias("offsets"), F.array("path").alias("marks")))
+             .select("h", "s", F.array(F.lit(0)).alias("firsts"), F.array("count").alias("stops"),
+                     F.array("path").alias("marks")))
     of_edge = distinct.select("h", "s", "island", "edge").join(paths.select("h", "s", "island", "path"), ["h", "s", "island"])
     parts = (repeated.join(of_edge.select("edge", "path"), "edge").groupBy("h", "s")
-             .agg(F.collect_list("offset").alias("offsets"), F.collect_set("path").alias("marks")))
+             .agg(F.collect_list("offset").alias("firsts"), F.collect_set("path").alias("marks"))
+             .withColumn("stops", F.transform("firsts", lambda x: x + 1)))
     return whole.unionByName(parts)
 
 
