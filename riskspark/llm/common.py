@@ -8,6 +8,7 @@ or repeated), so work that belongs to a text is keyed by ``text_key``.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +36,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "llm", name, unique=True)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    release(spark)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing reads it any more."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now.
+
+    It does so when the driver collects its garbage, which is otherwise left
+    to chance; a chain of large steps would hold the files of all of them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_key(text: Column) -> Column:

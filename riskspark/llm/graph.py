@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.llm.common import release
 from riskspark.session import checkpoint_root
 
 #: Once no more edges than these are left (a few MB), one task finishes the components.
@@ -17,7 +18,9 @@ LAST_EDGES = 1 << 18
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; Spark removes it with its cleaner."""
     checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    release(df.sparkSession)
+    return out
 
 
 def fingerprint(edges: DataFrame) -> tuple:

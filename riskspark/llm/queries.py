@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import mixing, oracle, quality_rules, sentencepiece, simhash, substring, suffix, token_counts, toxicity
+from riskspark.llm import (embedding_dedup, mixing, oracle, quality_lm, quality_rules, sentencepiece, simhash,
+                           substring, suffix, token_counts, toxicity)
 from riskspark.llm.common import documents
 from riskspark.sources.tables import read_table
 
@@ -20,11 +21,20 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(documents(spark, sf_dir, "doc_id", "text"), PIECE_MODEL)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(documents(spark, sf_dir, "doc_id", "lang", "text"),
+                               read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
     return found.select("row.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "source", "text")
     return quality_rules.verdicts(docs, ["doc_id"]).select(
@@ -59,7 +69,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_suffix_array": op3_suffix_array,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,

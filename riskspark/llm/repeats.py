@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskspark.llm.common import binary, mix, slices, sliding_argmin
-from riskspark.llm.graph import cut
+from riskspark.llm.common import binary, discard, materialize, mix, slices, sliding_argmin
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 SEGMENT = 1 << 21  # units of a long text handled at a time
@@ -169,24 +168,51 @@ def occurrences(docs: DataFrame, text: str, units: Units) -> tuple[DataFrame, Da
     stretches (h, s, n, others, a, place): n in all, whether the anchor has
     other stretches too, and the text and place that stand for the stretch.
     """
-    rows = all_stretches(docs, text, units)
-    twice = cut(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    found = cut(rows.join(twice, "h").groupBy("a", "h", "s", "place").agg(F.count("*").alias("n")))
+    rows = materialize(all_stretches(docs, text, units), "stretches")
+    twice = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    found = materialize(rows.join(twice, "h").groupBy("a", "h", "s", "place").agg(F.count("*").alias("n")), "occurrences")
+    discard(rows)
     kinds = found.groupBy("h", "s").agg(F.sum("n").alias("n"), F.min(F.struct("a", "place")).alias("one"))
-    anchors = kinds.groupBy("h").agg(F.count("*").alias("kinds"))
-    kinds = cut(kinds.join(anchors, "h").select("h", "s", "n", (F.col("kinds") > 1).alias("others"), "one.a", "one.place"))
-    return found, kinds
+    kinds = materialize(kinds.select("h", "s", "n", "one.a", "one.place"), "kinds")
+    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h", F.lit(True).alias("others"))
+    return found, kinds.join(several, "h", "left").withColumn("others", F.coalesce("others", F.lit(False)))
 
 
-def verified(hashes: Hashes, listed: list[dict], units: Units, size: int) -> list[tuple[int, int, dict]]:
-    """First window and number of windows of the stretches that stand where they are listed."""
-    out = []
-    for x in listed:
-        first, count = x["place"] >> COUNT_BITS, x["place"] & ((1 << COUNT_BITS) - 1)
-        stop = first + count + units.window - 1
-        if stop <= size and int(hashes.of(np.array([first]), np.array([stop])).view(np.int64)[0]) == x["s"]:
-            out.append((first, count, x))
-    return out
+class Lists:
+    """The lists of structs in a column, as arrays of all rows with each row's bounds."""
+
+    def __init__(self, column: pa.ListArray):
+        lengths = np.array(column.value_lengths().fill_null(0))
+        self.stop = np.cumsum(lengths)
+        self.start = self.stop - lengths
+        self.flat = column.flatten()
+
+    def numbers(self, name: str) -> np.ndarray:
+        return self.flat.field(name).to_numpy(zero_copy_only=False)
+
+
+def places(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of stretches."""
+    return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
+
+
+def standing(hashes: Hashes, first: np.ndarray, count: np.ndarray, s: np.ndarray, units: Units, size: int) -> np.ndarray:
+    """Which stretches stand where they are listed."""
+    stop = first + count + units.window - 1
+    there = np.flatnonzero(stop <= size)
+    return there[hashes.of(first[there], stop[there]).view(np.int64) == s[there]]
+
+
+def compressed(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """row, a and body: the length of the text's bytes and these, compressed."""
+    rows = docs.select(F.struct(*keep).alias("row"), key_of(F.col(text)).alias("a"), F.col(text).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bodies = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in binary(batch.column(2))]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bodies, pa.binary())], ["row", "a", "body"])
+
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("body", T.BinaryType())])
+    return map_slices(rows, run, schema, 8 << 20)
 
 
 def examined(docs: DataFrame, keep: list[str], text: str, units: Units, found: DataFrame, kinds: DataFrame,
@@ -195,41 +221,41 @@ def examined(docs: DataFrame, keep: list[str], text: str, units: Units, found: D
 
     Columns: row (struct of ``keep``), a, units (number), sha256 (of texts
     without stretches), body (compressed text of the others, of all with
-    ``keep_text``) and given: (h, s, content) for each stretch the text stands
-    for, with ``content(parts, hashes, first, count, alone)``; ``alone`` tells
-    that its anchor has no other stretch.
+    ``keep_text``) and given: (h, s, n, count, alone, content) for each stretch
+    the text stands for, with ``content(parts, hashes, first, count, alone)``;
+    ``alone`` tells that its anchor has no other stretch.
     """
-    wanted = kinds.select("h", "s", "others", F.col("a").alias("one"), F.col("place").alias("one_place"))
-    listed = (found.join(wanted, ["h", "s"])
-              .groupBy("a").agg(F.collect_list(F.struct(
-                  "h", "s", "place", F.when((F.col("a") != F.col("one")) | (F.col("place") != F.col("one_place")), 0)
-                  .when(F.col("others"), 2).otherwise(1).alias("wanted"))).cast(PLACED).alias("listed")))
-    rows = docs.select(F.struct(*keep).alias("row"), key_of(F.col(text)).alias("a"), F.col(text).alias("text"))
-    rows = rows.join(listed, "a", "left").select("row", "a", "text", "listed")
+    listed = (found.select("a", F.lit(None).cast("struct<h:bigint,s:bigint,place:bigint,n:bigint,others:boolean>").alias("x"))
+              .union(kinds.select("a", F.struct("h", "s", "place", "n", "others")))
+              .groupBy("a").agg(F.collect_list("x").alias("listed")))  # texts with occurrences only get an empty list
+    rows = compressed(docs, keep, text).join(listed, "a", "left").select("row", "a", "body", "listed")
     schema = T.StructType([rows.schema["row"], rows.schema["a"], *T.StructType.fromDDL(
-        f"units bigint, sha256 string, body binary, given array<struct<h:bigint,s:bigint,content:{content_type}>>")])
+        "units bigint, sha256 string, body binary, "
+        f"given array<struct<h:bigint,s:bigint,n:bigint,count:int,alone:boolean,content:{content_type}>>")])
     kind = to_arrow_type(schema["given"].dataType)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = binary(batch.column(2))
+        listed = Lists(batch.column(3))
+        h, s, n = listed.numbers("h"), listed.numbers("s"), listed.numbers("n")
+        alone = ~listed.numbers("others").astype(bool)
+        first, count = places(listed.numbers("place"))
+        clean = batch.column(3).is_null().to_pylist()
         sizes, digests, bodies, given = [], [], [], []
-        for t, listed in zip(texts, batch.column(3).to_pylist()):
-            parts = units.split(t)
+        for body, done, low, high in zip(batch.column(2).to_pylist(), clean, listed.start, listed.stop):
+            parts = units.split(unpack(body))
             sizes.append(len(parts))
             out = []
-            if listed:
+            if high > low:
                 hashes = Hashes(units.codes([parts])[0])
-                mine = [x for x in listed if x["wanted"]]
-                out = [{"h": x["h"], "s": x["s"], "content": content(parts, hashes, first, count, x["wanted"] == 1)}
-                       for first, count, x in verified(hashes, mine, units, len(parts))]
+                mine = low + standing(hashes, first[low:high], count[low:high], s[low:high], units, len(parts))
+                out = [{"h": h[k], "s": s[k], "n": n[k], "count": count[k], "alone": alone[k],
+                        "content": content(parts, hashes, int(first[k]), int(count[k]), alone[k])} for k in mine]
             given.append(out)
-            digests.append(None if listed else hashlib.sha256(units.join(parts)).hexdigest())
-            bodies.append(pa.compress(t, codec="zstd", asbytes=True) if listed or keep_text else None)
-        lengths = pa.array(list(map(len, texts)), pa.int64())
-        packed = [None if b is None else int(n).to_bytes(8, "little") + b for n, b in zip(lengths.to_pylist(), bodies)]
+            digests.append(hashlib.sha256(units.join(parts)).hexdigest() if done else None)
+            bodies.append(None if done and not keep_text else body)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
-             pa.array(packed, pa.binary()), pa.array(given, kind)], schema.names)
+             pa.array(bodies, pa.binary()), pa.array(given, kind)], schema.names)
 
     return map_slices(rows, run, schema, 4 << 20)
 
@@ -238,6 +264,12 @@ def unpack(body: bytes) -> bytes:
     return pa.decompress(body[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
 
 
+def different(rows: DataFrame) -> DataFrame:
+    """One row for each stretch that the examined ``rows`` hand out."""
+    x = rows.select(F.explode("given").alias("x")).select("x.*")
+    return x.groupBy("h", "s").agg(F.first(F.struct("n", "count", "alone", "content")).alias("x")).select("h", "s", "x.*")
+
+
 def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units, keep_text: bool) -> DataFrame:
     """Remove the repeated windows ``repeated`` from the examined ``rows``.
 
@@ -245,7 +277,8 @@ def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units,
     its windows, and marks. Rows may share a stretch.
 
     Returns row, n_units, n_removed, n_spans, n_marks (different marks met),
-    kept_sha256 and, with ``keep_text``, kept (binary).
+    kept_sha256 and, with ``keep_text``, kept (binary, without the bytes of
+    characters that were cut in part).
     """
     hits = (found.join(repeated, ["h", "s"]).groupBy("a")
             .agg(F.collect_list(F.struct("s", "place", "firsts", "stops", "marks")).alias("hits")))
@@ -259,21 +292,26 @@ def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units,
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[] for _ in range(6)]
-        for body, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        hits = Lists(batch.column(2))
+        s = hits.numbers("s")
+        first, count = places(hits.numbers("place"))
+        firsts, stops, met = (hits.flat.field(c) for c in ("firsts", "stops", "marks"))
+        for body, low, high in zip(batch.column(1).to_pylist(), hits.start, hits.stop):
             parts = units.split(unpack(body))
             n, marks = len(parts), set()
             cover = np.zeros(n + 1, np.int32)
-            if hits:
+            if high > low:
                 hashes = Hashes(units.codes([parts])[0])
-                for first, _, x in verified(hashes, hits, units, n):
-                    np.add.at(cover, first + np.array(x["firsts"], np.int64), 1)
-                    np.add.at(cover, first + np.array(x["stops"], np.int64) - 1 + units.window, -1)
-                    marks.update(x["marks"] or ())
+                for k in low + standing(hashes, first[low:high], count[low:high], s[low:high], units, n):
+                    np.add.at(cover, first[k] + firsts[k].values.to_numpy(), 1)
+                    np.add.at(cover, first[k] + stops[k].values.to_numpy() - 1 + units.window, -1)
+                    marks.update(met[k].as_py() or ())
             gone = np.cumsum(cover[:n]) > 0
             kept = units.join(parts, ~gone)
             spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
             for column, value in zip(columns, (n, int(gone.sum()), spans, len(marks),
-                                               hashlib.sha256(kept).hexdigest(), kept if keep_text else None)):
+                                               hashlib.sha256(kept).hexdigest(),
+                                               kept.decode("utf-8", "ignore").encode() if keep_text else None)):
                 column.append(value)
         kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
         return pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns, kinds)], schema.names)

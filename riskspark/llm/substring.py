@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.llm import repeats
-from riskspark.llm.common import materialize
-from riskspark.llm.graph import components, cut
+from riskspark.llm.common import discard, materialize
+from riskspark.llm.graph import components
 
 WINDOW = 35
-ANCHOR = 6
+ANCHOR = 10
 
 
 def edge_content(parts, hashes: repeats.Hashes, first: int, count: int, alone: bool, window: int) -> list[int]:
@@ -33,42 +33,39 @@ def edge_content(parts, hashes: repeats.Hashes, first: int, count: int, alone: b
     return np.concatenate([edges, nodes]).view(np.int64).tolist()
 
 
-def compacted(given: DataFrame, kinds: DataFrame) -> DataFrame:
+def compacted(stretch: DataFrame) -> DataFrame:
     """(h, s, firsts, stops, marks): ranges of repeated windows of a stretch and their compacted paths.
 
-    ``given`` are (h, s, content) with the content of ``edge_content``.
+    ``stretch`` are the different stretches with the content of ``edge_content``.
     """
-    stretch = cut(given.join(kinds.select("h", "s", "n", "others", "place"), ["h", "s"])
-                  .withColumn("count", F.col("place").bitwiseAND((1 << repeats.COUNT_BITS) - 1).cast("int")))
-    alone = stretch.where("NOT others").select(
-        "h", "s", F.lit(0).alias("island"), F.lit(0).alias("first"), "count",
-        F.get("content", F.lit(0)).alias("start"), F.get("content", F.lit(1)).alias("end"))
-    edges = cut(stretch.where("others").select("h", "s", "n", "count", "content", F.posexplode(F.slice("content", 1, F.col("count"))))
-                .select("h", "s", "n", F.col("pos").alias("offset"), F.col("col").alias("edge"),
-                        F.get("content", F.col("count") + F.col("pos")).alias("start"),
-                        F.get("content", F.col("count") + F.col("pos") + 1).alias("end")))
+    edges = stretch.where("NOT alone").select("h", "s", "n", F.posexplode(F.slice("content", F.lit(1), F.col("count"))).alias("offset", "edge"))
     twice = (edges.groupBy("edge").agg(F.sum("n").alias("n"), F.min(F.struct("h", "s", "offset")).alias("one"))
              .where("n > 1").select("edge", "one"))
-    repeated = cut(edges.drop("n").join(twice, "edge"))
+    repeated = materialize(edges.join(twice, "edge").select(
+        "h", "s", "offset", "edge", (F.struct("h", "s", "offset") == F.col("one")).alias("standing")), "edges")
     inside = Window.partitionBy("h", "s").orderBy("offset")
-    distinct = cut(repeated.where(F.struct("h", "s", "offset") == F.col("one")).withColumn(
-        "island", F.col("offset") - F.row_number().over(inside)))
-    paths = (distinct.groupBy("h", "s", "island").agg(
-        F.min("offset").alias("first"), F.count("*").cast("int").alias("count"),
-        F.min_by("start", "offset").alias("start"), F.max_by("end", "offset").alias("end")))
-    paths = cut(alone.unionByName(paths).withColumn("id", F.xxhash64("h", "s", "first")))
+    distinct = repeated.where("standing").withColumn("island", F.col("offset") - F.row_number().over(inside))
+    runs = (distinct.groupBy("h", "s", "island").agg(F.min("offset").alias("first"), F.count("*").cast("int").alias("edges")))
+    at = F.when(F.col("alone"), 0).otherwise(F.col("count") + F.col("first"))
+    paths = (stretch.where("alone AND n > 1").select("h", "s", F.lit(0).alias("island"), F.lit(0).alias("first"), "count", "alone", "content",
+                                                     F.lit(1).alias("edges"))
+             .unionByName(stretch.select("h", "s", "count", "alone", "content").join(runs, ["h", "s"]))
+             .select("h", "s", "island", "alone", "count", F.get("content", at).alias("start"),
+                     F.get("content", at + F.col("edges")).alias("end"), F.xxhash64("h", "s", "first").alias("id")))
+    paths = materialize(paths, "paths")
     into = paths.groupBy("end").agg(F.count("*").alias("c"), F.min("id").alias("u")).where("c = 1")
     outof = paths.groupBy("start").agg(F.count("*").alias("d"), F.min("id").alias("v")).where("d = 1")
     chains = components(into.join(outof, into.end == outof.start).select("u", "v"))
-    paths = paths.join(chains, paths.id == chains.node, "left").withColumn("path", F.coalesce("component", "id"))
-    whole = (paths.join(alone.select("h", "s"), ["h", "s"])
-             .select("h", "s", F.array(F.lit(0)).alias("firsts"), F.array("count").alias("stops"),
-                     F.array("path").alias("marks")))
-    of_edge = distinct.select("h", "s", "island", "edge").join(paths.select("h", "s", "island", "path"), ["h", "s", "island"])
+    named = paths.join(chains, paths.id == chains.node, "left").withColumn("path", F.coalesce("component", "id"))
+    whole = named.where("alone").select("h", "s", F.array(F.lit(0)).alias("firsts"), F.array("count").alias("stops"),
+                                        F.array("path").alias("marks"))
+    of_edge = distinct.select("h", "s", "island", "edge").join(named.select("h", "s", "island", "path"), ["h", "s", "island"])
     parts = (repeated.join(of_edge.select("edge", "path"), "edge").groupBy("h", "s")
              .agg(F.collect_list("offset").alias("firsts"), F.collect_set("path").alias("marks"))
              .withColumn("stops", F.transform("firsts", lambda x: x + 1)))
-    return whole.unionByName(parts)
+    out = materialize(whole.unionByName(parts), "repeated")
+    discard(repeated, paths)
+    return out
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW,
@@ -92,7 +89,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", window:
     found, kinds = repeats.occurrences(docs, text, units)
     rows = materialize(repeats.examined(docs, keep, text, units, found, kinds, content, "array<bigint>", keep_text),
                        "examined")
-    given = (rows.where("size(given) > 0").groupBy("a").agg(F.first("given").alias("given"))
-             .select(F.explode("given").alias("x")).select("x.*"))
-    repeated = compacted(given, kinds)
+    stretch = materialize(repeats.different(rows), "different")
+    repeated = compacted(stretch)
+    discard(stretch)
     return repeats.finish(rows, found, repeated, units, keep_text)

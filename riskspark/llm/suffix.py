@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import repeats
-from riskspark.llm.common import materialize
+from riskspark.llm.common import discard, materialize
 from riskspark.llm.induced import repeated_starts
 
 WINDOW = 400
-ANCHOR = 48
+ANCHOR = 100
 SHARD_BYTES = 8 << 20
 
 
@@ -62,14 +62,30 @@ def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", window:
 
     found, kinds = repeats.occurrences(docs, text, units)
     rows = materialize(repeats.examined(docs, keep, text, units, found, kinds, content, "binary", keep_text), "examined")
-    count = F.col("place").bitwiseAND((1 << repeats.COUNT_BITS) - 1).cast("int")
-    total = kinds.agg(F.sum(count + window - 1)).first()[0] or 0
-    shards = total // shard_bytes + 1
-    given = (rows.where("size(given) > 0").groupBy("a").agg(F.first("given").alias("given"))
-             .select(F.explode("given").alias("x")).select("x.*")
-             .join(kinds.select("h", "s", "n", count.alias("count")), ["h", "s"])
-             .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))))
-    repeated = (given.groupBy("shard").applyInArrow(
+    stretch = materialize(repeats.different(rows), "different")
+    total = stretch.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    shards = stretch.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(total // shard_bytes + 1)))
+    repeated = materialize(shards.groupBy("shard").applyInArrow(
         lambda shard: sorted_shard(shard, window), "h bigint, s bigint, firsts array<int>, stops array<int>")
-        .withColumn("marks", F.array().cast("array<bigint>")))
+        .withColumn("marks", F.array().cast("array<bigint>")), "repeated")
+    discard(stretch)
     return repeats.finish(rows, found, repeated, units, keep_text)
+
+
+def cleaned(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents without repeated strings, with the columns of ``docs``.
+
+    Bytes of characters cut in part are dropped too; ``n_chars``, if there,
+    follows a changed text.  A text that loses all it has goes with its
+    document; empty and NULL texts stay.
+    """
+    others = [c for c in docs.columns if c != text]
+    kept = docs.withColumn("__null", F.isnull(text))
+    found = remove_repeats(kept, [*others, "__null"], text, keep_text=True, **options)
+    left = F.when(~F.col("row.__null"), F.col("kept").cast("string"))
+    changed = F.col("n_removed") > 0
+    values = {text: left}
+    if "n_chars" in others:
+        values["n_chars"] = F.when(changed, F.length(left).cast("long")).otherwise(F.col("row.n_chars"))
+    return (found.where(~changed | (F.length(left) > 0))
+            .select(*(values.get(c, F.col("row")[c]).alias(c) for c in docs.columns)))

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskspark.llm import mixing
+
+
+def targets(sizes, share=1.5):
+    """Water filling by rounds."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    left, out = share * sum(sizes.values()), {}
+    free = set(names)
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if 2 * sizes[s] <= level * weight[s]}
+        if not full:
+            return out | {s: level * weight[s] for s in free}
+        out |= {s: 2.0 * sizes[s] for s in full}
+        left -= sum(2 * sizes[s] for s in full)
+        free -= full
+    return out
+
+
+def rows():
+    rng = random.Random(6)
+    out = [(None, None, None), (1, "", "b"), (1, "x", "b"), (7, "tiny", "zz")]
+    for i in range(400):
+        source = rng.choice(["a", "a", "a", "b", "é", None, "only"])
+        out.append((i if i % 11 else None, "w\t" * rng.choice([0, 1, 5, 30, 2000 if i == 9 else 10]), source))
+    return out + out[20:40]
+
+
+def test_contract(spark):
+    data = rows()
+    docs = spark.createDataFrame([(d, t, s, i, 0) for i, (d, t, s) in enumerate(data)],
+                                 "doc_id long, text string, source string, size long, row int")
+    got = mixing.curriculum(docs.repartition(3), ["doc_id", "size"]).collect()
+    assert len(got) == len(data)
+    sizes, taken = {}, {}
+    by = {r.row["size"]: r for r in got}
+    for i, (d, t, s) in enumerate(data):
+        r = by[i]
+        assert r.size == len((t or "").split()) and 0 <= r.taken <= 2 * r.size and r.row.doc_id == d
+        sizes[s] = sizes.get(s, 0) + r.size
+        taken[s] = taken.get(s, 0) + r.taken
+    want = targets(sizes)
+    for i, (d, t, s) in enumerate(data):
+        assert by[i].source_size == sizes[s] and by[i].target == pytest.approx(want[s])
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in sizes)
+    at = [r.position for r in got]
+    due = [p for p in at if p is not None]
+    assert due == sorted(due) and at == due + [None] * (len(at) - len(due)) and 0 <= due[0] and due[-1] <= 1
+    again = mixing.curriculum(docs.repartition(7), ["doc_id", "size"]).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_schedule_inverts_cumulative_demand(spark):
+    """The words served up to time t are near the integral of each source's schedule."""
+    data = [(i, "w " * 10, "abc"[i % 3]) for i in range(3000)]
+    got = mixing.curriculum(spark.createDataFrame(data, "doc_id long, text string, source string"),
+                            ["doc_id", "source"]).collect()
+    for source, a in zip("abc", mixing.SLOPES):
+        mine = [r for r in got if r.row.source == source]
+        target = mine[0].target
+        for t in (0.2, 0.5, 0.8):
+            served = sum(r.first for r in mine if r.position is not None and r.position < t) + \
+                sum(r.again for r in mine if r.position_again is not None and r.position_again < t)
+            assert abs(served - target * ((1 - a) * t + a * t * t)) <= 10
+
+
+def test_mixed_documents(spark):
+    data = rows()
+    docs = spark.createDataFrame([(d, t, s, i) for i, (d, t, s) in enumerate(data)],
+                                 "doc_id long, text string, source string, first long")
+    plan = {r.row["first"]: r for r in mixing.curriculum(docs, ["first"]).collect()}
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    words = {}
+    for r in mixed.collect():
+        words[r.first] = words.get(r.first, 0) + len(r.text.split())
+    assert words == {i: r.taken for i, r in plan.items() if r.taken}
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+    assert mixing.curriculum(docs.where(F.lit(False)), ["doc_id"]).count() == 0

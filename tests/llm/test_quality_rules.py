@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+from riskspark.llm import quality_rules as qr
+
+BOILER = "Subscribe to our newsletter 7 times"
+SPACE = r"[\x20\x09-\x0D]+"
+
+
+def corpus():
+    rows = []
+    for i in range(60):
+        own = "\n".join(f"line {k} of text {i} with words w{i}x{k} and z{i * k}" for k in range(4))
+        rows.append(("hot", own + ("\n" + BOILER if i % 2 else "")))
+    rows += [("hot", "short text here\n" + BOILER.upper().replace("7", "9") + "  \n" + BOILER + " \n" + BOILER) for _ in range(1)]
+    rows += [("hot", rows[0][1])] * 30                                            # copies are not boilerplate
+    rows += [(None, None), ("x", ""), ("x", " \n\t"), ("x", "a\nb\na\n\na"), ("x", "a b c d e f " * 20),
+             ("x", "é# $% ü<> one two three four five six seven eight nine"), (None, "word " * 9), ("x", "w " * 50_000)]
+    return rows
+
+
+def brute(rows):
+    out, lines, hosts = [], defaultdict(set), defaultdict(set)
+    norm = lambda line: " ".join(w for w in re.split(SPACE, line) if w).lower().translate(
+        str.maketrans("123456789", "0" * 9))
+    for host, text in rows:
+        hosts[host].add(text or "")
+        own = sorted({norm(x) for x in (text or "").split("\n")} - {""}, key=lambda x: qr.line_hash(x.encode().split()))
+        for x in own:
+            rest = [y for y in own if y != x]
+            lines[host, x].add(rest[0] if rest else None)
+    for host, text in rows:
+        t = text or ""
+        words = [w for w in re.split(SPACE, t) if w]
+        raw = [x for x in t.split("\n") if re.sub(SPACE, "", x)]
+        grams = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+        inside = {j for i in range(len(words) - 4) if grams[tuple(words[i:i + 5])] > 1 for j in range(i, i + 5)}
+        gone = sum(len(norm(x).split(" ")) for x in raw if len(lines[host, norm(x)]) > 20
+                   and len(lines[host, norm(x)]) * 100 > 5 * len(hosts[host]))
+        failed = len(words) < 10 or 100 * len(inside) > 20 * len(words)
+        kept = not failed and len(words) - gone >= 10 and 100 * (len(words) - gone) >= 50 * len(words)
+        out.append((len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(raw) - len(set(raw)),
+                    len(inside), failed, kept, gone))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i if i % 5 else None, t, h, i, 3) for i, (h, t) in enumerate(rows)],
+                                 "doc_id long, text string, source string, i long, key int")
+
+
+def test_equals_brute_force(spark):
+    rows = corpus()
+    got = {r.row.i: tuple(r)[2:8] + (r.kept, r.removed_words) for r in
+           qr.verdicts(frame(spark, rows), ["i", "key"]).collect()}
+    assert got == dict(enumerate(brute(rows)))
+    assert any(w[7] for w in got.values()) and got[0][6] and got[70][6]
+
+
+def test_clean_removes_lines_and_documents(spark):
+    rows = corpus()
+    docs = frame(spark, rows).withColumnRenamed("key", "n_chars")
+    got = {r.i: r for r in qr.clean(docs).collect()}
+    want = brute(rows)
+    assert sorted(got) == [i for i, w in enumerate(want) if w[6]]
+    assert got[1].text == rows[1][1].replace("\n" + BOILER, "") and got[1].n_chars == len(got[1].text)
+    assert got[0].text == rows[0][1] and got[0].n_chars == 3
+    assert qr.clean(docs.limit(0)).count() == 0
