@@ -12,7 +12,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 def corpus():
     rows = []
     for i in range(60):
-        own = "\n".join(f"line {k} of text {i} with words w{i}x{k} and z{i * k}" for k in range(4))
+        name = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+        own = "\n".join(f"line {name(k)} of {name(i)} with w{name(i)}x{name(k)} and z{name(i * k)}" for k in range(4))
         rows.append(("hot", own + ("\n" + BOILER if i % 2 else "")))
     rows += [("hot", "short text here\n" + BOILER.upper().replace("7", "9") + "  \n" + BOILER + " \n" + BOILER) for _ in range(1)]
     rows += [("hot", rows[0][1])] * 30                                            # copies are not boilerplate
