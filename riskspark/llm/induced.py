@@ -24,9 +24,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
+from riskspark.llm.common import Hashes, mix
+
 QUEUE_BYTES = 64 << 20
 BATCH = 1 << 19
 RECURSE_SYMBOLS = 1024
+DIRECT = 12  # symbols compared one by one
 
 
 class TupleQueue:
@@ -61,23 +64,41 @@ class TupleQueue:
         self.file.seek(at)
         return (np.frombuffer(self.file.read(8 * n), np.int64), np.frombuffer(self.file.read(2 * n), np.int16))
 
+    def batches(self, parts: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Parts in order, joined to batches."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for part in parts:
+            place, prefix = self.read(part)
+            if part[0] is place:
+                self.held -= place.nbytes + prefix.nbytes
+            for at in range(0, len(place), BATCH):
+                held.append((place[at:at + BATCH], prefix[at:at + BATCH]))
+                size += len(held[-1][0])
+                if size >= BATCH:
+                    yield tuple(map(np.concatenate, zip(*held)))
+                    held, size = [], 0
+        if held:
+            yield tuple(map(np.concatenate, zip(*held)))
+
     def take(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The tuples of a symbol, also those put while they are taken."""
-        parts, self.parts[symbol] = self.parts[symbol], []
-        while parts:
-            for part in parts:
-                place, prefix = self.read(part)
-                if part[0] is place:
-                    self.held -= place.nbytes + prefix.nbytes
-                for at in range(0, len(place), BATCH):
-                    yield place[at:at + BATCH], prefix[at:at + BATCH]
+        while self.parts[symbol]:
             parts, self.parts[symbol] = self.parts[symbol], []
+            yield from self.batches(parts)
 
     def backwards(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for part in reversed(self.parts[symbol]):
-            place, prefix = self.read(part)
-            for stop in range(len(place), 0, -BATCH):
-                yield place[max(0, stop - BATCH):stop][::-1], prefix[max(0, stop - BATCH):stop][::-1]
+        """The tuples of a symbol in reverse order."""
+        parts, self.parts[symbol] = self.parts[symbol], []
+        while parts:
+            group, size = [], 0
+            while parts and size < BATCH:
+                part = parts.pop()
+                size += len(part[0]) if isinstance(part[0], np.ndarray) else part[1]
+                group.append(part)
+            both = [(p, c) for p, c in self.batches(group[::-1])]
+            for place, prefix in reversed(both):
+                yield place[::-1], prefix[::-1]
 
 
 class Minima:
@@ -155,8 +176,15 @@ def refined(rank: np.ndarray, member: np.ndarray, key: np.ndarray) -> np.ndarray
 
     A rank is the number of smaller items.
     """
-    order = np.lexsort((key, rank[member]))
-    own, keys = rank[member][order], key[order]
+    own = rank[member]
+    low, high = int(key.min(initial=0)), int(key.max(initial=0))
+    if not own.any():
+        order = np.argsort(key)
+    elif (int(own.max()) + 1) * (high - low + 1) < 1 << 62:
+        order = np.argsort(own * (high - low + 1) + (key - low))
+    else:
+        order = np.lexsort((key, own))
+    own, keys = own[order], key[order]
     group = np.ones(len(order), bool)
     group[1:] = own[1:] != own[:-1]
     part = group.copy()
@@ -202,23 +230,31 @@ def star_order(text: np.ndarray, stars: np.ndarray, symbols: int, cap: int) -> n
 
 
 def prefixes(text: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix of each place of ``order`` with the one before it, up to ``cap``."""
+    """Common prefix of each place of ``order`` with the one before it, up to ``cap``.
+
+    The first symbols are compared one by one; pairs that agree in them are
+    bisected with hashes of whole runs.
+    """
     out = np.zeros(len(order), np.int16)
-    active, done, width = np.arange(1, len(order)), 0, 16
-    steps = np.arange(width)
-    last = len(text) - 1
-    while len(active) and done < cap:
-        keep = []
-        for at in range(0, len(active), BATCH):
-            k = active[at:at + BATCH]
-            a = text[np.minimum((order[k] + done)[:, None] + steps, last)]
-            b = text[np.minimum((order[k - 1] + done)[:, None] + steps, last)]
-            differs = a != b
-            same = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-            out[k] = np.minimum(done + same, cap)
-            keep.append(k[same == width])
-        active = np.concatenate(keep)
-        done += width
+    n, hashes = len(text), None
+    active = np.arange(1, len(order))
+    for step in range(min(cap, DIRECT)):
+        a, b = order[active] + step, order[active - 1] + step
+        active = active[(np.maximum(a, b) < n) & (text[np.minimum(a, n - 1)] == text[np.minimum(b, n - 1)])]
+        out[active] = step + 1
+    for at in range(0, len(active), BATCH):
+        hashes = hashes or Hashes(mix(text.astype(np.uint64) + np.uint64(1)))
+        k = active[at:at + BATCH]
+        a, b = order[k], order[k - 1]
+        room = np.minimum(n - np.maximum(a, b), cap)
+        same, bit = out[k].astype(np.int64), 1 << int(cap).bit_length()
+        while bit:
+            more = same + bit
+            good = np.flatnonzero(more <= room)
+            equal = hashes.of(a[good], a[good] + more[good]) == hashes.of(b[good], b[good] + more[good])
+            same[good[equal]] += bit
+            bit >>= 1
+        out[k] = same
     return out
 
 

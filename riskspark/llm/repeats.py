@@ -32,9 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskspark.llm.common import binary, discard, materialize, mix, slices, sliding_argmin
+from riskspark.llm.common import Hashes, binary, discard, materialize, mix, slices, sliding_argmin
 
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 SEGMENT = 1 << 21  # units of a long text handled at a time
 COUNT_BITS = 12  # of a place: its upper bits are the first window, its lower ones the number of windows
 PLACED = "array<struct<h:bigint,s:bigint,place:bigint,wanted:int>>"
@@ -71,36 +70,6 @@ class Units:
         return [table[i] for i in ids]
 
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse, modulo 2^64."""
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            row = np.full(2 * n, base, np.uint64)
-            row[0] = 1
-            _POWERS[k] = np.multiply.accumulate(row)
-    return _POWERS[0], _POWERS[1]
-
-
-class Hashes:
-    """Hashes of any run of units, from prefix sums."""
-
-    def __init__(self, codes: np.ndarray):
-        up, self.down = powers(len(codes) + 1)
-        self.sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * up[:len(codes)], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64))
-
-    def runs(self, length: int, count: int) -> np.ndarray:
-        """Hashes of the first ``count`` runs of ``length`` units."""
-        raw = (self.sums[length:length + count] - self.sums[:count]) * self.down[:count]
-        return mix(raw + np.uint64(length))
-
-
 def stretches(codes: list[np.ndarray], units: Units) -> tuple[np.ndarray, ...]:
     """Owner, place, anchor hash and content hash of the stretches of some texts."""
     window = units.window
@@ -191,6 +160,23 @@ class Lists:
         return self.flat.field(name).to_numpy(zero_copy_only=False)
 
 
+    def nested(self, name: str) -> np.ndarray:
+        """Bounds of a field that is a list itself."""
+        lengths = np.array(self.flat.field(name).value_lengths().fill_null(0))
+        return np.concatenate([[0], np.cumsum(lengths)])
+
+    def values(self, name: str) -> np.ndarray:
+        return self.flat.field(name).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def spread(bounds: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Item and place of every value in the lists of some items."""
+    lengths = bounds[items + 1] - bounds[items]
+    of = np.repeat(items, lengths)
+    skip = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return of, bounds[of] + np.arange(len(of)) - skip
+
+
 def places(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First window and number of windows of stretches."""
     return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
@@ -295,21 +281,23 @@ def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units,
         hits = Lists(batch.column(2))
         s = hits.numbers("s")
         first, count = places(hits.numbers("place"))
-        firsts, stops, met = (hits.flat.field(c) for c in ("firsts", "stops", "marks"))
+        ranges, firsts, stops = hits.nested("firsts"), hits.values("firsts"), hits.values("stops")
+        met, marks = hits.nested("marks"), hits.values("marks")
         for body, low, high in zip(batch.column(1).to_pylist(), hits.start, hits.stop):
             parts = units.split(unpack(body))
-            n, marks = len(parts), set()
+            n, mine = len(parts), low
             cover = np.zeros(n + 1, np.int32)
             if high > low:
                 hashes = Hashes(units.codes([parts])[0])
-                for k in low + standing(hashes, first[low:high], count[low:high], s[low:high], units, n):
-                    np.add.at(cover, first[k] + firsts[k].values.to_numpy(), 1)
-                    np.add.at(cover, first[k] + stops[k].values.to_numpy() - 1 + units.window, -1)
-                    marks.update(met[k].as_py() or ())
+                mine = low + standing(hashes, first[low:high], count[low:high], s[low:high], units, n)
+                of, at = spread(ranges, mine)
+                np.add.at(cover, first[of] + firsts[at], 1)
+                np.add.at(cover, first[of] + stops[at] - 1 + units.window, -1)
             gone = np.cumsum(cover[:n]) > 0
             kept = units.join(parts, ~gone)
             spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
-            for column, value in zip(columns, (n, int(gone.sum()), spans, len(marks),
+            for column, value in zip(columns, (n, int(gone.sum()), spans,
+                                               len(np.unique(marks[spread(met, mine)[1]])) if high > low else 0,
                                                hashlib.sha256(kept).hexdigest(),
                                                kept.decode("utf-8", "ignore").encode() if keep_text else None)):
                 column.append(value)

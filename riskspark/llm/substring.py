@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.llm import repeats
-from riskspark.llm.common import discard, materialize
+from riskspark.llm.common import Hashes, discard, materialize
 from riskspark.llm.graph import components
 
 WINDOW = 35
 ANCHOR = 10
 
 
-def edge_content(parts, hashes: repeats.Hashes, first: int, count: int, alone: bool, window: int) -> list[int]:
+def edge_content(parts, hashes: Hashes, first: int, count: int, alone: bool, window: int) -> list[int]:
     """Hashes of the edges (none if the stretch is one path anyway), then of the nodes."""
     at = np.arange(first, first + count + 1)
     nodes = hashes.of(at, at + window - 1)
