@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import postprocess_prediction
 from riskspark.operators.features import FEATURES, fit_features
+from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.schema import (FOREST_DEPTH, FOREST_SEED, FOREST_TREES,
                               LABEL_COLUMN, PREDICTION_COLUMN)
 
@@ -39,16 +40,14 @@ def fit_resolution_model(train: DataFrame, features: PipelineModel | None = None
                          partitions: int | None = None) -> PipelineModel:
     """Fit feature stages (unless given) and the forest on ``train``.
 
-    Bootstrap samples are drawn per partition, so rows are sorted by id
-    inside each partition: the same partitions give the same forest.  The
-    input's own partitioning is kept (the cleaned table is already
-    hash-partitioned on the id) unless ``partitions`` asks for a repartition.
+    Bootstrap samples are drawn per partition.  Rows are dealt by id into a
+    number of partitions that follows from their count alone, and sorted by id
+    there: the same rows give the same forest on any number of cores.
     """
     features = features or fit_features(train)
-    prepared = features.transform(train).select("incident_id", FEATURES, LABEL_COLUMN)
-    if partitions:
-        prepared = prepared.repartition(partitions, "incident_id")
-    prepared = (prepared.sortWithinPartitions("incident_id")
+    partitions = partitions or partitions_for_rows(train.count())
+    prepared = (features.transform(train).select("incident_id", FEATURES, LABEL_COLUMN)
+                .repartition(partitions, "incident_id").sortWithinPartitions("incident_id", LABEL_COLUMN)
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         forest = forest_estimator(trees, depth).fit(prepared)

@@ -22,7 +22,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.scalar import round_half_even
+from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.schema import (CLUSTER_FEATURES, CLUSTER_K, CLUSTER_SEED,
                               PROFILE_DIRECTIONS, PROFILE_NAMES,
                               SILHOUETTE_K_RANGE)
@@ -49,7 +50,15 @@ def scaler_pipeline() -> Pipeline:
 
 
 def scaled(df: DataFrame, scaler: PipelineModel | None = None) -> tuple[DataFrame, PipelineModel]:
-    """Standardised vectors (persisted: K-Means and the sweep pass over them)."""
+    """Standardised vectors (persisted: K-Means and the sweep pass over them).
+
+    Seeds are drawn per partition, so rows with ids are dealt into partitions
+    by id and count alone and sorted there.
+    """
+    if "incident_id" in df.columns:
+        df = (df.select("incident_id", *CLUSTER_FEATURES)
+              .repartition(partitions_for_rows(df.count()), "incident_id")
+              .sortWithinPartitions("incident_id", *CLUSTER_FEATURES))
     scaler = scaler or scaler_pipeline().fit(df)
     vectors = (scaler.transform(df).drop("cluster_input")
                .persist(StorageLevel.MEMORY_AND_DISK))
@@ -60,20 +69,25 @@ def kmeans(k: int = CLUSTER_K, seed: int = CLUSTER_SEED) -> KMeans:
     return KMeans(k=k, seed=seed, featuresCol=SCALED, predictionCol="cluster_id")
 
 
-def silhouette_by_k(spark: SparkSession, vectors: DataFrame,
-                    ks: list[int] = SILHOUETTE_K_RANGE) -> DataFrame:
-    """Silhouette (squared Euclidean) of a K-Means fit for each k."""
+def silhouette_by_k(spark: SparkSession, vectors: DataFrame, ks: list[int] = SILHOUETTE_K_RANGE,
+                    fitted: dict[int, KMeansModel] | None = None,
+                    concurrency: int = SWEEP_CONCURRENCY) -> DataFrame:
+    """Silhouette (squared Euclidean) of a K-Means fit for each k.
+
+    ``fitted`` models are used as they are; ``concurrency`` fits run at once.
+    """
+    fitted = fitted or {}
     evaluator = ClusteringEvaluator(featuresCol=SCALED, predictionCol="cluster_id",
                                     metricName="silhouette",
                                     distanceMeasure="squaredEuclidean")
 
     def fit_and_score(k: int) -> tuple[int, float]:
-        assigned = kmeans(k).fit(vectors).transform(vectors)
+        assigned = (fitted.get(k) or kmeans(k).fit(vectors)).transform(vectors)
         return k, float(evaluator.evaluate(assigned))
 
     # The fits are independent jobs over the same persisted vectors; running a
     # few at once overlaps their per-iteration scheduling gaps.
-    with ThreadPoolExecutor(max_workers=min(SWEEP_CONCURRENCY, len(ks))) as pool:
+    with ThreadPoolExecutor(max_workers=min(concurrency, len(ks))) as pool:
         rows = list(pool.map(fit_and_score, ks))
     schema = T.StructType([T.StructField("k", T.IntegerType(), False),
                            T.StructField("silhouette", T.DoubleType(), False)])
@@ -142,12 +156,16 @@ def segment(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segmented incidents, profile assignment)."""
     vectors, scaler = scaled(df)
     try:
-        model = kmeans().fit(vectors)
-        assigned = model.transform(vectors).withColumn("cluster_id",
-                                                       F.col("cluster_id").cast("int"))
-        assignment = profile_assignment(spark, assigned)  # runs now: k rows
+        return segment_with(spark, df, vectors, scaler, kmeans().fit(vectors))
     finally:
         vectors.unpersist()
+
+
+def segment_with(spark: SparkSession, df: DataFrame, vectors: DataFrame, scaler: PipelineModel,
+                 model: KMeansModel) -> tuple[DataFrame, DataFrame]:
+    """(segmented incidents, profile assignment) of fitted models."""
+    assigned = model.transform(vectors).withColumn("cluster_id", F.col("cluster_id").cast("int"))
+    assignment = profile_assignment(spark, assigned)  # runs now: k rows
     # The result is lazy: scaling and assignment are cheap projections.
     labelled = model.transform(scaler.transform(df)).withColumn(
         "cluster_id", F.col("cluster_id").cast("int"))
@@ -176,3 +194,21 @@ def profiles_by_count(segmented: DataFrame) -> DataFrame:
 
 def profile_count(segmented: DataFrame) -> DataFrame:
     return segmented.agg(F.count_distinct("risk_profile").alias("risk_profiles"))
+
+
+def segment_check(segmented: DataFrame, assigned: DataFrame, centres: list[list[float]]) -> DataFrame:
+    """One row about a segmentation: rows, named rows, profiles, rows that another centre is nearer to,
+    and how far the profiles' means, weighted by size, are from the overall means (below one in 10^9)."""
+    z = vector_to_array(F.col(SCALED))
+    distance = [sum((z[i] - F.lit(c[i])) * (z[i] - F.lit(c[i])) for i in range(len(c))) for c in centres]
+    nearest = F.least(*distance)
+    own = F.coalesce(*[F.when(F.col("cluster_id") == k, d) for k, d in enumerate(distance)])
+    astray = assigned.agg(F.count(F.when(own > nearest + 1e-9, 1)).alias("astray"))
+    sums = [F.sum(c).alias(c) for c in CLUSTER_FEATURES]
+    parts = segmented.groupBy("risk_profile").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in CLUSTER_FEATURES])
+    again = parts.agg(F.sum("n").alias("n"), *[F.sum(F.col(c) * F.col("n")).alias(f"p_{c}") for c in CLUSTER_FEATURES])
+    facts = segmented.agg(F.count(F.lit(1)).alias("incidents"), F.count("risk_profile").alias("named"),
+                          F.count_distinct("risk_profile").alias("profiles"), *sums)
+    off = F.greatest(*[F.abs(F.col(c) - F.col(f"p_{c}")) / F.abs(F.col(c)) for c in CLUSTER_FEATURES])
+    return (facts.join(astray, F.lit(True)).join(again, F.lit(True))
+            .select("incidents", "named", "profiles", "astray", (off < 1e-9).alias("means_agree")))

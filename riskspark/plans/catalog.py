@@ -13,15 +13,15 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.functions.scalar import loss_per_user, postprocess_prediction
 from riskspark.operators import (explore, export, features, forest, quality,
                                  resolution, segment)
-from riskspark.plans.cache import memoized
-from riskspark.plans.partitioning import partitions_for_rows
-from riskspark.schema import (CLUSTER_FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL_COLUMN,
-                              PARITY_TOLERANCE)
-from riskspark.session import checkpoint_root, shared_path
+from riskspark.plans.cache import delete_folder, memoized
+from riskspark.schema import (CLUSTER_K, INCIDENT_SCHEMA, LABEL_COLUMN, PARITY_TOLERANCE,
+                              PREDICTION_COLUMN)
+from riskspark.session import shared_path
 from riskspark.sources import files
 from riskspark.sources.incidents import incidents as incidents_view
 from riskspark.sources.tables import read_table
@@ -42,28 +42,20 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned table, persisted once per application (reused by all).
-
-    Checkpointed to the shared folder after deduplication (which combines
-    copies map-side), then hash-partitioned on ``incident_id`` into a count
-    that follows the number of orders (one incident per order; a
-    metadata-only count) and cached.  Every later group-by or join on
-    ``incident_id`` reuses this partitioning, and fits see the same
-    partitions whatever ``spark.sql.shuffle.partitions`` is.
+    """The cleaned table, written once per application (read by all queries).
+
+    Parquet in the shared folder, sorted by id inside the partitions that the
+    deduplication leaves: no further shuffle, no cache, and each query reads
+    its own columns and pushes its filter into the scan.
     """
     def build() -> DataFrame:
-        orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
-        partitions = partitions_for_rows(spark, orders)
-        checkpoint_root(spark)  # the shared folder, from the session
-        # Cut lineage first (a reliable checkpoint: a lost executor's data is
-        # re-read, not recomputed from the driver tables), then hash-partition
-        # and cache; a checkpoint does not keep partitioning, the cache does.
-        durable = quality.clean(incidents_view(spark, sf_dir)).checkpoint(eager=True)
-        cleaned = (durable.repartition(partitions, "incident_id")
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-        cleaned.count()
-        return cleaned
-    return memoized(spark, sf_dir, "cleaned_incidents", build)
+        path = shared_path(spark, "tables", "cleaned", unique=True)
+        quality.clean(incidents_view(spark, sf_dir)).sortWithinPartitions("incident_id").write.parquet(path)
+        out = spark.read.schema(files.CLEANED_SCHEMA).parquet(path)
+        out.scratch_path = path
+        return out
+    return memoized(spark, sf_dir, "cleaned_incidents", build,
+                    lambda df: delete_folder(spark, df.scratch_path))
 
 
 def _mean(column: str) -> F.Column:
@@ -194,17 +186,18 @@ def exported_model(spark, sf_dir) -> str:
 def forest_nodes(spark, sf_dir):
     return memoized(spark, sf_dir, "forest_nodes",
                     lambda: export.read_export(spark, exported_model(spark, sf_dir), "model_nodes")
-                    .persist(StorageLevel.MEMORY_AND_DISK))
+                    .persist(StorageLevel.MEMORY_AND_DISK), lambda df: df.unpersist())
 
 
 def delta_table(spark, sf_dir):
+    """The deltas of the feature stages; the forest is not needed for them."""
     return memoized(spark, sf_dir, "model_deltas",
-                    lambda: export.read_export(spark, exported_model(spark, sf_dir), "model_deltas")
-                    .persist(StorageLevel.MEMORY_AND_DISK))
+                    lambda: export.model_deltas(spark, feature_model(spark, sf_dir))
+                    .persist(StorageLevel.MEMORY_AND_DISK), lambda df: df.unpersist())
 
 
 def q_label_index(spark, sf_dir):
-    return export.read_export(spark, exported_model(spark, sf_dir), "model_labels")
+    return features.model_labels(spark, feature_model(spark, sf_dir))
 
 
 def q_encoded_features(spark, sf_dir):
@@ -230,7 +223,8 @@ def q_model_deltas(spark, sf_dir):
 
 
 def q_features_from_deltas(spark, sf_dir):
-    return export.features_from_deltas(cleaned_incidents(spark, sf_dir), delta_table(spark, sf_dir))
+    return forest.features_from_deltas(cleaned_incidents(spark, sf_dir), delta_table(spark, sf_dir),
+                                       features.feature_size(feature_model(spark, sf_dir)))
 
 
 def q_score_incidents(spark, sf_dir):
@@ -242,11 +236,16 @@ def q_model_metrics(spark, sf_dir):
     return _rounded_metrics(resolution.regression_metrics(scored, LABEL_COLUMN, "prediction"))
 
 
+def _predicted(model, df, name):
+    """``df`` with the model's raw prediction, without the stages' columns."""
+    return model.transform(df).withColumnRenamed("prediction", name).select(*df.columns, name)
+
+
 def q_reload_parity(spark, sf_dir):
     reloaded = resolution.load_model(saved_resolution_model(spark, sf_dir))
     data = cleaned_incidents(spark, sf_dir)
-    return forest.parity(resolution.raw_predictions(resolution_model(spark, sf_dir), data),
-                         resolution.raw_predictions(reloaded, data), PARITY_TOLERANCE)
+    first = _predicted(resolution_model(spark, sf_dir), data, "a")
+    return forest.parity(_predicted(reloaded, first, "b"), "a", "b", PARITY_TOLERANCE)
 
 
 def q_model_nodes(spark, sf_dir):
@@ -258,26 +257,40 @@ def q_model_summary(spark, sf_dir):
                                 features.feature_size(feature_model(spark, sf_dir)))
 
 
-def exported_scores(spark, sf_dir):
-    """Predictions from the exported tables alone, persisted once per application."""
-    def build():
-        slots = export.features_from_deltas(cleaned_incidents(spark, sf_dir),
-                                            delta_table(spark, sf_dir))
-        return forest.forest_predictions(forest.slot_map(slots), forest_nodes(spark, sf_dir),
-                                         FOREST_TREES, FOREST_DEPTH) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-    return memoized(spark, sf_dir, "exported_scores", build)
-
-
 def q_forest_score(spark, sf_dir):
-    return exported_scores(spark, sf_dir)
+    """Raw predictions from the exported tables alone."""
+    scored = forest.with_exported_prediction(spark, cleaned_incidents(spark, sf_dir), exported_model(spark, sf_dir))
+    return scored.select("incident_id", "prediction")
 
 
 def q_forest_parity(spark, sf_dir):
-    data = cleaned_incidents(spark, sf_dir)
-    return forest.parity(exported_scores(spark, sf_dir),
-                         resolution.raw_predictions(resolution_model(spark, sf_dir), data),
-                         PARITY_TOLERANCE)
+    data = _predicted(resolution_model(spark, sf_dir), cleaned_incidents(spark, sf_dir), "b")
+    return forest.parity(forest.with_exported_prediction(spark, data, exported_model(spark, sf_dir), "a"),
+                         "a", "b", PARITY_TOLERANCE)
+
+
+def q_exported_service_response(spark, sf_dir):
+    """The service's answer to every raw incident, from the export alone."""
+    requests = quality.normalize_text(raw_incidents(spark, sf_dir)).drop(LABEL_COLUMN)
+    return forest.service_response(spark, requests, exported_model(spark, sf_dir))
+
+
+def q_score_check(spark, sf_dir):
+    """Facts that hold for a right scoring, counted over all answers and the fitted model."""
+    answers = _predicted(resolution_model(spark, sf_dir), cleaned_incidents(spark, sf_dir), "raw")
+    answers = forest.with_exported_prediction(spark, answers, exported_model(spark, sf_dir))
+    hours = postprocess_prediction(F.col("prediction"))
+    return answers.agg(
+        F.count(F.lit(1)).alias("answers"), F.count(F.when(hours.isNull(), 1)).alias("unanswered"),
+        F.count(F.when(hours < 0, 1)).alias("negative"),
+        F.count(F.when(F.abs(hours * 100 - F.round(hours * 100)) > 1e-6, 1)).alias("over_two_places"),
+        F.count(F.when(hours != postprocess_prediction(F.col("raw")), 1)).alias("different_from_model"))
+
+
+def q_model_check(spark, sf_dir):
+    """Facts of a sound node table: one root per tree, no missing child, no orphan."""
+    return export.node_check(forest_nodes(spark, sf_dir),
+                             features.feature_size(feature_model(spark, sf_dir)))
 
 
 def q_clip_round(spark, sf_dir):
@@ -309,12 +322,21 @@ def q_incidents_json_roundtrip(spark, sf_dir):
 
 # --- segmentation -----------------------------------------------------------
 
+def segment_vectors(spark, sf_dir):
+    """(scaled vectors, scaler, the k-means model of k = 4), made once per application."""
+    def build():
+        vectors, scaler = segment.scaled(cleaned_incidents(spark, sf_dir))
+        return vectors, scaler, segment.kmeans().fit(vectors)
+    return memoized(spark, sf_dir, "segment_vectors", build, lambda made: made[0].unpersist())
+
+
 def segmentation(spark, sf_dir):
     """(segmented incidents, profile assignment), fitted once per application."""
     def build():
-        segmented, assignment = segment.segment(spark, cleaned_incidents(spark, sf_dir))
+        segmented, assignment = segment.segment_with(spark, cleaned_incidents(spark, sf_dir),
+                                                     *segment_vectors(spark, sf_dir))
         return segmented.persist(StorageLevel.MEMORY_AND_DISK), assignment
-    return memoized(spark, sf_dir, "segmentation", build)
+    return memoized(spark, sf_dir, "segmentation", build, lambda made: made[0].unpersist())
 
 
 def q_segment_incidents(spark, sf_dir):
@@ -343,11 +365,15 @@ def q_segmented_snapshot(spark, sf_dir):
 
 
 def q_silhouette_by_k(spark, sf_dir):
-    vectors, _ = segment.scaled(cleaned_incidents(spark, sf_dir).select(*CLUSTER_FEATURES))
-    try:
-        return segment.silhouette_by_k(spark, vectors)
-    finally:
-        vectors.unpersist()
+    vectors, _, model = segment_vectors(spark, sf_dir)
+    return segment.silhouette_by_k(spark, vectors, fitted={CLUSTER_K: model})
+
+
+def q_segment_check(spark, sf_dir):
+    """Facts that hold for a right segmentation, whatever centres the fit finds."""
+    vectors, _, model = segment_vectors(spark, sf_dir)
+    return segment.segment_check(segmentation(spark, sf_dir)[0], model.transform(vectors),
+                                 [c.tolist() for c in model.clusterCenters()])
 
 
 def q_segmented_sink(spark, sf_dir):
@@ -357,24 +383,47 @@ def q_segmented_sink(spark, sf_dir):
     return files.read_parquet(spark, path)
 
 
+def q_segmented_csv_roundtrip(spark, sf_dir):
+    """Sizes of the profiles of a segmented table that went through CSV, and their loss in cents."""
+    path = files.write_csv(segmentation(spark, sf_dir)[0],
+                           shared_path(spark, "tables", "segmented_csv", unique=True))
+    back = files.read_incidents_csv(spark, path)
+    cents = F.sum(F.round(F.col("financial_loss_million") * 100).cast("long")).alias("loss_cents")
+    return back.agg(F.count(F.lit(1)).alias("incidents"), F.count_distinct("risk_profile").alias("profiles"),
+                    F.count_distinct("cluster_id").alias("clusters"), cents)
+
+
 # --- streaming --------------------------------------------------------------
 
-def q_stream_score(spark, sf_dir):
-    """Test-split incidents arrive as JSON files and are scored as a stream.
+def streamed_scores(spark, sf_dir) -> DataFrame:
+    """All raw incidents arrive as JSON files and are scored as a stream.
 
-    The arrivals keep the table's own partitioning (one file per partition,
+    The arrivals keep the view's own partitioning (one file per partition,
     written in parallel); the stream takes them in about
-    ``STREAM_MICRO_BATCHES`` micro-batches.
+    ``STREAM_MICRO_BATCHES`` micro-batches.  Rejected rows go to their own sink.
     """
     root = shared_path(spark, "streams", "score", unique=True)
-    arrivals = test_incidents(spark, sf_dir).drop(LABEL_COLUMN, "loss_per_user")
+    arrivals = quality.normalize_text(raw_incidents(spark, sf_dir)).drop(LABEL_COLUMN)
     files.write_json(arrivals, f"{root}/source")
-    per_batch = max(1, math.ceil(arrivals.rdd.getNumPartitions() / STREAM_MICRO_BATCHES))
+    per_batch = max(1, math.ceil(len(spark.read.text(f"{root}/source").inputFiles()) / STREAM_MICRO_BATCHES))
+    schema = T.StructType([f for f in INCIDENT_SCHEMA.fields if f.name != LABEL_COLUMN])
     return scoring.run_until_drained(spark, resolution_model(spark, sf_dir), f"{root}/source",
-                                     arrivals.schema, f"{root}/sink", f"{root}/checkpoint",
+                                     schema, f"{root}/sink", f"{root}/checkpoint",
                                      files_per_batch=per_batch)
 
 
+def q_stream_score(spark, sf_dir):
+    return streamed_scores(spark, sf_dir)
+
+
+def q_stream_parity(spark, sf_dir):
+    """Streamed answers against the batch answers to the same incidents, by incident."""
+    batch = quality.validate(quality.normalize_text(raw_incidents(spark, sf_dir))).where("is_valid")
+    batch = resolution.score(resolution_model(spark, sf_dir), batch).withColumnRenamed(PREDICTION_COLUMN, "a")
+    stream = streamed_scores(spark, sf_dir).select("incident_id", F.col(PREDICTION_COLUMN).alias("b"))
+    return forest.parity(batch.join(stream, "incident_id", "full_outer"), "a", "b", PARITY_TOLERANCE)
+
+
 QUERIES: dict[str, Query] = {
     "incidents": q_incidents,
     "validate_incidents": q_validate_incidents,
@@ -418,4 +467,10 @@ QUERIES: dict[str, Query] = {
     "silhouette_by_k": q_silhouette_by_k,
     "segmented_sink": q_segmented_sink,
     "stream_score": q_stream_score,
+    "stream_parity": q_stream_parity,
+    "exported_service_response": q_exported_service_response,
+    "score_check": q_score_check,
+    "model_check": q_model_check,
+    "segment_check": q_segment_check,
+    "segmented_csv_roundtrip": q_segmented_csv_roundtrip,
 }

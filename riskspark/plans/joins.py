@@ -6,26 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Each partition stops after ``max_rows + 1`` rows.  On a plain table scan
-    the count needs no column values (Parquet row groups are counted without
-    decoding), so checking a large dimension table stays cheap.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows per partition.  Beyond the
-    bound the frame is returned as is and the planner keeps its shuffle join
-    (with AQE splitting skewed partitions).
-    """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def broadcast_bounded_by_construction(df: DataFrame) -> DataFrame:
     """Broadcast a frame whose size is fixed by parameters, not by data.
 

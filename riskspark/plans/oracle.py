@@ -7,7 +7,7 @@ the incidents view itself, so the oracle is independent of the Spark code.
 from __future__ import annotations
 
 from riskspark.plans.catalog import MEAN_PLACES, SELECTED_COUNTRIES
-from riskspark.schema import CATEGORICAL_COLUMNS, NA_TOKENS, TEST_FOLDS, YEAR_MAX, YEAR_MIN
+from riskspark.schema import CATEGORICAL_COLUMNS, FOREST_TREES, NA_TOKENS, TEST_FOLDS, YEAR_MAX, YEAR_MIN
 
 
 def _sql_list(values) -> str:
@@ -261,4 +261,23 @@ FROM cleaned, (SELECT avg(resolution_time_hours) AS m FROM train) AS train_mean"
 SELECT incident_id, country, year, attack_type, target_industry,
        financial_loss_million, affected_users, resolution_time_hours
 FROM cleaned ORDER BY incident_id LIMIT 12"""),
+    # Facts of any right fit, with the numbers that the tables give.
+    "score_check": _with("""
+SELECT CAST(count(*) AS BIGINT) AS answers, CAST(0 AS BIGINT) AS unanswered, CAST(0 AS BIGINT) AS negative,
+       CAST(0 AS BIGINT) AS over_two_places, CAST(0 AS BIGINT) AS different_from_model FROM cleaned"""),
+    "model_check": LABELS + f"""
+SELECT CAST({FOREST_TREES} AS BIGINT) AS trees, CAST({FOREST_TREES} AS BIGINT) AS roots,
+       CAST(4 + sum(n + 1) AS BIGINT) AS features, CAST(0 AS BIGINT) AS wrong_features,
+       CAST(0 AS BIGINT) AS missing_children, CAST(0 AS BIGINT) AS orphans, CAST(0 AS BIGINT) AS repeated
+FROM sizes""",
+    "segment_check": _with("""
+SELECT CAST(count(*) AS BIGINT) AS incidents, CAST(count(*) AS BIGINT) AS named, CAST(4 AS BIGINT) AS profiles,
+       CAST(0 AS BIGINT) AS astray, true AS means_agree FROM cleaned"""),
+    "segmented_csv_roundtrip": _with("""
+SELECT CAST(count(*) AS BIGINT) AS incidents, CAST(4 AS BIGINT) AS profiles, CAST(4 AS BIGINT) AS clusters,
+       CAST(sum(CAST(round(financial_loss_million * 100) AS BIGINT)) AS BIGINT) AS loss_cents FROM cleaned"""),
+    "stream_parity": "WITH " + RAW + "," + NORMALIZED + f"""
+SELECT CAST(count(*) AS BIGINT) AS compared, CAST(0 AS BIGINT) AS missing,
+       CAST(0 AS DOUBLE) AS max_difference, true AS within_tolerance
+FROM normalized WHERE {_reasons(False)} = ''""",
 }

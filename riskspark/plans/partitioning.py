@@ -1,22 +1,20 @@
-"""Partition counts derived from the data, not from session defaults.
+"""Partition counts derived from the data, not from cores or session defaults.
 
-A persisted table keeps the partition count of the plan that built it (AQE
-does not coalesce a cached plan's output), so tables that are cached and
-reused are explicitly hash-partitioned into a count that follows their size.
+Fits draw random numbers per partition, so the same rows must always stand in
+the same partitions: the count is a function of the number of rows alone.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import SparkSession
+# Rows of a partition of a table that is fitted on: many small partitions
+# while the table is small, larger ones beyond SPREAD_PARTITIONS of them.
+SMALL_PARTITION_ROWS = 20_000
+LARGE_PARTITION_ROWS = 1_000_000
+SPREAD_PARTITIONS = 512
 
-# Target rows per partition of a cached incident table (~100-200 MB in memory).
-ROWS_PER_PARTITION = 1_000_000
 
-
-def partitions_for_rows(spark: SparkSession, rows: int,
-                        rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """At least the cluster's parallelism, at most one partition per target size."""
-    return max(spark.sparkContext.defaultParallelism,
-               math.ceil(rows / rows_per_partition))
+def partitions_for_rows(rows: int) -> int:
+    spread = min(math.ceil(rows / SMALL_PARTITION_ROWS), SPREAD_PARTITIONS)
+    return max(1, spread, math.ceil(rows / LARGE_PARTITION_ROWS))

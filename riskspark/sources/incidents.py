@@ -22,11 +22,9 @@ not depend on summation order.
 
 Plan shape: line items are reduced to one row per order with a partial
 (map-side) aggregate before any shuffle on the order key, so a hot order
-costs one row per map task.  ``part`` is broadcast below a checked row
-bound; beyond it only (order, part) key pairs meet it in a shuffle join.
-``customer`` joins by the planner's size-checked choice (broadcast when
-small, sort-merge with AQE skew splitting beyond); ``nation`` is broadcast
-behind an explicit row bound.
+costs one row per map task.  ``part`` meets (order, part) key pairs only.
+Every join is left to the planner's size statistics (broadcast when small,
+sort-merge with AQE skew splitting beyond); nothing is counted beforehand.
 """
 
 from __future__ import annotations
@@ -34,27 +32,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.plans.joins import broadcast_if_bounded, has_at_most
 from riskspark.sources.tables import read_table
 
-# TPC-H fixes nation at 25 rows; anything above this is not broadcast.
-NATION_BROADCAST_BOUND = 10_000
-# Largest part table (rows of key + type, ~20 bytes each) joined by broadcast.
-PART_BROADCAST_BOUND = 2_000_000
-
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order line aggregates (quantity, flag, part type, mean price).
 
-    ``part`` under ``PART_BROADCAST_BOUND`` rows (checked): one pass, line
-    items joined to a broadcast ``part`` and reduced per order.  Beyond it,
-    only (order, part) key pairs go through a shuffle join with ``part``,
-    while quantities, flags and prices are reduced per order on their own;
-    the big shuffle of line items by part key then carries two keys instead
-    of whole rows, and both per-order results come out partitioned by order
-    key, so joining them adds no shuffle.  Either way every aggregate is
-    combined map-side first.  (An inner join is enough for the part type: a
-    line whose part is missing adds nothing to a maximum.)
+    Quantities, flags and prices are reduced per order on their own.  Only
+    (order, part) key pairs meet ``part``, in whichever join the planner's
+    size statistics choose, so a large ``part`` costs a shuffle of two keys.
+    Both per-order results come out partitioned by order key, so joining them
+    adds no shuffle.  A repeated part key counts once, with its largest type;
+    a line whose part is missing adds nothing to the maximum.
     """
     lineitem = read_table(spark, sf_dir, "lineitem",
                           ["l_orderkey", "l_partkey", "l_quantity",
@@ -67,13 +56,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(cents).alias("line_price_cents"),
         F.count("l_extendedprice").alias("line_prices"),
     ]
-    part_type = F.max("p_type").alias("line_part_type")
-    if has_at_most(part, PART_BROADCAST_BOUND):
-        lines = lineitem.join(F.broadcast(part), lineitem.l_partkey == part.p_partkey, "left")
-        return lines.groupBy("l_orderkey").agg(*measures, part_type)
     pairs = lineitem.select("l_orderkey", "l_partkey")
     types = (pairs.join(part, pairs.l_partkey == part.p_partkey)
-             .groupBy("l_orderkey").agg(part_type))
+             .groupBy("l_orderkey").agg(F.max("p_type").alias("line_part_type")))
     return lineitem.groupBy("l_orderkey").agg(*measures).join(types, "l_orderkey", "left")
 
 
@@ -84,9 +69,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "o_totalprice", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer",
                           ["c_custkey", "c_nationkey", "c_mktsegment"])
-    nation = broadcast_if_bounded(
-        read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]),
-        NATION_BROADCAST_BOUND)
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     customers = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     lines = order_lines(spark, sf_dir)
     joined = (orders

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def fitted(spark):
 
 def test_slot_arithmetic(spark, fitted):
     _, feats, model, _ = fitted
-    labels = features.indexer_of(feats).labelsArray
+    labels = features.indexed_labels(feats).values()
     assert features.feature_size(feats) == 4 + sum(len(x) + 1 for x in labels)
     assert model.stages[-1].numFeatures == features.feature_size(feats)
 
@@ -45,7 +46,7 @@ def test_unseen_and_null_labels_light_unknown_slot(spark, fitted):
     _, feats, _, _ = fitted
     df = records.records_frame(spark, EDGE_RECORDS)
     slots = features.encoded_features(feats, df).where("incident_id = 900002")
-    labels = features.indexer_of(feats).labelsArray
+    labels = features.indexed_labels(feats).values()
     offsets, off = [], 4
     for block in labels:
         offsets.append(off + len(block))  # the unknown slot of the block
@@ -59,7 +60,7 @@ def test_deltas_rebuild_pipeline_features(spark, fitted):
     data = cleaned.select(*[c for c in cleaned.columns]).unionByName(
         records.records_frame(spark, EDGE_RECORDS), allowMissingColumns=True)
     deltas = export.model_deltas(spark, feats)
-    rebuilt = export.features_from_deltas(data, deltas)
+    rebuilt = forest.features_from_deltas(data, deltas, features.feature_size(feats))
     direct = features.encoded_features(feats, data)
     assert rebuilt.exceptAll(direct).count() == 0
     assert direct.exceptAll(rebuilt).count() == 0
@@ -78,25 +79,85 @@ def test_model_nodes_invariants(spark, fitted):
     assert nodes.count() == sum(t.numNodes for t in model.stages[-1].trees)
 
 
-def test_relational_forest_equals_transform(spark, fitted):
-    cleaned, feats, model, path = fitted
-    data = cleaned.unionByName(records.records_frame(spark, EDGE_RECORDS),
-                               allowMissingColumns=True)
-    nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
-    slots = export.features_from_deltas(data, export.model_deltas(spark, feats))
-    mine = forest.forest_predictions(forest.slot_map(slots), nodes, TREES, DEPTH)
-    report = forest.parity(mine, resolution.raw_predictions(model, data), PARITY_TOLERANCE)
+@pytest.fixture(scope="module")
+def exported(spark, fitted):
+    _, _, model, path = fitted
+    return export.export_model(spark, model, path, catalog.shared_path(spark, "models", "e", unique=True))
+
+
+def both_scored(spark, model, exported, data):
+    out = model.transform(data).select(*data.columns, F.col("prediction").alias("b"))
+    return forest.with_exported_prediction(spark, out, exported, "a")
+
+
+def test_exported_forest_equals_transform(spark, fitted, exported):
+    cleaned, _, model, _ = fitted
+    data = cleaned.unionByName(records.records_frame(spark, EDGE_RECORDS), allowMissingColumns=True)
+    report = forest.parity(both_scored(spark, model, exported, data), "a", "b", PARITY_TOLERANCE)
     row = report.first()
-    assert row["missing"] == 0 and row["compared"] == data.count()
-    assert row["max_difference"] <= 1e-9
+    assert row["missing"] == 0 and row["compared"] == data.count() and row["max_difference"] == 0.0
     forest.assert_parity(report)
 
 
+def test_records_without_or_with_repeated_ids_are_scored_one_by_one(spark, fitted, exported):
+    cleaned, _, model, _ = fitted
+    edge = [dict(r, incident_id=None) for r in EDGE_RECORDS]
+    same = [dict(EDGE_RECORDS[0], incident_id=7, affected_users=n) for n in (1, 5000, 10**9)]
+    data = records.records_frame(spark, edge + same)
+    got = sorted((r.a, r.b) for r in both_scored(spark, model, exported, data).collect())
+    assert len(got) == 5 and all(a == b for a, b in got)
+    answers = forest.score_exported(spark, data, exported).collect()
+    assert sorted(str(r.incident_id) for r in answers) == ["7", "7", "7", "None", "None"]
+    assert forest.score_exported(spark, data.drop("incident_id"), exported).count() == 5
+
+
+def test_service_response_answers_every_record(spark, fitted, exported):
+    data = records.records_frame(spark, [EDGE_RECORDS[0], dict(EDGE_RECORDS[0], year=1990)]).drop("loss_per_user")
+    good, bad = forest.service_response(spark, data, exported).collect()
+    assert good.is_valid and good.predicted_resolution_time_hours > 0 and good.reject_reasons == ""
+    assert not bad.is_valid and bad.predicted_resolution_time_hours is None and "year" in bad.reject_reasons
+
+
+def test_categorical_splits_and_nan(spark):
+    """A tree with a category split; NaN fails every test and goes right."""
+    from riskspark.schema import MODEL_NODES_SCHEMA
+    nodes = spark.createDataFrame(
+        [(0, 0, False, 0.0, 1, "categorical", None, [1.0, 3.0], 1, 2, 2.0),
+         (0, 1, True, 10.0, None, None, None, None, None, None, 2.0),
+         (0, 2, False, 0.0, 0, "continuous", 5.0, None, 3, 4, 2.0),
+         (0, 3, True, 20.0, None, None, None, None, None, None, 2.0),
+         (0, 4, True, 30.0, None, None, None, None, None, None, 2.0)], MODEL_NODES_SCHEMA)
+    x = np.array([[0, 1], [0, 3], [5, 2], [6, 2], [np.nan, np.nan]], float)
+    assert forest.ForestArrays(nodes).predict(x).tolist() == [10.0, 10.0, 20.0, 30.0, 30.0]
+
+
+def test_fits_do_not_depend_on_partitions(spark, fitted):
+    cleaned, feats, model, _ = fitted
+    train = features.train_part(cleaned)
+    again = resolution.fit_resolution_model(train.repartition(7), feats, TREES, DEPTH)
+    both = model.transform(cleaned).select(*cleaned.columns, F.col("prediction").alias("a"))
+    both = again.transform(both).withColumnRenamed("prediction", "b")
+    assert forest.parity(both, "a", "b", 0.0).first()["within_tolerance"]
+
+
+def test_export_of_one_indexer_per_column(spark, fitted):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    cleaned, feats, _, _ = fitted
+    single = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
+              for c in features.CATEGORICAL_COLUMNS]
+    rest = features.feature_pipeline().getStages()[1:]
+    other = Pipeline(stages=single + rest).fit(features.train_part(cleaned))
+    assert features.indexed_labels(other) == features.indexed_labels(feats)
+    assert sorted(export.model_deltas(spark, other).collect(), key=str) == \
+        sorted(export.model_deltas(spark, feats).collect(), key=str)
+
+
 def test_reload_gives_same_predictions(spark, fitted):
     cleaned, _, model, path = fitted
-    again = resolution.load_model(path)
-    row = forest.parity(resolution.raw_predictions(model, cleaned),
-                        resolution.raw_predictions(again, cleaned), PARITY_TOLERANCE).first()
+    first = model.transform(cleaned).select(*cleaned.columns, F.col("prediction").alias("a"))
+    both = resolution.load_model(path).transform(first).withColumnRenamed("prediction", "b")
+    row = forest.parity(both, "a", "b", PARITY_TOLERANCE).first()
     assert row["within_tolerance"] and row["max_difference"] == 0.0
 
 
@@ -122,46 +183,29 @@ def test_metrics_of_perfect_prediction(spark):
 
 
 def test_parity_reports_missing_and_difference(spark):
-    a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "incident_id long, prediction double")
-    b = spark.createDataFrame([(1, 1.5)], "incident_id long, prediction double")
-    row = forest.parity(a, b, 1e-6).first()
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, None)], "a double, b double")
+    row = forest.parity(df, "a", "b", 1e-6).first()
     assert (row["compared"], row["missing"], row["max_difference"]) == (1, 1, 0.5)
     assert not row["within_tolerance"]
     with pytest.raises(RuntimeError):
-        forest.assert_parity(forest.parity(a, b, 1e-6))
+        forest.assert_parity(forest.parity(df, "a", "b", 1e-6))
 
 
-def test_score_from_exported_tables(spark, fitted, scratch):
-    cleaned, _, model, path = fitted
-    out = export.export_model(spark, model, path, f"{scratch}/export")
-    labels = export.read_export(spark, out, "model_labels")
-    assert labels.count() == sum(len(x) for x in features.indexer_of(model).labelsArray)
-    slots = export.features_from_deltas(cleaned, export.read_export(spark, out, "model_deltas"))
-    nodes = export.read_export(spark, out, "model_nodes")
-    mine = forest.forest_predictions(forest.slot_map(slots), nodes, TREES, DEPTH)
-    row = forest.parity(mine, resolution.raw_predictions(model, cleaned), PARITY_TOLERANCE).first()
-    assert row["missing"] == 0 and row["max_difference"] <= 1e-9
+def test_node_check_sees_broken_tables(spark, fitted, exported):
+    nodes = export.read_export(spark, exported, "model_nodes")
+    sound = export.node_check(nodes, 46).first()
+    assert (sound.trees, sound.roots) == (TREES, TREES)
+    assert (sound.missing_children, sound.orphans, sound.repeated) == (0, 0, 0)
+    lost = nodes.where("NOT (tree_id = 1 AND node_id = 1)")
+    assert export.node_check(lost, 46).first().missing_children == 1
+    assert export.node_check(nodes.where("NOT (tree_id = 1 AND node_id = 0)"), 46).first().orphans == 2
+    assert export.node_check(nodes.union(nodes.where("is_leaf").limit(1)), 46).first().repeated == 1
+    assert export.node_check(nodes, 1).first().wrong_features > 0
 
 
-def test_forest_size_is_checked(spark, fitted):
-    _, _, model, path = fitted
-    nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
-    with pytest.raises(ValueError):
-        forest.forest_literals(nodes, TREES, 1)  # claims depth 1: bound too small
-
-
-def test_sparse_lookup_path_equals_dense(spark, fitted, monkeypatch):
-    cleaned, feats, model, path = fitted
-    nodes = export.model_nodes(spark, export.forest_stage_path(path, model))
-    slots = forest.slot_map(export.features_from_deltas(cleaned, export.model_deltas(spark, feats)))
-    dense = forest.forest_predictions(slots, nodes, TREES, DEPTH)
-    monkeypatch.setattr(forest, "DENSE_SLOT_LIMIT", 0)
-    sparse = forest.forest_predictions(slots, nodes, TREES, DEPTH)
-    assert forest.parity(dense, sparse, 0.0).first()["within_tolerance"]
-
-
-def test_empty_forest_is_an_error(spark):
+def test_broken_node_tables_are_errors(spark, exported):
     from riskspark.schema import MODEL_NODES_SCHEMA
-    empty = spark.createDataFrame([], MODEL_NODES_SCHEMA)
     with pytest.raises(ValueError):
-        forest.forest_literals(empty, 3, 3)
+        forest.ForestArrays(spark.createDataFrame([], MODEL_NODES_SCHEMA))
+    with pytest.raises(ValueError):
+        forest.ForestArrays(export.read_export(spark, exported, "model_nodes").where("node_id <> 1"))

@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 
 from conftest import SF_SMALL
-from riskspark.operators import explore, export, forest, resolution
+from riskspark.operators import explore
 from riskspark.plans import catalog
-from riskspark.schema import FOREST_DEPTH, FOREST_TREES, PARITY_TOLERANCE
 from riskspark.sources.incidents import incidents
 
 
@@ -16,20 +15,6 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def above_cache(plan: str) -> str:
-    """Plan text without the subtrees of cached relations and initial plans."""
-    out, skip = [], None
-    for line in plan.split("== Initial Plan ==")[0].splitlines():
-        indent = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and indent > skip:
-            continue
-        skip = None
-        out.append(line)
-        if "InMemoryRelation" in line:
-            skip = indent
-    return "\n".join(out)
-
-
 def test_country_filter_reaches_the_nation_scan(spark):
     df = explore.filter_countries(incidents(spark, SF_SMALL), ["NATION_3", "NATION_7"])
     plan = executed(df)
@@ -38,29 +23,37 @@ def test_country_filter_reaches_the_nation_scan(spark):
     assert nation and "In(n_name" in nation[0][1]
 
 
-def test_scans_read_only_used_columns(spark, monkeypatch):
-    from riskspark.sources import incidents as view
+def test_scans_read_only_used_columns(spark):
     plan = executed(incidents(spark, SF_SMALL))
     scanned = " ".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
     for unused in ("l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_shipdate",
                    "c_name", "c_acctbal", "p_name", "p_brand", "n_regionkey"):
         assert unused not in scanned
-    assert "BroadcastHashJoin [l_partkey" in plan  # small part: one pass, broadcast
-    # a part table over the bound: only (order, part) key pairs meet it
-    monkeypatch.setattr(view, "PART_BROADCAST_BOUND", 0)
-    plan = executed(incidents(spark, SF_SMALL))
+    # only (order, part) key pairs meet the part table, and nothing is gathered in one task
     assert re.search(r"FileScan parquet \[l_orderkey#\d+L,l_partkey#\d+L\]", plan)
+    assert "SinglePartition" not in plan
+
+
+def test_cleaned_table_prunes_and_pushes_down(spark):
+    cleaned = catalog.cleaned_incidents(spark, SF_SMALL)
+    plan = executed(explore.filter_countries(cleaned, ["NATION_3"]).select("year"))
+    assert re.search(r"PushedFilters: \[[^\]]*country", plan)
+    assert re.search(r"FileScan parquet \[country#\d+,year#\d+\]", plan)
 
 
-def test_incident_keyed_work_needs_no_shuffle(spark):
+def test_incident_work_needs_no_shuffle(spark):
     cleaned = catalog.cleaned_incidents(spark, SF_SMALL)
-    deltas = catalog.delta_table(spark, SF_SMALL)
-    slots = export.features_from_deltas(cleaned, deltas)
-    assert "Exchange hashpartitioning" not in above_cache(executed(slots))
-    scores = forest.forest_predictions(forest.slot_map(slots), catalog.forest_nodes(spark, SF_SMALL),
-                                       FOREST_TREES, FOREST_DEPTH)
-    assert "Exchange hashpartitioning" not in above_cache(executed(scores))
-    report = forest.parity(scores, resolution.raw_predictions(
-        catalog.resolution_model(spark, SF_SMALL), cleaned), PARITY_TOLERANCE)
-    plan = above_cache(executed(report))
-    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
+    for name in ("features_from_deltas", "encoded_features", "forest_score", "exported_service_response"):
+        if name != "exported_service_response":  # which reads the raw view
+            assert "Exchange" not in executed(catalog.QUERIES[name](spark, SF_SMALL)), name
+    plan = executed(catalog.QUERIES["forest_parity"](spark, SF_SMALL))
+    assert "hashpartitioning" not in plan and "Join" not in plan
+    assert cleaned.count() > 0
+
+
+def test_labels_and_deltas_fit_no_forest(spark, monkeypatch):
+    from riskspark.plans import cache
+    cache.forget(spark)
+    monkeypatch.setattr(catalog, "resolution_model", lambda *a: 1 / 0)
+    assert catalog.QUERIES["label_index"](spark, SF_SMALL).count() > 0
+    assert catalog.QUERIES["model_deltas"](spark, SF_SMALL).count() > 0

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import SF_SMALL
-from riskspark.operators import export, features, quality
+from riskspark.operators import export, features, forest, quality
 from riskspark.plans import catalog
 from riskspark.schema import INCIDENT_SCHEMA, YEAR_MAX, YEAR_MIN
 
@@ -83,7 +83,7 @@ def fitted_features(spark):
 def test_delta_rebuild_equals_pipeline(spark, fitted_features, records):
     feats, deltas = fitted_features
     df = quality.validate(frame(spark, records))  # adds loss_per_user (NULL for 0 users)
-    rebuilt = export.features_from_deltas(df, deltas)
+    rebuilt = forest.features_from_deltas(df, deltas, features.feature_size(feats))
     direct = features.encoded_features(feats, df)
     # NaN slots (NULL numbers) compare equal in Spark's set semantics
     assert rebuilt.exceptAll(direct).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskspark.operators import quality
 from riskspark.schema import INCIDENT_SCHEMA
@@ -88,3 +89,23 @@ def test_split_valid(spark):
     valid, rejected = quality.split_valid(quality.validate(frame(spark, {}, {"year": 1999})))
     assert [r["incident_id"] for r in valid.collect()] == [1]
     assert [r["incident_id"] for r in rejected.collect()] == [2]
+
+
+def test_every_dropped_row_has_a_reason(spark):
+    df = frame(spark, {}, {}, {}, {"country": ""}).withColumn(
+        "incident_id", F.when(F.col("incident_id") == 3, F.lit(None)).otherwise(F.col("incident_id")))
+    df = df.unionByName(df.where("incident_id = 1")).unionByName(df.where("incident_id = 2").withColumn("year", F.lit(2020)))
+    out = {r["reason"]: r["rejected_rows"] for r in quality.rejected_by_reason(df).collect()}
+    assert out == {"country is missing": 1, "incident_id is missing": 1, "incident_id is repeated": 2}
+    assert quality.clean(df).count() + sum(out.values()) == df.count()
+
+
+def test_nan_is_missing_or_rejected(spark):
+    nan = float("nan")
+    assert reasons(spark, {"financial_loss_million": nan}) == ["financial_loss_million is not a number"]
+    assert quality.clean(frame(spark, {"resolution_time_hours": nan}, {"financial_loss_million": nan}, {})).count() == 1
+
+
+def test_generated_ids(spark):
+    df = quality.with_generated_ids(frame(spark, {}, {}, {}).drop("incident_id"))
+    assert quality.clean(df).count() == 3

@@ -27,7 +27,8 @@ def test_every_query_has_oracle_or_invariant_test():
         "score_incidents", "model_metrics", "model_nodes", "model_summary",
         "forest_score", "segment_incidents", "profile_assignment",
         "risk_profile_summary", "profiles_by_count", "profile_count",
-        "segmented_snapshot", "silhouette_by_k", "segmented_sink", "stream_score"}
+        "segmented_snapshot", "silhouette_by_k", "segmented_sink", "stream_score",
+        "exported_service_response"}
     assert set(Q) == covered
 
 
@@ -84,11 +85,10 @@ def test_silhouette_sweep(spark):
     assert all(-1.0 <= r["silhouette"] <= 1.0 for r in rows)
 
 
-def test_stream_score_scores_the_test_split(spark):
-    test_count = catalog.test_incidents(spark, SF_SMALL).count()
+def test_stream_score_scores_all_valid_incidents(spark):
+    valid = run(spark, "exported_service_response").where("is_valid").count()
     df = run(spark, "stream_score")
-    assert df.count() == test_count
-    assert df.select("incident_id").distinct().count() == test_count
+    assert df.count() == valid == df.select("incident_id").distinct().count()
 
 
 def test_memo_is_per_application_and_can_be_released(spark):

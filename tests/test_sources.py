@@ -58,3 +58,47 @@ def test_incidents_view_shape(spark):
     assert df.select("incident_id").distinct().count() == 1500
     years = list(df.selectExpr("min(year)", "max(year)").collect()[0])
     assert 2015 <= years[0] <= years[1] <= 2030
+
+
+HEADER = ("year,country,attack_type,target_industry,financial_loss_million,affected_users,attack_source,"
+          "vulnerability_type,defense_mechanism,resolution_time_hours,cluster_id,risk_profile,extra")
+
+
+def test_csv_by_header_name(spark, tmp_path):
+    path = tmp_path / "table.csv"
+    path.write_text(HEADER + """
+2020,"Say ""Hi"", Land",DDoS,Banking,1.5,10,Insider,Weak,Firewall,3.0,2,Widespread,x
+2021.0,Peru,DDoS,Banking,abc,20.0,Insider,Weak,Firewall,4,,,y
+""")
+    rows = files.read_incidents_csv(spark, str(path), keep_corrupt=True).orderBy("year").collect()
+    assert rows[0].country == 'Say "Hi", Land' and rows[0].loss_per_user == 150_000.0
+    assert (rows[0].cluster_id, rows[0].risk_profile, rows[0].incident_id) == (2, "Widespread", None)
+    assert (rows[1].year, rows[1].affected_users, rows[1].financial_loss_million) == (2021, 20, None)
+    assert rows[0]._corrupt_record is None and rows[1]._corrupt_record == "financial_loss_million=abc"
+    assert "_corrupt_record" not in files.read_incidents_csv(spark, str(path)).columns
+
+
+def test_csv_line_ends_in_quotes(spark, tmp_path):
+    path = tmp_path / "table.csv"
+    path.write_text(HEADER + '\n2020,"New\nLand",DDoS,Banking,1.5,10,Insider,Weak,Firewall,3.0,2,W,x\n')
+    assert files.read_incidents_csv(spark, str(path), multi_line=True).first().country == "New\nLand"
+
+
+def test_csv_without_a_needed_column(spark, tmp_path):
+    path = tmp_path / "table.csv"
+    path.write_text("year,country\n2020,Peru\n")
+    with pytest.raises(ValueError, match="attack_type"):
+        files.read_incidents_csv(spark, str(path))
+
+
+def test_json_numbers_as_the_service_takes_them(spark, tmp_path):
+    path = tmp_path / "in.json"
+    path.write_text("""{"year": "2024", "affected_users": 100000.0, "financial_loss_million": "1.5", "country": ""}
+{"year": 2024.5, "affected_users": "many", "country": "Peru"}
+{"year": 20
+""")
+    rows = records.read_requests(spark, str(path)).collect()
+    assert (rows[0].year, rows[0].affected_users, rows[0].financial_loss_million, rows[0].country) == (2024, 100000, 1.5, "")
+    assert rows[0]._corrupt_record is None
+    assert rows[1].year is None and rows[1]._corrupt_record == "year=2024.5, affected_users=many"
+    assert rows[2]._corrupt_record.startswith('{"year": 20')
