@@ -207,7 +207,7 @@ def examined(docs: DataFrame, keep: list[str], text: str, units: Units, found: D
 
     Columns: row (struct of ``keep``), a, units (number), sha256 (of texts
     without stretches), body (compressed text of the others, of all with
-    ``keep_text``) and given: (h, s, n, count, alone, content) for each stretch
+    ``keep_text``) and given: (h, s, n, count, alone, a, first, content) for each stretch
     the text stands for, with ``content(parts, hashes, first, count, alone)``;
     ``alone`` tells that its anchor has no other stretch.
     """
@@ -217,7 +217,7 @@ def examined(docs: DataFrame, keep: list[str], text: str, units: Units, found: D
     rows = compressed(docs, keep, text).join(listed, "a", "left").select("row", "a", "body", "listed")
     schema = T.StructType([rows.schema["row"], rows.schema["a"], *T.StructType.fromDDL(
         "units bigint, sha256 string, body binary, "
-        f"given array<struct<h:bigint,s:bigint,n:bigint,count:int,alone:boolean,content:{content_type}>>")])
+        f"given array<struct<h:bigint,s:bigint,n:bigint,count:int,alone:boolean,a:bigint,first:bigint,content:{content_type}>>")])
     kind = to_arrow_type(schema["given"].dataType)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -225,16 +225,16 @@ def examined(docs: DataFrame, keep: list[str], text: str, units: Units, found: D
         h, s, n = listed.numbers("h"), listed.numbers("s"), listed.numbers("n")
         alone = ~listed.numbers("others").astype(bool)
         first, count = places(listed.numbers("place"))
-        clean = batch.column(3).is_null().to_pylist()
+        clean, key = batch.column(3).is_null().to_pylist(), batch.column(1).to_pylist()
         sizes, digests, bodies, given = [], [], [], []
-        for body, done, low, high in zip(batch.column(2).to_pylist(), clean, listed.start, listed.stop):
+        for body, a, done, low, high in zip(batch.column(2).to_pylist(), key, clean, listed.start, listed.stop):
             parts = units.split(unpack(body))
             sizes.append(len(parts))
             out = []
             if high > low:
                 hashes = Hashes(units.codes([parts])[0])
                 mine = low + standing(hashes, first[low:high], count[low:high], s[low:high], units, len(parts))
-                out = [{"h": h[k], "s": s[k], "n": n[k], "count": count[k], "alone": alone[k],
+                out = [{"h": h[k], "s": s[k], "n": n[k], "count": count[k], "alone": alone[k], "a": a, "first": first[k],
                         "content": content(parts, hashes, int(first[k]), int(count[k]), alone[k])} for k in mine]
             given.append(out)
             digests.append(hashlib.sha256(units.join(parts)).hexdigest() if done else None)
@@ -253,7 +253,7 @@ def unpack(body: bytes) -> bytes:
 def different(rows: DataFrame) -> DataFrame:
     """One row for each stretch that the examined ``rows`` hand out."""
     x = rows.select(F.explode("given").alias("x")).select("x.*")
-    return x.groupBy("h", "s").agg(F.first(F.struct("n", "count", "alone", "content")).alias("x")).select("h", "s", "x.*")
+    return x.groupBy("h", "s").agg(F.first(F.struct("n", "count", "alone", "a", "first", "content")).alias("x")).select("h", "s", "x.*")
 
 
 def finish(rows: DataFrame, found: DataFrame, repeated: DataFrame, units: Units, keep_text: bool) -> DataFrame:

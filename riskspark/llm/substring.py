@@ -46,17 +46,16 @@ def compacted(stretch: DataFrame) -> DataFrame:
     inside = Window.partitionBy("h", "s").orderBy("offset")
     distinct = repeated.where("standing").withColumn("island", F.col("offset") - F.row_number().over(inside))
     runs = (distinct.groupBy("h", "s", "island").agg(F.min("offset").alias("first"), F.count("*").cast("int").alias("edges")))
-    at = F.when(F.col("alone"), 0).otherwise(F.col("count") + F.col("first"))
-    paths = (stretch.where("alone AND n > 1").select("h", "s", F.lit(0).alias("island"), F.lit(0).alias("first"), "count", "alone", "content",
-                                                     F.lit(1).alias("edges"))
-             .unionByName(stretch.select("h", "s", "count", "alone", "content").join(runs, ["h", "s"]))
-             .select("h", "s", "island", "alone", "count", F.get("content", at).alias("start"),
-                     F.get("content", at + F.col("edges")).alias("end"), F.xxhash64("h", "s", "first").alias("id")))
+    runs = runs.withColumnRenamed("first", "offset")
+    at = F.when(F.col("alone"), 0).otherwise(F.col("count") + F.col("offset"))
+    step = F.when(F.col("alone"), 1).otherwise(F.col("edges"))  # a lone stretch hands out its two end nodes only
+    paths = (stretch.where("alone AND n > 1").withColumns({"island": F.lit(0), "offset": F.lit(0), "edges": F.col("count")})
+             .unionByName(stretch.join(runs, ["h", "s"]))
+             .select("h", "s", "island", "alone", "count", "a", (F.col("first") + F.col("offset")).alias("begin"), "edges",
+                     F.get("content", at).alias("start"), F.get("content", at + step).alias("end"),
+                     F.xxhash64("h", "s", "offset").alias("id")))
     paths = materialize(paths, "paths")
-    into = paths.groupBy("end").agg(F.count("*").alias("c"), F.min("id").alias("u")).where("c = 1")
-    outof = paths.groupBy("start").agg(F.count("*").alias("d"), F.min("id").alias("v")).where("d = 1")
-    chains = components(into.join(outof, into.end == outof.start).select("u", "v"))
-    named = paths.join(chains, paths.id == chains.node, "left").withColumn("path", F.coalesce("component", "id"))
+    named = materialize(joined_paths(paths), "named")
     whole = named.where("alone").select("h", "s", F.array(F.lit(0)).alias("firsts"), F.array("count").alias("stops"),
                                         F.array("path").alias("marks"))
     of_edge = distinct.select("h", "s", "island", "edge").join(named.select("h", "s", "island", "path"), ["h", "s", "island"])
@@ -64,10 +63,34 @@ def compacted(stretch: DataFrame) -> DataFrame:
              .agg(F.collect_list("offset").alias("firsts"), F.collect_set("path").alias("marks"))
              .withColumn("stops", F.transform("firsts", lambda x: x + 1)))
     out = materialize(whole.unionByName(parts), "repeated")
-    discard(repeated, paths)
+    discard(repeated, paths, named)
     return out
 
 
+def joined_paths(paths: DataFrame) -> DataFrame:
+    """``paths`` with path, the smallest chain head of the compacted path they belong to.
+
+    Paths that follow each other in the text they were taken from are joined
+    along that text first, so the components are those of whole chains.
+    """
+    into = paths.groupBy("end").agg(F.count("*").alias("c"), F.min("id").alias("u")).where("c = 1")
+    outof = paths.groupBy("start").agg(F.count("*").alias("d"), F.min("id").alias("v")).where("d = 1")
+    links = into.join(outof, into.end == outof.start).select("u", "v")
+    along = Window.partitionBy("a").orderBy("begin", "id")
+    previous = F.lag(F.struct("id", (F.col("begin") + F.col("edges")).alias("stop"))).over(along)
+    follows = paths.withColumn("previous", previous).join(links, F.col("id") == F.col("v"), "left")
+    linked = (F.col("u") == F.col("previous.id")) & (F.col("begin") == F.col("previous.stop"))
+    chain = F.max(F.when(~F.coalesce(linked, F.lit(False)), F.struct("begin", "id"))).over(along)["id"]
+    heads = materialize(follows.withColumn("near", F.coalesce(linked, F.lit(False))).withColumn("head", chain)
+                        .drop("v", "previous"), "chains")
+    far = heads.where("u IS NOT NULL AND NOT near").select("u", F.col("head").alias("y"))
+    ends = heads.select(F.col("id").alias("u"), F.col("head").alias("x"))
+    whole = components(far.join(ends, "u").select(F.col("x").alias("u"), F.col("y").alias("v")))
+    named = (heads.drop("u", "near").join(whole, F.col("head") == F.col("node"), "left")
+             .withColumn("path", F.coalesce("component", "head")).drop("node", "component", "head"))
+    return named
+
+
 def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW,
                    anchor: int = ANCHOR, keep_text: bool = False) -> DataFrame:
     """Remove every word under a window of ``window`` words that starts twice or more.
