@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from riskspark.llm.common import mix
+from riskspark.llm.common import materialize, mix
 from riskspark.llm.graph import cut
 
 ORDER = 4
 LOW, HIGH = 0.0005, 0.9995
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
 BIN = 0.001  # of the logarithm of a perplexity, for quantiles
 START, END = "\x02", "\x03"
 #: Bits of the bitmap that keeps most untrusted texts from the join with the trusted ids.
@@ -62,7 +62,7 @@ def gram_text(flat: np.ndarray, at: np.ndarray, order: int) -> list[str]:
     return [joined[i:i + order] for i in range(0, len(joined), order)]
 
 
-def groups(texts: Iterator[str], size: int = 2 << 20) -> Iterator[list[str]]:
+def groups(texts: Iterator[str], size: int = 1 << 19) -> Iterator[list[str]]:
     held, n = [], 0
     for t in texts:
         held.append(t)
@@ -218,7 +218,7 @@ def perplexities(docs: DataFrame, keep: list[str], model: Model, text: str = "te
     order = model.order
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blobs = packed(docs, keep, text, size // chunk_bytes + 1)
-    requests = blobs.groupBy("chunk").applyInArrow(lambda t: asked(t, order), "chunk bigint, gram string")
+    requests = materialize(blobs.groupBy("chunk").applyInArrow(lambda t: asked(t, order), "chunk bigint, gram string"), "grams")
     known = model.probabilities(requests.select("gram").distinct())
     answers = requests.join(known, "gram").select("chunk", "gram", F.log("p").alias("logp"))
     row = docs.select(F.struct(*keep).alias("row")).schema["row"]
