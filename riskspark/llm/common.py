@@ -168,7 +168,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse, modulo 2^64."""
     if len(_POWERS[0]) < n:
         for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            row = np.full(2 * n, base, np.uint64)
+            row = np.full(n + n // 4, base, np.uint64)
             row[0] = 1
             _POWERS[k] = np.multiply.accumulate(row)
     return _POWERS[0], _POWERS[1]

@@ -20,7 +20,7 @@ from riskspark.llm.induced import repeated_starts
 
 WINDOW = 400
 ANCHOR = 100
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 def ranges(starts: np.ndarray) -> tuple[list[int], list[int]]:
