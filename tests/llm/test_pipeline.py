@@ -9,10 +9,10 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline as cp
-import test_mixing
-import test_quality_rules
-import test_simhash
-import test_suffix
+import test_mixing as mixing_brute
+import test_quality_rules as rules_brute
+import test_simhash as simhash_brute
+import test_suffix as suffix_brute
 from conftest import SF_SMALL
 from riskspark.llm import quality_rules as qr
 
@@ -39,7 +39,7 @@ def test_names_and_columns(stages):
 
 def test_quality_rules(stages):
     docs = rows(stages[0])
-    verdicts = test_quality_rules.brute([(r.source, r.text) for r in docs])
+    verdicts = rules_brute.brute([(r.source, r.text) for r in docs])
     kept = {r.doc_id: r for r in rows(stages[1])}
     assert sorted(kept) == sorted(r.doc_id for r, v in zip(docs, verdicts) if v[6])
     for r, v in zip(docs, verdicts):
@@ -51,13 +51,13 @@ def test_quality_rules(stages):
 
 def test_near_duplicates(stages):
     docs = rows(stages[1])
-    groups = test_simhash.brute_groups([r.doc_id for r in docs], [test_simhash.brute_print(r.text) for r in docs], 3)
+    groups = simhash_brute.brute_groups([r.doc_id for r in docs], [simhash_brute.brute_print(r.text) for r in docs], 3)
     assert rows(stages[2]) == [r for r, g in zip(docs, groups) if r.doc_id == g]
 
 
 def test_repeated_strings(stages):
     docs = rows(stages[2])
-    want = test_suffix.brute([r.text for r in docs], 400)
+    want = suffix_brute.brute([r.text for r in docs], 400)
     got = {r.doc_id: r for r in rows(stages[3])}
     for r, (n, removed, _, _) in zip(docs, want):
         if not removed:
@@ -77,7 +77,7 @@ def test_mixture(stages):
     taken = {}
     for r in rows(stages[4]):
         taken[r.source] = taken.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
-    for source, target in test_mixing.targets(sizes).items():
+    for source, target in mixing_brute.targets(sizes).items():
         assert abs(taken.get(source, 0) - target) <= 0.5
 
 
@@ -93,7 +93,7 @@ def test_run(spark, stages):
 
 def test_messy_documents(spark):
     """NULLs in any column, empty texts, repeated rows and an empty table pass all stages."""
-    data = test_quality_rules.corpus() * 2
+    data = rules_brute.corpus() * 2
     docs = spark.createDataFrame([(i % 90 if i % 5 else None, t, None if i % 3 else "en", h, None if i % 4 else 1)
                                   for i, (h, t) in enumerate(data)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
