@@ -54,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-ckpt-"))
     else:
         raise RuntimeError(

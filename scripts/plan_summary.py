@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -39,7 +40,8 @@ def main() -> None:
     names = args[1:]
     from riskspark.plans.catalog import QUERIES
     from riskspark.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="scripts-")})
     for name, query in QUERIES.items():
         if names and name not in names:
             continue
