@@ -86,12 +86,20 @@ def due(served: Column, target: Column, slope: Column) -> Column:
 
 def curriculum(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text: str = "text",
                source: str = "source", **options) -> DataFrame:
-    """Mix all documents: one row per document, in training order.
+    """Mix all documents: one row per document, in training order (see ``planned``)."""
+    return (planned(docs, carry, doc_id, text, source, **options)
+            .orderBy(F.col("position").asc_nulls_last(), "order").drop("order"))
+
+
+def planned(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text: str = "text",
+            source: str = "source", **options) -> DataFrame:
+    """Mix all documents: one row per document, in no order.
 
     Returns a struct ``row`` of the columns ``carry`` and size, source_size,
     target, taken (words the mix takes, repeats counted), first and again (the
     words of the first and the second pass), position and position_again
-    (times in [0, 1]; NULL for a pass that takes nothing).
+    (times in [0, 1]; NULL for a pass that takes nothing), and order, the key
+    that documents of one source are served by.
 
     A source's passes serve its documents in hash order until the target,
     rounded to words, is reached, so its taken words sum to the target; the
@@ -129,7 +137,7 @@ def curriculum(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text:
         "first", "again",
         at("first", F.col("served")).alias("position"),
         at("again", F.col("served") + F.col("source_size")).alias("position_again"),
-        F.col("key").alias("order")).orderBy(F.col("position").asc_nulls_last(), "order").drop("order")
+        F.col("key").alias("order"))
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -139,13 +147,13 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A document stands once for each pass that takes words of it and not at all
     if none does.  One taken in part keeps its first words, joined by one space.
     """
-    plan = curriculum(docs, docs.columns, doc_id, text, source, **options)
+    plan = planned(docs, docs.columns, doc_id, text, source, **options)
     passes = F.filter(F.array(F.struct(F.col("first").alias("n"), F.col("position").alias("at")),
                               F.struct(F.col("again").alias("n"), F.col("position_again").alias("at"))),
                       lambda p: p["n"] > 0)
-    rows = plan.select("row", "size", F.explode(passes).alias("pass"))
+    rows = plan.where("taken > 0").select("row", "size", "order", F.explode(passes).alias("pass"))
     split = F.split(F.regexp_replace(F.col("row")[text], r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     cut = F.when(F.col("pass.n") == F.col("size"), F.col("row")[text]).otherwise(
         F.array_join(F.slice(split, F.lit(1), F.col("pass.n").cast("int")), " "))
-    return (rows.orderBy("pass.at")
+    return (rows.orderBy("pass.at", "order")
             .select(*(cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns)))
