@@ -8,8 +8,10 @@ checkpoints) goes under the folder the cluster names in
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,31 @@ def build_session(master: str | None = None, app_name: str = "riskspark",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions that run in tasks are found by module name there, also where the
+    package is not installed and the application was started in another folder.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(here)
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(here):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    full = os.path.join(folder, file)
+                    out.write(full, os.path.join(name, os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this application.
 
