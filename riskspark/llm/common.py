@@ -35,8 +35,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name, unique=True)
-    df.write.option("compression", "zstd").parquet(path)
     release(spark)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -55,6 +55,7 @@ def release(spark: SparkSession) -> None:
 
     It does so when the driver collects its garbage, which is otherwise left
     to chance; a chain of large steps would hold the files of all of them.
+    Called before a step, when nothing refers to the one before any more.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
