@@ -3,7 +3,7 @@
 A window is ``window`` consecutive units of one text.  The minimum hash among
 a window's short runs of ``anchor`` units is the window's anchor; equal windows
 have equal anchors at equal places.  Consecutive windows with one anchor form
-a stretch, so a text is held as a few stretches instead of one row per window,
+a stretch (also over several places of it, as in text that repeats itself), so a text is held as a few stretches instead of one row per window,
 and only stretches whose anchor occurs twice can hold repeated windows.
 
 1. ``occurrences``: stretches whose anchor occurs twice, by text.
@@ -35,7 +35,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from riskspark.llm.common import Hashes, binary, discard, materialize, mix, slices, sliding_argmin
 
 SEGMENT = 1 << 21  # units of a long text handled at a time
-COUNT_BITS = 12  # of a place: its upper bits are the first window, its lower ones the number of windows
+# A place holds the first window, then a bit for a stretch over several places of its anchor, then the number of windows.
+COUNT_BITS = 12
+PERIODIC = 1 << 11
+MOST = PERIODIC - 1
 PLACED = "array<struct<h:bigint,s:bigint,place:bigint,wanted:int>>"
 
 
@@ -94,13 +97,17 @@ def stretches(codes: list[np.ndarray], units: Units) -> tuple[np.ndarray, ...]:
     inside = np.flatnonzero(piece[:len(chosen)] == piece[window - 1:])
     at = chosen[inside]
     new = np.ones(len(inside), bool)
-    new[1:] = (np.diff(inside) != 1) | (np.diff(at) != 0)
+    new[1:] = (np.diff(inside) != 1) | (np.diff(grams[at]) != 0)
+    index = np.arange(len(inside))
+    new |= (index - np.maximum.accumulate(np.where(new, index, 0))) % MOST == 0
+    opens = np.flatnonzero(new)
     starts = inside[new]
-    counts = np.diff(np.append(np.flatnonzero(new), len(inside)))
+    counts = np.diff(np.append(opens, len(inside)))
+    several = at[opens] != at[opens + counts - 1]
     own = piece[starts]
     first = starts - begin[own] + np.array(firsts)[own]
     content = hashes.of(starts, starts + counts + window - 1)
-    return (np.array(owners)[own], (first << COUNT_BITS) | counts,
+    return (np.array(owners)[own], (first << COUNT_BITS) | (several * PERIODIC) | counts,
             grams[at[new]].view(np.int64), content.view(np.int64))
 
 
@@ -135,16 +142,17 @@ def occurrences(docs: DataFrame, text: str, units: Units) -> tuple[DataFrame, Da
 
     First (a, h, s, place, n): by text, n equal texts.  Then the different
     stretches (h, s, n, others, a, place): n in all, whether the anchor has
-    other stretches too, and the text and place that stand for the stretch.
+    other stretches or places too, and the text and place that stand for the stretch.
     """
     rows = materialize(all_stretches(docs, text, units), "stretches")
-    twice = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    periodic = F.col("place").bitwiseAND(PERIODIC) > 0  # such a stretch may repeat itself
+    twice = rows.groupBy("h").agg(F.sum(F.when(periodic, 2).otherwise(1)).alias("n")).where("n > 1").select("h")
     found = materialize(rows.join(twice, "h").groupBy("a", "h", "s", "place").agg(F.count("*").alias("n")), "occurrences")
     discard(rows)
     kinds = found.groupBy("h", "s").agg(F.sum("n").alias("n"), F.min(F.struct("a", "place")).alias("one"))
     kinds = materialize(kinds.select("h", "s", "n", "one.a", "one.place"), "kinds")
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h", F.lit(True).alias("others"))
-    return found, kinds.join(several, "h", "left").withColumn("others", F.coalesce("others", F.lit(False)))
+    return found, kinds.join(several, "h", "left").withColumn("others", F.coalesce("others", F.lit(False)) | periodic)
 
 
 class Lists:
@@ -179,7 +187,7 @@ def spread(bounds: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def places(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First window and number of windows of stretches."""
-    return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
+    return place >> COUNT_BITS, place & MOST
 
 
 def standing(hashes: Hashes, first: np.ndarray, count: np.ndarray, s: np.ndarray, units: Units, size: int) -> np.ndarray:

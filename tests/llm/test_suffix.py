@@ -58,7 +58,7 @@ def test_long_texts_are_cut_into_segments(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 64)
     parts = repeats.stretches(units.codes([base]), units)
     windows = lambda found: sorted((int(h), int(p >> repeats.COUNT_BITS) + k) for p, h in zip(found[1], found[2])
-                                   for k in range(int(p) & ((1 << repeats.COUNT_BITS) - 1)))
+                                   for k in range(int(p) & repeats.MOST))
     assert windows(whole) == windows(parts) and len(windows(whole)) == 851
 
 
