@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.plans.cache import delete_folder
 from riskspark.session import shared_path
 from riskspark.sources.tables import read_table
 
@@ -27,6 +28,10 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", list(columns) or None)
 
 
+#: Folders that ``materialize`` has written in this process, in order.
+SCRATCH: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it again.
 
@@ -39,15 +44,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
+    SCRATCH.append(path)
     return out
 
 
 def discard(*frames: DataFrame) -> None:
     """Delete what ``materialize`` wrote, once nothing reads it any more."""
     for df in frames:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(df.sparkSession, df.scratch_path)
 
 
 def release(spark: SparkSession) -> None:
