@@ -7,22 +7,49 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.llm import common
 from riskspark.llm import mixing, quality_rules, queries, sentencepiece, simhash, suffix
 from riskspark.llm.common import documents, materialize
+from riskspark.plans.cache import delete_folder
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_LEFT: dict[str, list[str]] = {}
 
 
+def stage(function: Stage) -> Stage:
+    """A stage that first deletes the working files of the stage before it.
+
+    Those are of no more use: by contract its result was written before this one starts.
+    """
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _LEFT.pop(sf_dir, []):
+            delete_folder(spark, path)
+        before = len(common.SCRATCH)
+        out = function(spark, docs, sf_dir)
+        _LEFT[sf_dir] = common.SCRATCH[before:]
+        return out
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines that too many documents of a host share leave the rest."""
     return quality_rules.clean(docs)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
     return simhash.first_of_groups(docs)
 
 
+@stage
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes under repeated strings go; a character that loses some of its bytes goes whole.
 
@@ -31,11 +58,13 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return suffix.cleaned(docs)
 
 
+@stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, repeated as often as it takes them, in training order."""
     return mixing.mixed_documents(docs)
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every document of the mix."""
     return sentencepiece.encode(docs, queries.PIECE_MODEL, keep=("doc_id", "lang", "source"))
@@ -57,6 +86,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last one."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, function in STAGES[:-1]:
+        docs = materialize(function(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
