@@ -6,6 +6,13 @@ small angle share long prefixes and stand close together in some pass.  Each
 pass compares every vector with its next neighbours in the order, pairs of
 cosine 0.9 or more are verified links, and the links of all passes are united.
 
+The number of passes follows from the number of vectors and ``RECALL``.  A pass
+also tells how dense it is around a vector: the bits shared with the row at the
+end of its window.  A pair of the cosine agrees in one more bit than these with
+a known probability, whatever the data, and then stands inside the window.  A
+vector to which all passes together promise less than ``PROMISED`` is open, and
+open vectors are compared with each other whole, in blocks.
+
 Equal vectors are one class throughout.  The order is a range sort, so a pass
 has as many tasks as the table needs; the first and last rows of each range
 meet in a second, small step.  Tasks hand out links that connect what their
@@ -15,6 +22,8 @@ afterwards, exactly, inside each component and in blocks.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +35,42 @@ from pyspark.sql import types as T
 from riskspark.llm.graph import components, cut
 
 COSINE = 0.9
-PASSES = 12
+PASSES = 12  # at least, and passes sorted at a time
+#: Share of the pairs at the cosine that the passes find among evenly spread vectors ...
+RECALL = 0.99
+#: ... and the least share that a vector's own windows must promise.
+PROMISED = 0.95
 NEIGHBOURS = 100
 SEED = 11
 BITS = 64
 RANGE_ROWS = 20_000
 BLOCK = 1024
 TILE = 512
+WHOLE = 8192  # rows of a block of open vectors
+
+
+def agreement(cosine: float) -> float:
+    """Probability that two vectors of the cosine have the same sign along a random direction."""
+    return min(1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi, 1 - 1e-9)
+
+
+def passes_for(count: int, neighbours: int, cosine: float, recall: float = RECALL) -> int:
+    """Passes that find the share ``recall`` of the pairs at the cosine among evenly spread vectors."""
+    hit = agreement(cosine) ** math.log2(max(1.0, count / neighbours))
+    return PASSES if hit > 0.9 else max(PASSES, math.ceil(math.log(1 - recall) / math.log1p(-hit)))
+
+
+def log_misses(keys: np.ndarray, neighbours: int, cosine: float) -> np.ndarray:
+    """Per row of one sorted run: log of the most probable share of its pairs at the cosine outside its window.
+
+    Beyond the ends of the run nothing is known, so its end stands in for the row there.
+    """
+    at = np.arange(len(keys))
+    shared = np.zeros(len(keys), np.int64)
+    for other in (np.maximum(at - neighbours, 0), np.minimum(at + neighbours, len(keys) - 1)):
+        apart = (keys ^ keys[other]).view(np.uint64).astype(np.float64)
+        shared = np.maximum(shared, 64 - np.frexp(apart)[1])
+    return np.where(shared < 64, np.log1p(-agreement(cosine) ** (shared + 1)), 0.0)
 
 
 def directions(size: int, passes: int) -> np.ndarray:
@@ -88,7 +126,8 @@ LINKED = "u bigint, v bigint, edge bigint, late boolean, pass int, place bigint,
 
 
 def range_links(neighbours: int, cosine: float):
-    """For one sorted range: links (u, v), and its first and last rows for the ranges beside it."""
+    """For one sorted range: links (u, v), its first and last rows for the ranges beside it, and the
+    classes with their log_misses, packed into one ``vector`` without an edge."""
     names = [f.split()[0] for f in LINKED.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -100,11 +139,13 @@ def range_links(neighbours: int, cosine: float):
         tail: list[tuple] = []
         seen = 0
         part = -1
+        held = []
         for batch in batches:
             rows = list(zip(*(batch.column(c).to_pylist() for c in range(4))))
             if not rows:
                 continue
             part = rows[0][3] if part < 0 else part
+            held.append([batch.column(c).to_numpy() for c in (0, 1, 4, 5)])
             if seen < neighbours:
                 head = rows[:neighbours - seen]
                 yield out(len(head), edge=[part - 1] * len(head), late=[True] * len(head),
@@ -123,6 +164,42 @@ def range_links(neighbours: int, cosine: float):
         if tail:
             yield out(len(tail), edge=[part] * len(tail), late=[False] * len(tail), place=list(range(-len(tail), 0)),
                       cls=[r[1] for r in tail], vector=[r[2] for r in tail], **{"pass": [r[0] for r in tail]})
+            of_pass, cls, key, size = (np.concatenate(c) for c in zip(*held))
+            starts = np.flatnonzero((np.diff(of_pass) != 0) | (np.diff(size) != 0)) + 1
+            for run_cls, run_key in zip(np.split(cls, starts), np.split(key, starts)):
+                misses = log_misses(run_key, neighbours, cosine)
+                yield out(1, vector=[run_cls.astype(np.int64).tobytes() + misses.tobytes()])
+
+    return run
+
+
+def unpacked_misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            half = len(blob) // 2
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(blob[:half], np.int64)),
+                                              pa.array(np.frombuffer(blob[half:], np.float64))], ["cls", "miss"])
+
+
+def whole_links(cosine: float):
+    """Links that connect what all pairs of two blocks connect."""
+    def run(block: pa.Table) -> pa.Table:
+        i, j = block["i"][0].as_py(), block["j"][0].as_py()
+        own, cls = np.array(block["own"]), np.array(block["cls"])
+        unit = unit_vectors(block["vector"].to_pylist())
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(left), TILE):
+            rows, near = left[at:at + TILE], []
+            for to in range(0, len(right), 4 * TILE):
+                columns = right[to:to + 4 * TILE]
+                a, b = np.nonzero(unit[rows] @ unit[columns].T >= cosine)
+                good = rows[a] != columns[b]
+                near.append((rows[a[good]], columns[b[good]]))
+            if any(len(a) for a, _ in near):
+                pairs.append(joined(near, len(cls)))
+        u, v = joined(pairs, len(cls))
+        return pa.table({"u": pa.array(cls[u], pa.int64()), "v": pa.array(cls[v], pa.int64())})
 
     return run
 
@@ -162,10 +239,24 @@ def block_counts(cosine: float):
     return run
 
 
+def packing(schema: str):
+    """Packs the vectors of the last column."""
+    names = T.StructType.fromDDL(schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data = [np.array(x, np.float64).tobytes() for x in b.column(len(names) - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(data, pa.binary())], names)
+
+    return run
+
+
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE,
-                    passes: int = PASSES, neighbours: int = NEIGHBOURS, block: int = BLOCK) -> DataFrame:
+                    passes: int | None = None, neighbours: int = NEIGHBOURS, block: int = BLOCK) -> DataFrame:
     """Per vector: vec_id, n_links, component_id and kept.
 
+    ``passes`` follows from the number of different vectors if it is not given.
+
     n_links counts the other vectors (rows) at the cosine or above, computed
     in double precision; every such pair inside a component counts, whichever
     pass connected it.  component_id is the smallest vec_id of the component
@@ -184,30 +275,51 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     classes = cut(rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("e").alias("e")))
     count = classes.count()
+    passes = passes or passes_for(count, neighbours, cosine)
 
-    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def hashed(batch: pa.RecordBatch, low: int, high: int) -> pa.RecordBatch:
         packed = [np.array(x, np.float64) for x in batch.column(1).to_pylist()]
         sizes = np.array(list(map(len, packed)))
-        made = np.zeros((len(packed), passes), np.int64)
+        made = np.zeros((len(packed), high - low), np.int64)
         for size in np.unique(sizes):
             at, planes = np.flatnonzero(sizes == size), directions(int(size), passes)
             x = np.array([packed[i] for i in at])
-            for p in range(passes):
-                made[at, p] = sort_keys(x, planes[p])
+            for p in range(low, high):
+                made[at, p - low] = sort_keys(x, planes[p])
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array([x.tobytes() for x in packed], pa.binary()),
              pa.array(list(made), pa.list_(pa.int64()))], ["cls", "size", "vector", "keys"])
 
-    packed = classes.select("cls", "e").mapInArrow(
-        lambda batches: (hashed(b) for b in batches if b.num_rows), "cls bigint, size bigint, vector binary, keys array<bigint>")
-    placed = packed.select("cls", "size", "vector", F.posexplode("keys").alias("pass", "key"))
-    ranges = max(1, count * passes // RANGE_ROWS)
-    ordered = placed.repartitionByRange(ranges, "pass", "size", "key", "cls").sortWithinPartitions("pass", "size", "key", "cls")
-    found = cut(ordered.select("pass", "cls", "vector", F.spark_partition_id().cast("long").alias("part"))
-                .mapInArrow(range_links(neighbours, cosine), LINKED))
-    inner = found.where("u IS NOT NULL").select("u", "v")
-    border = found.where("edge >= 0").select("edge", "late", "pass", "place", "cls", "vector")
-    outer = border.groupBy("edge").applyInArrow(border_links(neighbours, cosine), "u bigint, v bigint")
+    def links_of(low: int, high: int) -> DataFrame:
+        packed = classes.select("cls", "e").mapInArrow(
+            lambda batches: (hashed(b, low, high) for b in batches if b.num_rows),
+            "cls bigint, size bigint, vector binary, keys array<bigint>")
+        placed = packed.select("cls", "size", "vector", F.posexplode("keys").alias("pass", "key"))
+        ranges = max(1, count * (high - low) // RANGE_ROWS)
+        ordered = (placed.repartitionByRange(ranges, "pass", "size", "key", "cls")
+                   .sortWithinPartitions("pass", "size", "key", "cls"))
+        found = cut(ordered.select("pass", "cls", "vector", F.spark_partition_id().cast("long").alias("part"), "key", "size")
+                    .mapInArrow(range_links(neighbours, cosine), LINKED))
+        border = found.where("edge >= 0").select("edge", "late", "pass", "place", "cls", "vector")
+        outer = border.groupBy("edge").applyInArrow(border_links(neighbours, cosine), "u bigint, v bigint")
+        links = found.where("u IS NOT NULL").select("u", "v").union(outer).distinct()
+        misses = found.where("u IS NULL AND edge IS NULL").select("vector").mapInArrow(unpacked_misses, "cls bigint, miss double")
+        return cut(links.withColumn("miss", F.lit(None).cast("double")).union(
+            misses.groupBy("cls").agg(F.sum("miss").alias("miss")).select("cls", F.lit(None).cast("bigint"), "miss")))
+
+    rounds = [links_of(low, min(passes, low + PASSES)) for low in range(0, passes, PASSES)]
+    found = functools.reduce(DataFrame.union, rounds)
+    misses = found.where("miss IS NOT NULL").groupBy("u").agg(F.sum("miss").alias("miss"))
+    unsure = cut(misses.where(F.col("miss") > math.log(1 - PROMISED)).select(F.col("u").alias("cls")))
+    parts = -(-unsure.count() // WHOLE)
+    far = (classes.join(unsure, "cls").select("cls", F.size("e").alias("size"), "e")
+           .withColumn("own", F.pmod(F.xxhash64("cls"), F.lit(max(1, parts))))
+           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, parts) - 1).cast("long"))))
+           .select("size", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "e"))
+    far = far.mapInArrow(packing("size int, i bigint, j bigint, own bigint, cls bigint, vector binary"),
+                         "size int, i bigint, j bigint, own bigint, cls bigint, vector binary")
+    inner = found.where("miss IS NULL").select("u", "v")
+    outer = far.groupBy("size", "i", "j").applyInArrow(whole_links(cosine), "u bigint, v bigint")
     groups = components(inner.union(outer).distinct())
     member = cut(classes.join(groups, classes.cls == groups.node, "left")
                  .select("cls", "n", "least", F.coalesce("component", "cls").alias("component"), "e"))
@@ -217,14 +329,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("parts")))
               .select("component", "cls", "n", "e", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
               .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-    pack = T.StructType.fromDDL("component bigint, i bigint, j bigint, own bigint, cls bigint, n bigint, vector binary")
-
-    def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data = [np.array(x, np.float64).tobytes() for x in b.column(6).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(data, pa.binary())], pack.names)
-
-    counts = (blocks.select("component", "i", "j", "own", "cls", "n", "e").mapInArrow(packing, pack)
+    pack = "component bigint, i bigint, j bigint, own bigint, cls bigint, n bigint, vector binary"
+    counts = (blocks.select("component", "i", "j", "own", "cls", "n", "e").mapInArrow(packing(pack), pack)
               .groupBy("component", "i", "j").applyInArrow(block_counts(cosine), "cls bigint, links bigint")
               .groupBy("cls").agg(F.sum("links").alias("links")))
     known = (member.join(sizes, "component").join(counts, "cls", "left")

@@ -65,3 +65,30 @@ def test_ranges_meet_at_their_borders(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert ed.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_passes_follow_the_count():
+    assert ed.passes_for(1_000, 100, 0.9) == ed.PASSES
+    assert ed.passes_for(50_000, 100, 0.9) < ed.passes_for(500_000, 100, 0.9) < ed.passes_for(2_000_000, 100, 0.9)
+
+
+def test_pairs_in_a_dense_group_are_found(spark, monkeypatch):
+    """Rows of mutual cosine 0.7, far more than a window, with pairs of cosine 0.92 among them."""
+    monkeypatch.setattr(ed, "WHOLE", 700)
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.normal(size=64))
+
+    def around(n):
+        x = rng.normal(size=(n, 64))
+        return unit(x - (x @ centre)[:, None] * centre)
+    own = around(1500)
+    other = around(300)
+    other = unit(other - (other * own[:300]).sum(axis=1, keepdims=True) * own[:300])
+    share = (0.92 - 0.7) / 0.3
+    near = share * own[:300] + (1 - share * share) ** 0.5 * other
+    rows = 0.7 ** 0.5 * centre + 0.3 ** 0.5 * np.concatenate([own, near])
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in ed.near_duplicates(df, neighbours=10).collect()]
+    at = rows @ rows.T >= 0.9
+    assert {g[0]: g[1] for g in got} == dict(enumerate((at.sum(axis=1) - 1).tolist()))
