@@ -9,10 +9,14 @@ compressed, to chunks; a chunk asks for the n-grams it holds, these are joined
 with the count tables order by order, shard by shard, and the answers meet the
 chunk again, which sums them up per document.  A document is kept if its
 perplexity lies between two quantiles of the trusted texts of its language.
+With folds, a trusted text is scored by a model of the other folds' texts, so
+that its own counts do not make it, and the bounds, look likelier than unseen
+texts are.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -23,11 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from riskspark.llm import common
 from riskspark.llm.common import materialize, mix
 from riskspark.llm.graph import cut
+from riskspark.plans.cache import delete_folder
 
 ORDER = 4
-LOW, HIGH = 0.0005, 0.9995
+LOW, HIGH = 0.01, 0.99
+FOLDS = 2  # of the trusted texts
+LEAST = 100  # trusted texts of a language with quantiles of its own; with fewer these would be its extremes
 CHUNK_BYTES = 24 << 20
 BIN = 0.001  # of the logarithm of a perplexity, for quantiles
 START, END = "\x02", "\x03"
@@ -229,8 +237,8 @@ def perplexities(docs: DataFrame, keep: list[str], model: Model, text: str = "te
     return found.select("row", "n", (-F.col("total") / F.col("n")).alias("log_perplexity"))
 
 
-def trusted_texts(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The texts whose id is in ``trusted`` (doc_id).
+def trusted_texts(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    """(doc_id, lang, text) of the rows whose id is in ``trusted`` (doc_id).
 
     A bitmap of fixed size keeps most other texts from the shuffle; the join decides.
     """
@@ -241,31 +249,50 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -
     for row in maps:
         bits[row["k"]] = np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits.ravel())
-    rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
-            .withColumn("p", place))
+    rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+            .where("doc_id IS NOT NULL").withColumn("p", place))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column(2).to_numpy()
+            p = batch.column(3).to_numpy()
             part = batch.filter(pa.array((shared.value[p >> 3] >> (p & 7) & 1).astype(bool)))
             blobs = [pa.compress(t or b"", codec="zstd", asbytes=True) for t in part.column(1).cast(pa.binary()).to_pylist()]
             sizes = pa.array([len(t or b"") for t in part.column(1).cast(pa.binary()).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary()), sizes], ["doc_id", "blob", "size"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(blobs, pa.binary()), sizes],
+                                             ["doc_id", "lang", "blob", "size"])
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [pa.decompress(b, n, codec="zstd", asbytes=True).decode() for b, n in
-                     zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+                     zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["doc_id", "lang", "text"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    small = rows.mapInArrow(run, f"doc_id {kind}, blob binary, size bigint")
-    return small.join(trusted, "doc_id", "left_semi").select("blob", "size").mapInArrow(back, "text string")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang"))
+    small = rows.mapInArrow(run, f"{kinds}, blob binary, size bigint")
+    return (small.join(trusted, "doc_id", "left_semi").select("doc_id", "lang", "blob", "size")
+            .mapInArrow(back, f"{kinds}, text string"))
 
 
-def thresholds(scored: DataFrame, low: float, high: float) -> tuple[DataFrame, tuple[float, float]]:
+def held_out(texts: DataFrame, order: int, folds: int, chunk_bytes: int) -> DataFrame:
+    """``perplexities`` of (doc_id, lang, text), each text under the model of the other folds.
+
+    Equal texts are in one fold.
+    """
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(folds))
+    scored = []
+    for f in range(folds):
+        before = len(common.SCRATCH)
+        model = Model(trained_counts(texts.where(fold != f), "text", order), order)
+        scored.append(cut(perplexities(texts.where(fold == f), ["doc_id", "lang"], model, "text", chunk_bytes)))
+        for path in common.SCRATCH[before:]:
+            delete_folder(texts.sparkSession, path)
+    return functools.reduce(DataFrame.union, scored)
+
+
+def thresholds(scored: DataFrame, low: float, high: float, least: int = 0) -> tuple[DataFrame, tuple[float, float]]:
     """Bounds of log_perplexity by lang, and over all, from (lang, log_perplexity) of trusted texts.
 
+    A language of fewer than ``least`` texts has none of its own.
     Values are counted in bins, so the quantiles are exact to a bin and equal in any run.
     """
     bins = (scored.select("lang", F.floor(F.col("log_perplexity") / BIN).alias("bin"))
@@ -276,31 +303,47 @@ def thresholds(scored: DataFrame, low: float, high: float) -> tuple[DataFrame, t
     placed = both.withColumns({"upto": F.sum("c").over(w), "n": F.sum("c").over(Window.partitionBy("all", "lang"))})
     found = placed.groupBy("all", "lang").agg(
         F.min(F.when(F.col("upto") > F.col("n") * low, F.col("bin"))).alias("low"),
-        F.min(F.when(F.col("upto") >= F.col("n") * high, F.col("bin"))).alias("high"))
+        F.min(F.when(F.col("upto") >= F.col("n") * high, F.col("bin"))).alias("high"), F.first("n").alias("n"))
+    found = found.where(F.col("all") | (F.col("n") >= least))
     found = found.select("all", "lang", (F.col("low") * BIN).alias("low"), ((F.col("high") + 1) * BIN).alias("high"))
     whole = found.where("all").first()
     return found.where("NOT all").drop("all"), (whole["low"], whole["high"]) if whole else (-math.inf, math.inf)
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
-             order: int = ORDER, low: float = LOW, high: float = HIGH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+             order: int = ORDER, low: float = LOW, high: float = HIGH, chunk_bytes: int = CHUNK_BYTES,
+             folds: int = 1, least: int = 0) -> DataFrame:
     """Per document: doc_id, lang, n_chars, perplexity, low and high (the bounds) and kept.
 
-    Trusted are the texts whose ``labels.quality`` is 1.  NULL texts count as
-    empty: only their end is scored.  A language without trusted texts, NULL
-    too unless it has some, takes the quantiles over all; without any trusted
-    text all documents are kept.  Rows that repeat are scored alike and each
-    counts; other columns play no part and an empty table gives an empty result.
+    Trusted are the texts whose ``labels.quality`` is 1; with two ``folds`` or
+    more their perplexity, and so the bounds, come from models without them.
+    NULL texts count as empty: only their end is scored.  A language without
+    trusted texts, or with fewer than ``least``, NULL too unless it has some,
+    takes the quantiles over all; without any trusted text all documents are
+    kept.  Rows that repeat are scored alike and each counts; other columns
+    play no part and an empty table gives an empty result.
     """
     trusted = cut(labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct())
-    model = Model(trained_counts(trusted_texts(docs, trusted, doc_id, text), "text", order), order)
+    texts = trusted_texts(docs, trusted, doc_id, text, lang)
+    if folds > 1:
+        texts = materialize(texts, "trusted")
+        own = held_out(texts, order, folds, chunk_bytes)
+    model = Model(trained_counts(texts, "text", order), order)
+    if folds > 1:
+        common.discard(texts)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    scored = cut(perplexities(rows, ["doc_id", "lang"], model, "text", chunk_bytes)
-                 .select("row.doc_id", "row.lang", (F.col("n") - 1).alias("n_chars"), "log_perplexity"))
-    bounds, (least, most) = thresholds(scored.join(trusted, "doc_id", "left_semi"), low, high)
+    scored = perplexities(rows, ["doc_id", "lang"], model, "text", chunk_bytes)
+    columns = "row.doc_id", "row.lang", (F.col("n") - 1).alias("n_chars"), "log_perplexity"
+    scored = cut(scored.select(*columns))
+    if folds > 1:
+        own = own.select(*columns)
+        scored = scored.join(trusted, "doc_id", "left_anti").unionByName(own)
+    else:
+        own = scored.join(trusted, "doc_id", "left_semi")
+    bounds, (lowest, most) = thresholds(own, low, high, least)
     bounds = bounds.withColumnRenamed("lang", "b_lang")
     value = F.col("log_perplexity")
     return (scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
-            .withColumns({"low": F.coalesce("low", F.lit(least)), "high": F.coalesce("high", F.lit(most))})
+            .withColumns({"low": F.coalesce("low", F.lit(lowest)), "high": F.coalesce("high", F.lit(most))})
             .select("doc_id", "lang", "n_chars", F.exp(value).alias("perplexity"), F.exp("low").alias("low"),
                     F.exp("high").alias("high"), ((value >= F.col("low")) & (value <= F.col("high"))).alias("kept")))

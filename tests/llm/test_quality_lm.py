@@ -88,3 +88,30 @@ def test_no_trusted_text_and_empty_table(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.kept for r in ql.classify(docs, labels).collect()] == [True]
     assert ql.classify(docs.limit(0), labels).count() == 0
+
+
+def test_odd_trusted_texts_do_not_set_the_bounds(spark):
+    """With the production quantiles an odd trusted text in 200 lets no junk of its kind through."""
+    rng = random.Random(2)
+    good = [" ".join(rng.choice(["the", "on", "sea", "tide", "moon", "high", "low"]) for _ in range(60)) for _ in range(200)]
+    texts = [*good, "zq#" * 90, *["#qz" * (60 + i) for i in range(5)], *["the " * (80 + i) for i in range(5)]]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(201)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in ql.classify(docs, labels, folds=ql.FOLDS, least=ql.LEAST).collect()}
+    assert len(got) == len(texts) and not any(got[i] for i in range(200, len(texts)))
+    assert sum(got[i] for i in range(200)) >= 190
+
+
+def test_trusted_texts_are_scored_without_their_own_counts(spark):
+    texts = corpus()[:40]
+    texts += texts[:2]
+    docs = spark.createDataFrame([(i, t, None if i % 5 else "fr") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = [i for i in range(len(texts)) if i % 3]
+    labels = spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int")
+    fold = {r.text: r.f for r in docs.selectExpr("text", "pmod(xxhash64('fold', text), 2) AS f").collect()}
+    models = [brute_model([texts[i] for i in trusted if fold[texts[i]] != f], 3)[1] for f in (0, 1)]
+    whole = brute_model([texts[i] for i in trusted], 3)[1]
+    got = {r.doc_id: r for r in ql.classify(docs, labels, order=3, folds=2, least=100).collect()}
+    assert len(got) == len(texts) and len({(r.low, r.high) for r in got.values()}) == 1  # both languages have too few
+    for i, t in enumerate(texts):
+        assert got[i].perplexity == pytest.approx(math.exp((models[fold[t]] if i in trusted else whole)(t)))
