@@ -125,15 +125,14 @@ def near_duplicates(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", te
 def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each group, the one with the smallest id, with the columns of ``docs``.
 
-    Rows that share this id (or a group without ids) compare by text hash, and
+    A group is a component of linked fingerprints, whatever ids its documents share with others.  Rows that share this id (or a group without ids) compare by text hash, and
     rows equal in both by their other columns.
     """
     key = text_key(F.col(text))
     keyed = docs.withColumn("__key", F.struct(F.col(doc_id).alias("id"), key["a"].alias("a"), key["b"].alias("b")))
     rank = F.struct(F.isnull(F.col("row.__key.id")), F.col("row.__key"))
     winners = (near_duplicates(keyed, ["__key"], doc_id, text, **options)
-               .groupBy("component_id", F.when(F.isnull("component_id"), F.col("component")).alias("component"))
-               .agg(F.min(rank)["__key"].alias("__key")))
+               .groupBy("component").agg(F.min(rank)["__key"].alias("__key")))
     winners = winners.select(F.col("__key.a").alias("__a"), F.col("__key.b").alias("__b"),
                              F.col("__key.id").alias("__id"))
     plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]

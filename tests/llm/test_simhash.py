@@ -79,6 +79,15 @@ def test_links_are_complete(spark):
     assert got == want
 
 
+def test_one_id_on_two_unlinked_texts(spark):
+    """A repeated id does not join the groups of its texts."""
+    rng = random.Random(6)
+    one, two = (" ".join(f"{c}{rng.randrange(1000)}" for _ in range(200)) for c in "ab")
+    assert (brute_print(one) ^ brute_print(two)).bit_count() > 3
+    docs = spark.createDataFrame([(1, one), (1, two), (2, one), (3, two), (4, two)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.first_of_groups(docs).collect()) == sorted([(1, one), (1, two)])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs, ["doc_id"]).count() == 0
