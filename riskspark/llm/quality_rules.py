@@ -9,7 +9,11 @@ leaves depleted is rejected.
 Copies must not make a text's own lines look like boilerplate.  A document
 therefore counts through its context, the smallest hash among its other
 lines: exact copies and most near copies of a document have one context,
-unrelated documents that share a line have different ones.
+unrelated documents that share a line have different ones.  Where the smallest
+other line is boilerplate itself, contexts are too few; so documents are also
+counted by the smallest hash of their own lines, those of few texts of the
+host.  A line that begins or ends like a line of many texts is not an own one
+but that line edited, as in a near copy.  The greater count decides.
 """
 
 from __future__ import annotations
@@ -18,11 +22,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import binary, map_arrow, mix, text_key
+from riskspark.llm.common import binary, map_arrow, materialize, mix, text_key
 from riskspark.llm.graph import cut
 
 # Fixed values of the base rules.
@@ -39,6 +44,9 @@ LINE_PERCENT = 5
 #: A document needs this percentage of its words, and MIN_WORDS, outside boilerplate.
 LEFT_PERCENT = 50
 
+#: Words at either end of a line by which an edited line is known again.
+END_WORDS = 3
+
 DIGITS = bytes.maketrans(b"123456789", b"000000000")
 
 
@@ -47,6 +55,16 @@ def line_hash(words: list[bytes]) -> int:
     return int(hashlib.md5(b" ".join(words).lower().translate(DIGITS)).hexdigest()[:15], 16)
 
 
+def line_ends(words: list[bytes]) -> int:
+    """Hashes of a normalised line's first and last words, 31 bits each; 0 for lines of few words."""
+    n = min(END_WORDS, len(words) // 2)
+    if n < 2:
+        return 0
+    first, last = (xxhash.xxh32_intdigest(b" ".join(part).lower().translate(DIGITS)) >> 1
+                   for part in (words[:n], words[-n:]))
+    return first << 31 | last
+
+
 def repeated_words(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Words of each text inside a window of words that the text has twice or more.
 
@@ -77,14 +95,14 @@ def repeated_words(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) ->
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def measure(texts: list[bytes]) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
-    """The measures of each text, its line hashes and the words of these lines."""
-    rows, hashes, sizes = np.zeros((len(texts), len(MEASURES)), np.int64), [], []
+def measure(texts: list[bytes]) -> tuple[np.ndarray, list[list[int]], list[list[int]], list[list[int]]]:
+    """The measures of each text, its line hashes, the words of these lines and their ends."""
+    rows, hashes, sizes, ends = np.zeros((len(texts), len(MEASURES)), np.int64), [], [], []
     known: dict[bytes, int] = {}
     ids: list[int] = []
     bounds = [0]
     for i, text in enumerate(texts):
-        own, lengths, seen, duplicates, n = [], [], set(), 0, 0
+        own, lengths, around, seen, duplicates, n = [], [], [], set(), 0, 0
         for line in text.split(b"\n"):
             words = line.split()
             if not words:
@@ -95,14 +113,16 @@ def measure(texts: list[bytes]) -> tuple[np.ndarray, list[list[int]], list[list[
             seen.add(line)
             own.append(line_hash(words))
             lengths.append(len(words))
+            around.append(line_ends(words))
         hashes.append(own)
         sizes.append(lengths)
+        ends.append(around)
         bounds.append(len(ids))
         points = np.frombuffer(text, np.uint8)
         chars = len(text) - int(np.count_nonzero((points & 0xC0) == 0x80)) - sum(map(text.count, iter_bytes(SPACES)))
         rows[i, :4] = n, chars, sum(map(text.count, iter_bytes(SYMBOLS))), duplicates
     rows[:, 4] = repeated_words(np.array(ids, np.int64), np.array(bounds))
-    return rows, hashes, sizes
+    return rows, hashes, sizes, ends
 
 
 def iter_bytes(values: bytes) -> list[bytes]:
@@ -110,21 +130,21 @@ def iter_bytes(values: bytes) -> list[bytes]:
 
 
 def measured(docs: DataFrame, keep: list[str], text: str = "text", host: str = "source") -> DataFrame:
-    """Struct ``row`` of ``keep``, host, key, the measures and the lines (hash, words)."""
-    lines = T.ArrayType(T.LongType()), T.ArrayType(T.LongType())
+    """Struct ``row`` of ``keep``, host, key, the measures and the lines (hash, words, ends)."""
+    lines = T.ArrayType(T.LongType())
     rows = docs.select(F.struct(*keep).alias("row"), F.col(host).alias("host"),
                        F.struct(F.xxhash64(F.col(host)).alias("h"), *[text_key(F.col(text))[c].alias(c) for c in "ab"])
                        .alias("key"), F.col(text).alias("text"))
     head = rows.drop("text").schema
     schema = T.StructType([*head, *(T.StructField(m, T.LongType()) for m in MEASURES),
-                           T.StructField("hashes", lines[0]), T.StructField("sizes", lines[1])])
+                           *(T.StructField(c, lines) for c in ("hashes", "sizes", "ends"))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values, hashes, sizes = measure(binary(batch.column(3)))
+        values, hashes, sizes, ends = measure(binary(batch.column(3)))
         kind = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:3], *(pa.array(values[:, k]) for k in range(len(MEASURES))),
-             pa.array(hashes, kind), pa.array(sizes, kind)], schema.names)
+             pa.array(hashes, kind), pa.array(sizes, kind), pa.array(ends, kind)], schema.names)
 
     return map_arrow(rows, run, schema)
 
@@ -132,15 +152,36 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", host: str = "
 def common_lines(rows: DataFrame, min_documents: int = LINE_DOCUMENTS,
                  percent: int = LINE_PERCENT) -> DataFrame:
     """(host, line) above both limits, over ``measured`` rows; one row per line."""
-    texts = rows.select("host", "key", "hashes").groupBy("host", "key").agg(F.first("hashes").alias("hashes"))
-    least = F.array_sort(F.array_distinct("hashes"))
-    contexts = (texts.select("host", F.explode(F.array_distinct("hashes")).alias("line"), least.alias("least"))
-                .select("host", "line", F.when(F.get("least", F.lit(0)) == F.col("line"), F.get("least", F.lit(1)))
-                        .otherwise(F.get("least", F.lit(0))).alias("context")).distinct())
-    counts = contexts.groupBy("host", "line").count()
-    hosts = texts.groupBy("host").agg(F.count("*").alias("texts")).withColumnRenamed("host", "h")
-    return (counts.where(F.col("count") > min_documents).join(hosts, F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("count") * 100 > F.col("texts") * percent).select("host", "line"))
+    texts = (rows.groupBy("host", "key").agg(F.first(F.struct("hashes", "ends")).alias("t"))
+             .select("host", "key", F.array_distinct(F.arrays_zip("t.hashes", "t.ends")).alias("lines")))
+    lines = texts.select("host", F.explode("lines").alias("l")).select("host", F.col("l.hashes").alias("line"), "l.ends")
+    # written, so that their size is known and all lines need no shuffle to meet a few
+    frequent = materialize(lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.first("ends").alias("ends"))
+                           .where(F.col("n") > min_documents), "frequent-lines")
+    frequent = frequent.select(F.col("host").alias("f_host"), F.col("line").alias("f_line"), "n", F.col("ends").alias("f_ends"))
+    same_host = F.col("host").eqNullSafe(F.col("f_host"))
+    hosts = rows.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("texts"))
+    often = materialize(frequent.join(hosts, same_host).where(F.col("n") * 100 > F.col("texts") * percent)
+                        .select("f_host", "f_line", "texts"), "common-lines")
+    least = F.array_sort("lines.hashes")
+    context = F.when(F.col("first") == F.col("line"), F.col("second")).otherwise(F.col("first"))
+    hit = cut(texts.select("host", "key", F.get(least, F.lit(0)).alias("first"), F.get(least, F.lit(1)).alias("second"),
+                           F.explode("lines.hashes").alias("line"))
+              .join(often, same_host & (F.col("line") == F.col("f_line")))
+              .select("host", "key", "line", "texts", context.alias("context")))
+    own = (texts.join(hit.select("key").distinct(), "key", "left_semi").select("host", "key", F.explode("lines").alias("l"))
+           .select("host", "key", F.col("l.hashes").alias("line"), "l.ends")
+           .join(frequent, same_host & (F.col("line") == F.col("f_line")), "left_anti"))
+    for end in (lambda c: F.shiftright(c, 31), lambda c: F.col(c).bitwiseAND(F.lit((1 << 31) - 1))):
+        known = frequent.where("f_ends <> 0").select("f_host", end("f_ends").alias("f_end")).distinct()
+        own = own.join(known, same_host & (F.col("ends") != 0) & (end("ends") == F.col("f_end")), "left_anti")
+    own = own.groupBy("key").agg(F.min("line").alias("own"))
+    marks = F.explode(F.array(F.struct(F.lit(0).alias("by"), F.col("context").alias("mark")),
+                              F.struct(F.lit(1).alias("by"), F.col("own").alias("mark"))))
+    counts = (hit.join(own, "key", "left").select("host", "line", "texts", marks.alias("m")).distinct()
+              .groupBy("host", "line", "texts", "m.by").count())
+    return (counts.where((F.col("count") > min_documents) & (F.col("count") * 100 > F.col("texts") * percent))
+            .select("host", "line").distinct())
 
 
 def verdicts(docs: DataFrame, keep: list[str], text: str = "text", host: str = "source",

@@ -69,3 +69,26 @@ def test_clean_removes_lines_and_documents(spark):
     assert got[1].text == rows[1][1].replace("\n" + BOILER, "") and got[1].n_chars == len(got[1].text)
     assert got[0].text == rows[0][1] and got[0].n_chars == 3
     assert qr.clean(docs.limit(0)).count() == 0
+
+
+def name(n):
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
+def test_template_pages_are_found_and_near_copies_kept(spark):
+    """Pages of 20 template lines and one own line go on any host; copies with an edited word stay."""
+    rows = []
+    for host in range(6):
+        template = [f"menu {name(k)} entry of host {name(host)} number {name(k * 7 + host)}" for k in range(20)]
+        for i in range(60):
+            tag = f"{name(host)}q{name(i)}"
+            rows.append((f"t{host}", "\n".join(template + [f"own {tag} text with {tag}a {tag}b {tag}c and {tag}d {tag}e"])))
+    article = [[f"{name(k)}w{name(j)}" for j in range(12)] for k in range(21)]
+    for i in range(60):
+        words = [list(x) for x in article]
+        words[i % 21][i * 5 % 12] = f"edit{name(i)}"
+        rows.append(("n", "\n".join(" ".join(x) for x in words)))
+    got = {r.row.i: r for r in qr.verdicts(frame(spark, rows), ["i"]).collect()}
+    for i, (host, text) in enumerate(rows):
+        assert got[i].kept == (host == "n")
+        assert len(got[i].common or []) == (0 if host == "n" else 20)
