@@ -79,3 +79,25 @@ SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        (n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words AND n_words - removed_words >= 10
         AND 100 * (n_words - removed_words) >= 50 * n_words) AS kept
 FROM m"""
+
+ITEM_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {ITEM_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {ITEM_WORDS} AS ws FROM benchmark),
+bi AS (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS i FROM b WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS m, array_to_string(ws[i:i + 9], ' ') AS w FROM bi),
+di AS (SELECT r, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS i
+       FROM d JOIN (SELECT DISTINCT m FROM iw) AS lengths ON len(ws) >= m),
+dw AS (SELECT r, i, m, array_to_string(ws[i:i + m - 1], ' ') AS w FROM di),
+hits AS (SELECT r, i, iw.m, item_id FROM dw JOIN iw ON dw.w = iw.w AND dw.m = iw.m),
+marked AS (SELECT r, count(DISTINCT p) AS n_hit
+           FROM (SELECT r, unnest(generate_series(i, i + m - 1)) AS p FROM hits) AS places GROUP BY r),
+items AS (SELECT r, count(DISTINCT item_id) AS n_items,
+                 sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS digest
+          FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN marked USING (r) LEFT JOIN items USING (r)"""

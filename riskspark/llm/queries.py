@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import (embedding_dedup, mixing, oracle, quality_lm, quality_rules, sentencepiece, simhash,
-                           substring, suffix, token_counts, toxicity)
+from riskspark.llm import (decontaminate, embedding_dedup, mixing, oracle, quality_lm, quality_rules, sentencepiece,
+                           simhash, substring, suffix, token_counts, toxicity)
 from riskspark.llm.common import documents
 from riskspark.sources.tables import read_table
 
@@ -68,6 +68,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                            read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(documents(spark, sf_dir, "doc_id", "text"),
+                                        read_table(spark, sf_dir, "benchmark", ["item_id", "text"]), ["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_classifier": op2_quality_classifier,
@@ -79,9 +85,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
+    "op12_decontamination": op12_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op5_quality_rules": oracle.QUALITY_RULES,
     "op6_mixing": oracle.MIXING,
+    "op12_decontamination": oracle.DECONTAMINATION,
 }

@@ -18,19 +18,20 @@ COLUMNS = {
     "op8_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op9_substring": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op12_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
 }
 
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES} and "pipeline" in names
     assert set(queries.QUERIES) <= names and set(queries.SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_SMALL}/{table}.parquet')")
     df = queries.QUERIES[name](spark, SF_SMALL)
     res = con.execute(queries.SQL[name])
