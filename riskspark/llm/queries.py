@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import (decontaminate, embedding_dedup, mixing, oracle, quality_lm, quality_rules, sentencepiece,
-                           simhash, substring, suffix, token_counts, toxicity)
+from riskspark.llm import (conversations, decontaminate, embedding_dedup, mixing, oracle, quality_lm, quality_rules,
+                           sentencepiece, simhash, substring, suffix, token_counts, toxicity)
 from riskspark.llm.common import documents
 from riskspark.sources.tables import read_table
 
@@ -68,6 +68,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                            read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return conversations.repair(conversations.damage(rows), rows)
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(documents(spark, sf_dir, "doc_id", "text"),
                                         read_table(spark, sf_dir, "benchmark", ["item_id", "text"]), ["doc_id"])
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_decontamination": op12_decontamination,
 }
 

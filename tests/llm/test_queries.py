@@ -18,6 +18,8 @@ COLUMNS = {
     "op8_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op9_substring": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                                 "repaired_sha256"],
     "op12_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
 }
 
@@ -42,6 +44,9 @@ def test_query_matches_oracle(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_rows_and_columns(spark, name):
     df = queries.QUERIES[name](spark, SF_SMALL)
-    table = "embeddings" if name.startswith("op4_") else "documents"
     assert df.columns[:len(COLUMNS.get(name, []))] == COLUMNS.get(name, [])
-    assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+    if name.startswith("op13_"):
+        return
+    table = {"op4": "embeddings", "op11": "conversations"}.get(name.split("_")[0], "documents")
+    rows = spark.read.parquet(f"{SF_SMALL}/{table}.parquet")
+    assert df.count() == (rows.select("conv_id").distinct() if table == "conversations" else rows).count()
