@@ -101,3 +101,33 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN marked USING (r) LEFT JOIN items USING (r)"""
+
+SPELLING = r"""
+WITH RECURSIVE
+t AS (SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, y:
+                 CASE WHEN x % 2 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END) AS c FROM range(256) AS bytes(b)) AS steps),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+k AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+               range(1, CAST(length(x) AS BIGINT), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM k, t),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+             ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+del AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS d
+        FROM (SELECT word, n, unnest(range(1, CAST(length(word) AS BIGINT) + 1)) AS p FROM v) AS places),
+near AS (SELECT a.word, b.word AS near, b.n FROM del a JOIN del b ON a.d = b.d AND a.p = b.p AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM del a JOIN v b ON a.d = b.word
+         UNION SELECT b.word, a.word, a.n FROM del a JOIN v b ON a.d = b.word),
+best AS (SELECT word, near, n AS near_n, count(*) OVER (PARTITION BY word) AS n_near,
+                row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM near),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+             CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+      FROM v LEFT JOIN (SELECT * FROM best WHERE place = 1) AS b ON v.word = b.word),
+steps AS (SELECT word, word AS root, form AS further FROM f
+          UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN f ON s.further = f.word)
+SELECT f.word, f.form, root, f.n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM f JOIN steps ON f.word = steps.word AND steps.further IS NULL"""

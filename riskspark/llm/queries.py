@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm import (conversations, decontaminate, embedding_dedup, mixing, oracle, quality_lm, quality_rules,
-                           sentencepiece, simhash, substring, suffix, token_counts, toxicity)
+                           sentencepiece, simhash, spelling, substring, suffix, token_counts, toxicity)
 from riskspark.llm.common import documents
 from riskspark.sources.tables import read_table
 
@@ -79,6 +79,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_classifier": op2_quality_classifier,
@@ -92,10 +96,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_decontamination": op12_decontamination,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
     "op5_quality_rules": oracle.QUALITY_RULES,
     "op6_mixing": oracle.MIXING,
     "op12_decontamination": oracle.DECONTAMINATION,
+    "op13_spelling_variants": oracle.SPELLING,
 }

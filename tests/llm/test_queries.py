@@ -20,6 +20,7 @@ COLUMNS = {
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
                                  "repaired_sha256"],
+    "op13_spelling_variants": ["word", "form", "root", "n", "n_near", "form_n"],
     "op12_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
 }
 
