@@ -259,8 +259,8 @@ def q_model_summary(spark, sf_dir):
 
 def q_forest_score(spark, sf_dir):
     """Raw predictions from the exported tables alone."""
-    scored = forest.with_exported_prediction(spark, cleaned_incidents(spark, sf_dir), exported_model(spark, sf_dir))
-    return scored.select("incident_id", "prediction")
+    data = cleaned_incidents(spark, sf_dir).select("incident_id", *forest.MODEL_COLUMNS)
+    return forest.with_exported_prediction(spark, data, exported_model(spark, sf_dir)).select("incident_id", "prediction")
 
 
 def q_forest_parity(spark, sf_dir):

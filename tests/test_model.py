@@ -127,8 +127,98 @@ def test_categorical_splits_and_nan(spark):
          (0, 2, False, 0.0, 0, "continuous", 5.0, None, 3, 4, 2.0),
          (0, 3, True, 20.0, None, None, None, None, None, None, 2.0),
          (0, 4, True, 30.0, None, None, None, None, None, None, 2.0)], MODEL_NODES_SCHEMA)
-    x = np.array([[0, 1], [0, 3], [5, 2], [6, 2], [np.nan, np.nan]], float)
-    assert forest.ForestArrays(nodes).predict(x).tolist() == [10.0, 10.0, 20.0, 30.0, 30.0]
+    assert predicted(spark, nodes, [[0, 1], [0, 3], [5, 2], [6, 2], [np.nan, np.nan], [9, 64.0]], 2) == [
+        10.0, 10.0, 20.0, 30.0, 30.0, 30.0]
+
+
+def predicted(spark, nodes, x, depth):
+    rows = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "id int, x array<double>")
+    out = forest.with_forest_prediction(rows, nodes, F.col("x"), depth, "p")
+    return [r.p for r in sorted(out.collect())]
+
+
+def random_tree(rng, tree, weight, features, depth):
+    """Rows of the node table, and the tree as nested tuples."""
+    rows = []
+
+    def grow(level):
+        node = len(rows)
+        rows.append(None)
+        if level == depth or rng.random() < 0.15:
+            value = rng.random() * 50
+            rows[node] = (tree, node, True, value, None, None, None, None, None, None, weight)
+            return value
+        feature = rng.randrange(features)
+        if feature % 2:
+            test = sorted(rng.sample(range(150), rng.randrange(0, 40)))
+            kind = ("categorical", None, [float(c) for c in test])
+        else:
+            test = rng.random() * 150
+            kind = ("continuous", test, None)
+        left = len(rows)
+        a = grow(level + 1)
+        right = len(rows)
+        b = grow(level + 1)
+        rows[node] = (tree, node, False, 0.0, feature, *kind, left, right, weight)
+        return feature, test, a, b
+    return rows, grow(0)
+
+
+@pytest.mark.parametrize("depth", [1, 5, 9])
+def test_walk_equals_nested_trees(spark, depth):
+    """Unequal tree weights, category sets of several words, depths of one and more generated methods."""
+    import random
+
+    from riskspark.schema import MODEL_NODES_SCHEMA
+    rng = random.Random(depth)
+    table, trees = [], []
+    for t in range(7):
+        rows = []
+        rows, tree = random_tree(rng, 3 * t, 0.1 + t, 5, depth)
+        table += rows
+        trees.append((0.1 + t, tree))
+    rng.shuffle(table)
+    x = [[rng.choice([rng.random() * 150, float("nan")]) if f % 2 == 0 else float(rng.randrange(160)) for f in range(5)]
+         for _ in range(300)]
+
+    def walk(tree, row):
+        while isinstance(tree, tuple):
+            feature, test, a, b = tree
+            left = row[feature] in test if isinstance(test, list) else row[feature] <= test
+            tree = a if left else b
+        return tree
+    expected = []
+    for row in x:
+        total = 0.0
+        for weight, tree in trees:
+            total += weight * walk(tree, row)
+        expected.append(total / sum(w for w, _ in trees))
+    nodes = spark.createDataFrame(table, MODEL_NODES_SCHEMA)
+    assert predicted(spark, nodes, x, depth) == expected
+
+
+def test_scoring_has_no_python_worker(spark, fitted, exported):
+    cleaned, _, _, _ = fitted
+    plan = forest.with_exported_prediction(spark, cleaned, exported)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and len(plan) < 100_000
+
+
+def test_full_forest_of_one_hot_splits_is_quick(spark):
+    """150 trees, most splits on one-hot slots: 10,000 records in seconds, whatever the number of category nodes."""
+    import random
+    import time
+
+    from riskspark.schema import MODEL_NODES_SCHEMA
+    rng = random.Random(150)
+    table = []
+    for t in range(150):
+        table += random_tree(rng, t, 1.0, 46, 8)[0]
+    nodes = spark.createDataFrame(table, MODEL_NODES_SCHEMA).cache()
+    x = F.transform(F.sequence(F.lit(0), F.lit(45)), lambda i: F.pmod(F.hash("id", i), F.lit(2)).cast("double"))
+    start = time.perf_counter()
+    out = forest.with_forest_prediction(spark.range(10_000), nodes, x, 8).agg(F.count("prediction")).first()
+    assert out[0] == 10_000 and time.perf_counter() - start < 30
+    nodes.unpersist()
 
 
 def test_fits_do_not_depend_on_partitions(spark, fitted):
@@ -206,6 +296,6 @@ def test_node_check_sees_broken_tables(spark, fitted, exported):
 def test_broken_node_tables_are_errors(spark, exported):
     from riskspark.schema import MODEL_NODES_SCHEMA
     with pytest.raises(ValueError):
-        forest.ForestArrays(spark.createDataFrame([], MODEL_NODES_SCHEMA))
+        forest.packed_forest(spark.createDataFrame([], MODEL_NODES_SCHEMA))
     with pytest.raises(ValueError):
-        forest.ForestArrays(export.read_export(spark, exported, "model_nodes").where("node_id <> 1"))
+        forest.packed_forest(export.read_export(spark, exported, "model_nodes").where("node_id <> 1"))
