@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 
 def _session(args):
-    from riskspark.session import build_session
-    return build_session(args.master, app_name="riskspark-cli")
+    from riskspark.session import build_session, ship_package
+    spark = build_session(args.master, app_name="riskspark-cli")
+    ship_package(spark)
+    return spark
 
 
 def cmd_list(_args) -> int:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from riskspark.schema import DOLLARS_PER_MILLION
 
+#: Values summed exactly: decimals with 12 places, so that sums do not depend on the order of rows.
+EXACT = "decimal(38,12)"
+
 
 def loss_per_user(loss_million: str | Column = "financial_loss_million",
                   users: str | Column = "affected_users") -> Column:
@@ -31,10 +34,5 @@ def round_half_even(value: Column, places: int) -> Column:
     return F.bround(value, places)
 
 
-def vector_difference(first: Column, second: Column) -> Column:
-    """Element-wise ``first - second`` of two double arrays."""
-    return F.zip_with(first, second, lambda a, b: a - b)
-
-
 def absolute_difference(first: Column, second: Column) -> Column:
     return F.abs(first - second)

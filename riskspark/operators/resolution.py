@@ -14,7 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.scalar import postprocess_prediction
+from riskspark.functions.scalar import EXACT, postprocess_prediction
 from riskspark.operators.features import FEATURES, fit_features
 from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.schema import (FOREST_DEPTH, FOREST_SEED, FOREST_TREES,
@@ -69,15 +69,21 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str | Column) -> DataFrame:
-    """RMSE, MAE and R2 in one aggregate (R2 against the evaluated mean)."""
+    """RMSE, MAE and R2 in one aggregate (R2 against the evaluated mean).
+
+    Squares, errors and labels are summed as exact decimals, so the digits do
+    not depend on the order of rows or on how partial sums are merged.
+    """
     pred = F.col(prediction) if isinstance(prediction, str) else prediction
     err = F.col(label) - pred
-    return df.agg(
-        F.count(F.lit(1)).alias("evaluated_rows"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(label))).alias("r2"),
-    )
+    exact = lambda value: F.sum(F.when(err.isNotNull(), value).cast(EXACT)).cast("double")
+    sums = df.agg(F.count(F.lit(1)).alias("evaluated_rows"), F.count(err).alias("n"),
+                  exact(err * err).alias("squares"), exact(F.abs(err)).alias("errors"),
+                  exact(F.col(label)).alias("labels"), exact(F.col(label) * F.col(label)).alias("label_squares"))
+    spread = F.col("label_squares") - F.try_divide(F.col("labels") * F.col("labels"), F.col("n"))
+    return sums.select(
+        "evaluated_rows", F.sqrt(F.try_divide("squares", "n")).alias("rmse"),
+        F.try_divide("errors", "n").alias("mae"), (F.lit(1.0) - F.try_divide(F.col("squares"), spread)).alias("r2"))
 
 
 def mean_baseline_metrics(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -97,3 +103,16 @@ def save_model(model: PipelineModel, path: str) -> str:
 def load_model(path: str) -> PipelineModel:
     """Load a saved pipeline; a missing folder raises."""
     return PipelineModel.load(path)
+
+
+def metrics_check(df: DataFrame, label: str, prediction: str, path: str) -> DataFrame:
+    """One row: the metrics of ``df`` against those that plain SQL finds in the predictions written to ``path``."""
+    found = regression_metrics(df, label, prediction)
+    df.select(F.col(label).alias("y"), F.col(prediction).alias("p")).write.parquet(path)
+    again = df.sparkSession.sql(f"""
+        SELECT count(*) AS n, sqrt(avg((y - p) * (y - p))) AS rmse_again, avg(abs(y - p)) AS mae_again,
+               1 - avg((y - p) * (y - p)) / var_pop(y) AS r2_again
+        FROM parquet.`{path}`""")
+    agree = lambda c: (F.abs(F.col(c) - F.col(f"{c}_again")) <= 1e-9).alias(f"{c}_agrees")
+    return found.join(again, F.lit(True)).select("evaluated_rows", (F.col("n") - F.col("evaluated_rows")).alias("missing"),
+                                                 *[agree(c) for c in ("rmse", "mae", "r2")])

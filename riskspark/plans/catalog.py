@@ -19,7 +19,7 @@ from riskspark.functions.scalar import loss_per_user, postprocess_prediction
 from riskspark.operators import (explore, export, features, forest, quality,
                                  resolution, segment)
 from riskspark.plans.cache import delete_folder, memoized
-from riskspark.schema import (CLUSTER_K, INCIDENT_SCHEMA, LABEL_COLUMN, PARITY_TOLERANCE,
+from riskspark.schema import (CLUSTER_K, FOREST_DEPTH, INCIDENT_SCHEMA, LABEL_COLUMN, PARITY_TOLERANCE,
                               PREDICTION_COLUMN)
 from riskspark.session import shared_path
 from riskspark.sources import files
@@ -236,6 +236,13 @@ def q_model_metrics(spark, sf_dir):
     return _rounded_metrics(resolution.regression_metrics(scored, LABEL_COLUMN, "prediction"))
 
 
+def q_metrics_check(spark, sf_dir):
+    """The hold-out metrics against SQL over the written predictions."""
+    scored = resolution_model(spark, sf_dir).transform(test_incidents(spark, sf_dir))
+    return resolution.metrics_check(scored, LABEL_COLUMN, "prediction",
+                                    shared_path(spark, "tables", "predictions", unique=True))
+
+
 def _predicted(model, df, name):
     """``df`` with the model's raw prediction, without the stages' columns."""
     return model.transform(df).withColumnRenamed("prediction", name).select(*df.columns, name)
@@ -259,14 +266,14 @@ def q_model_summary(spark, sf_dir):
 
 def q_forest_score(spark, sf_dir):
     """Raw predictions from the exported tables alone."""
-    data = cleaned_incidents(spark, sf_dir).select("incident_id", *forest.MODEL_COLUMNS)
-    return forest.with_exported_prediction(spark, data, exported_model(spark, sf_dir)).select("incident_id", "prediction")
+    return forest.with_exported_prediction(spark, cleaned_incidents(spark, sf_dir), exported_model(spark, sf_dir),
+                                           keep=["incident_id"])
 
 
 def q_forest_parity(spark, sf_dir):
     data = _predicted(resolution_model(spark, sf_dir), cleaned_incidents(spark, sf_dir), "b")
-    return forest.parity(forest.with_exported_prediction(spark, data, exported_model(spark, sf_dir), "a"),
-                         "a", "b", PARITY_TOLERANCE)
+    both = forest.with_exported_prediction(spark, data, exported_model(spark, sf_dir), "a", keep=["b"])
+    return forest.parity(both, "a", "b", PARITY_TOLERANCE)
 
 
 def q_exported_service_response(spark, sf_dir):
@@ -278,7 +285,7 @@ def q_exported_service_response(spark, sf_dir):
 def q_score_check(spark, sf_dir):
     """Facts that hold for a right scoring, counted over all answers and the fitted model."""
     answers = _predicted(resolution_model(spark, sf_dir), cleaned_incidents(spark, sf_dir), "raw")
-    answers = forest.with_exported_prediction(spark, answers, exported_model(spark, sf_dir))
+    answers = forest.with_exported_prediction(spark, answers, exported_model(spark, sf_dir), keep=["raw"])
     hours = postprocess_prediction(F.col("prediction"))
     return answers.agg(
         F.count(F.lit(1)).alias("answers"), F.count(F.when(hours.isNull(), 1)).alias("unanswered"),
@@ -293,6 +300,17 @@ def q_model_check(spark, sf_dir):
                              features.feature_size(feature_model(spark, sf_dir)))
 
 
+def q_reach_check(spark, sf_dir):
+    """Every node hangs on one path below its root, no deeper than the forest may be."""
+    return export.reach_check(forest_nodes(spark, sf_dir), FOREST_DEPTH)
+
+
+def q_leaf_check(spark, sf_dir):
+    """Every training row routed to its leaf in every exported tree."""
+    vector = forest.additive_vector(delta_table(spark, sf_dir), features.feature_size(feature_model(spark, sf_dir)))
+    return forest.leaf_check(train_incidents(spark, sf_dir), forest_nodes(spark, sf_dir), vector, FOREST_DEPTH, LABEL_COLUMN)
+
+
 def q_clip_round(spark, sf_dir):
     """Service post-processing (clip at 0, round to 2, cast) on the mean model.
 
@@ -333,7 +351,7 @@ def segment_vectors(spark, sf_dir):
 def segmentation(spark, sf_dir):
     """(segmented incidents, profile assignment), fitted once per application."""
     def build():
-        segmented, assignment = segment.segment_with(spark, cleaned_incidents(spark, sf_dir),
+        segmented, assignment = segment.segment_with(cleaned_incidents(spark, sf_dir),
                                                      *segment_vectors(spark, sf_dir))
         return segmented.persist(StorageLevel.MEMORY_AND_DISK), assignment
     return memoized(spark, sf_dir, "segmentation", build, lambda made: made[0].unpersist())
@@ -364,9 +382,18 @@ def q_segmented_snapshot(spark, sf_dir):
                                      list(explore.SNAPSHOT_COLUMNS) + ["risk_profile"])
 
 
-def q_silhouette_by_k(spark, sf_dir):
+def sweep_models(spark, sf_dir):
+    """The K-Means models of the silhouette sweep by k, fitted once per application."""
     vectors, _, model = segment_vectors(spark, sf_dir)
-    return segment.silhouette_by_k(spark, vectors, fitted={CLUSTER_K: model})
+    return memoized(spark, sf_dir, "sweep_models", lambda: segment.fit_sweep(vectors, fitted={CLUSTER_K: model}))
+
+
+def q_silhouette_by_k(spark, sf_dir):
+    return segment.silhouette_by_k(segment_vectors(spark, sf_dir)[0], fitted=sweep_models(spark, sf_dir))
+
+
+def q_silhouette_check(spark, sf_dir):
+    return segment.silhouette_check(segment_vectors(spark, sf_dir)[0], sweep_models(spark, sf_dir))
 
 
 def q_segment_check(spark, sf_dir):
@@ -376,11 +403,24 @@ def q_segment_check(spark, sf_dir):
                                  [c.tolist() for c in model.clusterCenters()])
 
 
+def segmented_sink(spark, sf_dir) -> str:
+    """Folder of the segmented table, written once per application."""
+    return memoized(spark, sf_dir, "segmented_sink", lambda: files.write_parquet(
+        segmentation(spark, sf_dir)[0], shared_path(spark, "tables", "segmented", unique=True),
+        partition_by=["risk_profile"]), lambda path: delete_folder(spark, path))
+
+
 def q_segmented_sink(spark, sf_dir):
-    path = files.write_parquet(segmentation(spark, sf_dir)[0],
-                               shared_path(spark, "tables", "segmented", unique=True),
-                               partition_by=["risk_profile"])
-    return files.read_parquet(spark, path)
+    return files.read_parquet(spark, segmented_sink(spark, sf_dir))
+
+
+def q_sink_check(spark, sf_dir):
+    return segment.sink_check(segmentation(spark, sf_dir)[0], q_segmented_sink(spark, sf_dir))
+
+
+def q_profile_check(spark, sf_dir):
+    """Summary and order of the profiles against SQL over the written table."""
+    return segment.profile_check(segmentation(spark, sf_dir)[0], segmented_sink(spark, sf_dir))
 
 
 def q_segmented_csv_roundtrip(spark, sf_dir):
@@ -412,15 +452,20 @@ def streamed_scores(spark, sf_dir) -> DataFrame:
                                      files_per_batch=per_batch)
 
 
+def stream_sink(spark, sf_dir) -> DataFrame:
+    """What the stream has written, run once per application."""
+    return memoized(spark, sf_dir, "stream_sink", lambda: streamed_scores(spark, sf_dir))
+
+
 def q_stream_score(spark, sf_dir):
-    return streamed_scores(spark, sf_dir)
+    return stream_sink(spark, sf_dir)
 
 
 def q_stream_parity(spark, sf_dir):
     """Streamed answers against the batch answers to the same incidents, by incident."""
     batch = quality.validate(quality.normalize_text(raw_incidents(spark, sf_dir))).where("is_valid")
     batch = resolution.score(resolution_model(spark, sf_dir), batch).withColumnRenamed(PREDICTION_COLUMN, "a")
-    stream = streamed_scores(spark, sf_dir).select("incident_id", F.col(PREDICTION_COLUMN).alias("b"))
+    stream = stream_sink(spark, sf_dir).select("incident_id", F.col(PREDICTION_COLUMN).alias("b"))
     return forest.parity(batch.join(stream, "incident_id", "full_outer"), "a", "b", PARITY_TOLERANCE)
 
 
@@ -473,4 +518,10 @@ QUERIES: dict[str, Query] = {
     "model_check": q_model_check,
     "segment_check": q_segment_check,
     "segmented_csv_roundtrip": q_segmented_csv_roundtrip,
+    "metrics_check": q_metrics_check,
+    "reach_check": q_reach_check,
+    "leaf_check": q_leaf_check,
+    "silhouette_check": q_silhouette_check,
+    "profile_check": q_profile_check,
+    "sink_check": q_sink_check,
 }

@@ -7,7 +7,7 @@ the incidents view itself, so the oracle is independent of the Spark code.
 from __future__ import annotations
 
 from riskspark.plans.catalog import MEAN_PLACES, SELECTED_COUNTRIES
-from riskspark.schema import CATEGORICAL_COLUMNS, FOREST_TREES, NA_TOKENS, TEST_FOLDS, YEAR_MAX, YEAR_MIN
+from riskspark.schema import CATEGORICAL_COLUMNS, FOREST_TREES, NA_TOKENS, SILHOUETTE_K_RANGE, TEST_FOLDS, YEAR_MAX, YEAR_MIN
 
 
 def _sql_list(values) -> str:
@@ -276,6 +276,26 @@ SELECT CAST(count(*) AS BIGINT) AS incidents, CAST(count(*) AS BIGINT) AS named,
     "segmented_csv_roundtrip": _with("""
 SELECT CAST(count(*) AS BIGINT) AS incidents, CAST(4 AS BIGINT) AS profiles, CAST(4 AS BIGINT) AS clusters,
        CAST(sum(CAST(round(financial_loss_million * 100) AS BIGINT)) AS BIGINT) AS loss_cents FROM cleaned"""),
+    "metrics_check": _with(f"""
+SELECT CAST(count(*) AS BIGINT) AS evaluated_rows, CAST(0 AS BIGINT) AS missing,
+       true AS rmse_agrees, true AS mae_agrees, true AS r2_agrees
+FROM cleaned WHERE incident_id % {TEST_FOLDS} = 0"""),
+    "reach_check": f"""
+SELECT CAST({FOREST_TREES} AS BIGINT) AS trees, CAST(0 AS BIGINT) AS unreached, true AS depth_within,
+       CAST(0 AS BIGINT) AS leaves_reached_again""",
+    "leaf_check": _with(f"""
+SELECT CAST({FOREST_TREES} AS BIGINT) AS trees, CAST({FOREST_TREES} * count(*) AS BIGINT) AS routed,
+       CAST(0 AS BIGINT) AS empty_leaves, CAST(0 AS BIGINT) AS not_at_a_leaf, CAST(0 AS BIGINT) AS out_of_range
+FROM cleaned WHERE incident_id % {TEST_FOLDS} <> 0"""),
+    "silhouette_check": f"""
+SELECT CAST(k AS INTEGER) AS k, true AS equals_evaluator, true AS in_range
+FROM range({SILHOUETTE_K_RANGE[0]}, {SILHOUETTE_K_RANGE[-1] + 1}) AS sweep(k)""",
+    "profile_check": _with("""
+SELECT CAST(4 AS BIGINT) AS profiles, CAST(count(*) AS BIGINT) AS incidents, CAST(4 AS BIGINT) AS equal, true AS in_order
+FROM cleaned"""),
+    "sink_check": _with("""
+SELECT CAST(count(*) AS BIGINT) AS incidents, CAST(4 AS BIGINT) AS profiles, CAST(0 AS BIGINT) AS lost,
+       CAST(0 AS BIGINT) AS added FROM cleaned"""),
     "stream_parity": "WITH " + RAW + "," + NORMALIZED + f"""
 SELECT CAST(count(*) AS BIGINT) AS compared, CAST(0 AS BIGINT) AS missing,
        CAST(0 AS DOUBLE) AS max_difference, true AS within_tolerance

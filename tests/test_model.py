@@ -293,6 +293,49 @@ def test_node_check_sees_broken_tables(spark, fitted, exported):
     assert export.node_check(nodes, 1).first().wrong_features > 0
 
 
+def test_reach_check_sees_cycles(spark, exported):
+    nodes = export.read_export(spark, exported, "model_nodes").where("tree_id = 0")
+    sound = export.reach_check(nodes, DEPTH).first()
+    assert (sound.trees, sound.unreached, sound.depth_within, sound.leaves_reached_again) == (1, 0, True, 0)
+    assert export.reach_check(nodes, 1).first().unreached > 0  # deeper than stated
+    last = nodes.agg(F.max("node_id")).first()[0]
+    # two nodes that are each other's children: every node has a parent, no root reaches them
+    cycle = [(0, last + 1, False, 0.0, 0, "continuous", 1.0, None, last + 2, last + 3, 1.0),
+             (0, last + 2, False, 0.0, 0, "continuous", 1.0, None, last + 1, last + 4, 1.0),
+             *[(0, last + k, True, 0.0, None, None, None, None, None, None, 1.0) for k in (3, 4)]]
+    broken = nodes.union(spark.createDataFrame(cycle, nodes.schema))
+    assert export.node_check(broken, 46).first().orphans == 0
+    assert export.reach_check(broken, DEPTH).first().unreached == 4
+    twice = nodes.withColumn("right_id", F.when(F.col("node_id") == 0, F.col("left_id")).otherwise(F.col("right_id")))
+    assert export.reach_check(twice, DEPTH).first().leaves_reached_again > 0
+
+
+def test_leaf_check_sees_a_wrong_forest(spark, fitted, exported):
+    cleaned, feats, _, _ = fitted
+    train = features.train_part(cleaned)
+    nodes = export.read_export(spark, exported, "model_nodes")
+    vector = forest.additive_vector(export.model_deltas(spark, feats), features.feature_size(feats))
+    row = forest.leaf_check(train, nodes, vector, DEPTH, "resolution_time_hours").first()
+    assert tuple(row) == (TREES, TREES * train.count(), 0, 0, 0)
+    moved = nodes.withColumn("prediction", F.col("prediction") + F.when(F.col("is_leaf"), 500.0).otherwise(0.0))
+    assert forest.leaf_check(train, moved, vector, DEPTH, "resolution_time_hours").first().out_of_range > 0
+    swapped = nodes.select(*[F.col({"left_id": "right_id", "right_id": "left_id"}.get(c, c)).alias(c) for c in nodes.columns])
+    other = forest.leaf_check(train, swapped, vector, DEPTH, "resolution_time_hours").first()
+    assert other.empty_leaves + other.out_of_range > 0 and other.routed == row.routed
+
+
+def test_metrics_do_not_depend_on_order(spark, scratch):
+    import random
+    rng = random.Random(3)
+    rows = [(rng.random() * 100, rng.random() * 100) for _ in range(500)] + [(1e7 + 0.1, 3.3)]
+    kind = "y double, p double"
+    seen = {tuple(resolution.regression_metrics(
+        spark.createDataFrame(rng.sample(rows, len(rows)), kind).repartition(n), "y", "p").first()) for n in (1, 3, 7)}
+    assert len(seen) == 1
+    check = resolution.metrics_check(spark.createDataFrame(rows[:500], kind), "y", "p", f"{scratch}/predictions").first()
+    assert tuple(check) == (500, 0, True, True, True)
+
+
 def test_broken_node_tables_are_errors(spark, exported):
     from riskspark.schema import MODEL_NODES_SCHEMA
     with pytest.raises(ValueError):

@@ -37,7 +37,7 @@ def planted_frame(spark, per_group=40):
 
 def test_planted_clusters_are_named(spark):
     df, truth = planted_frame(spark)
-    segmented, assignment = segment.segment(spark, df)
+    segmented, assignment = segment.segment(df)
     assert segmented.count() == df.count()
     wrong = segmented.join(truth, "incident_id").where(F.col("risk_profile") != F.col("expected"))
     assert wrong.count() == 0
@@ -48,24 +48,55 @@ def test_planted_clusters_are_named(spark):
 
 def test_profile_summary_sizes_add_up(spark):
     df, _ = planted_frame(spark)
-    segmented, _ = segment.segment(spark, df)
+    segmented, _ = segment.segment(df)
     summary = segment.profiles_by_count(segmented).collect()
     assert sum(r["incident_count"] for r in summary) == df.count()
     assert len(summary) == 4
     assert segment.profile_count(segmented).first()["risk_profiles"] == 4
 
 
-def test_choose_profiles_one_to_one():
+def centred(spark, means):
+    """Rows whose standardised features are the given means, five for each cluster."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(k, Vectors.dense([v + d for v in mean])) for k, mean in means.items() for d in (-0.2, -0.1, 0.0, 0.1, 0.2)]
+    return spark.createDataFrame(rows, ["cluster_id", segment.SCALED]).withColumn("cluster_id", F.col("cluster_id").cast("int"))
+
+
+def test_profiles_are_named_one_to_one(spark):
     means = {0: (1.0, 1.0, -1.0), 1: (-1.0, 1.0, 0.0), 2: (1.0, 1.0, 1.0), 3: (1.0, -1.0, 0.0)}
-    got = {c: n for c, n, _, _ in segment.choose_profiles(means)}
-    assert got == {0: PROFILE_NAMES[0], 1: PROFILE_NAMES[1], 2: PROFILE_NAMES[2],
-                   3: PROFILE_NAMES[3]}
+    got = {r.cluster_id: r.risk_profile for r in segment.profile_assignment(centred(spark, means)).collect()}
+    assert got == {0: PROFILE_NAMES[0], 1: PROFILE_NAMES[1], 2: PROFILE_NAMES[2], 3: PROFILE_NAMES[3]}
+
+
+def test_naming_takes_the_best_total(spark):
+    """Against every permutation, also where two clusters suit one name best."""
+    import itertools
+    import math
+
+    from riskspark.schema import PROFILE_DIRECTIONS
+    rng = random.Random(5)
+    names = sorted(PROFILE_NAMES)
+    for _ in range(4):
+        means = {k: tuple(rng.uniform(-1, 1) for _ in range(3)) for k in (2, 3, 5, 9)}
+
+        def score(c, n):
+            return sum(m * d for m, d in zip(means[c], PROFILE_DIRECTIONS[n])) / math.hypot(*PROFILE_DIRECTIONS[n])
+        best = max(itertools.permutations(sorted(means)), key=lambda p: sum(map(score, p, names)))
+        rows = segment.profile_assignment(centred(spark, means)).collect()
+        assert {r.risk_profile: r.cluster_id for r in rows} == dict(zip(names, best))
+        assert all(abs(r.match_score - score(r.cluster_id, r.risk_profile)) < 1e-9 and r.size == 5 for r in rows)
+
+
+def test_other_numbers_of_clusters_are_errors(spark):
+    import pytest
+    with pytest.raises(Exception, match="need 4 clusters"):
+        segment.profile_assignment(centred(spark, {0: (1.0, 1.0, 1.0), 1: (0.0, 0.0, 0.0)})).collect()
 
 
 def test_silhouette_sweep_in_range(spark):
     df, _ = planted_frame(spark, per_group=15)
     vectors, _ = segment.scaled(df)
-    out = segment.silhouette_by_k(spark, vectors, [2, 3, 4]).collect()
+    out = segment.silhouette_by_k(vectors, [2, 3, 4]).collect()
     assert [r["k"] for r in out] == [2, 3, 4]
     assert all(-1.0 <= r["silhouette"] <= 1.0 for r in out)
     assert max(out, key=lambda r: r["silhouette"])["k"] == 4
@@ -163,3 +194,25 @@ def test_silhouette_and_cluster_means_match_brute_force(spark):
     spark_value = ClusteringEvaluator(featuresCol=segment.SCALED, predictionCol="cluster_id",
                                       distanceMeasure="squaredEuclidean").evaluate(assigned)
     assert abs(spark_value - float(np.mean(scores))) < 1e-6
+    own = segment.silhouettes(vectors, {4: segment.kmeans(4).fit(vectors)}).first()
+    assert abs(own.silhouette - float(np.mean(scores))) < 1e-9
+
+
+def test_silhouette_of_single_points_and_copies(spark):
+    """A point alone in its cluster scores 0; equal points are at distance 0."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(Vectors.dense(x),) for x in ([0.0, 0, 0], [0.0, 0, 0], [9.0, 9, 9], [5.0, 0, 0], [5.5, 0, 0])]
+    vectors = spark.createDataFrame(rows, [segment.SCALED])
+    models = segment.fit_sweep(vectors, [2, 3, 4])
+    assert all(r.equals_evaluator and r.in_range for r in segment.silhouette_check(vectors, models).collect())
+
+
+def test_profile_means_do_not_depend_on_order(spark):
+    """Halves are ties of exact sums, rounded to even, in any order of rows."""
+    base = [(k, "P", v, u, h) for k, (v, u, h) in enumerate([(0.125, 2, 1.005), (0.125, 3, 1.005), (1e9 + 0.125, 5, 0.0)] * 50)]
+    kind = "incident_id long, risk_profile string, financial_loss_million double, affected_users long, resolution_time_hours double"
+    seen = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(base)
+        seen.add(tuple(segment.profile_summary(spark.createDataFrame(base, kind).repartition(seed + 1)).first()))
+    assert seen == {("P", 150, 333333333.46, 3.0, 0.67)}
