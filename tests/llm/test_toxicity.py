@@ -79,3 +79,54 @@ def test_rows(spark, monkeypatch):
     assert sum(sample[1]) == 20 and len(sample[1]) == 40
     assert tx.scores(docs.limit(0), table, epochs=1).count() == 0
     assert all(r.score < 0.5 for r in tx.scores(docs, table.limit(0), epochs=1).collect())
+
+
+def plain_score(net, text):
+    """One text, window by window and word by word, in double precision and without batches or masks."""
+    p, hidden = net.p, net.p["state"].shape[1]
+    words = tx.words_of(text)
+    logits = []
+    for start in tx.starts(len(words)):
+        window = words[start:start + tx.WINDOW]
+        states = [[], []]
+        for way in (0, 1):
+            h, u = np.zeros(hidden), p["state"][way]
+            for w in (window, window[::-1])[way]:
+                grams = tx.trigrams(w)
+                x = np.concatenate([p["word"][net.vocabulary.get(w, 0)], sum(p["char"][g] for g in grams) / len(grams)])
+                gates = (x @ p["input"] + p["bias"])[3 * hidden * way:3 * hidden * (way + 1)]
+                back = h @ u
+                z, r = (1 / (1 + np.exp(-(gates[k * hidden:(k + 1) * hidden] + back[k * hidden:(k + 1) * hidden]))) for k in (0, 1))
+                c = np.tanh(gates[2 * hidden:] + r * back[2 * hidden:])
+                h = (1 - z) * c + z * h
+                states[way].append(h)
+        both = [np.concatenate(s) for s in zip(states[0], states[1][::-1])]
+        weight = np.exp([s @ p["attend"] for s in both])
+        pooled = sum(w * s for w, s in zip(weight / weight.sum(), both))
+        logits.append(pooled @ p["out"] + p["constant"][0])
+    return 1 / (1 + np.exp(-max(logits)))
+
+
+def test_scores_equal_plain_loops(spark):
+    """The batched, masked scorer in single precision against every window of every text by itself."""
+    texts, labels = corpus(200, 4)
+    net = tx.train([t.encode() for t in texts], labels, epochs=2)
+    rng = random.Random(5)
+    more = [b"", b"  \n", b"one", "é ü x".encode(), b"idiot", b"w " * 31, b"w " * 32, b"w " * 33, b"a b " * 400]
+    more += [t.encode() for t in corpus(60, 6)[0]] + [" ".join(rng.choice(texts).split()[0] for _ in range(200)).encode()]
+    want = np.array([plain_score(net, t) for t in more])
+    scorer = tx.Scorer(net)
+    assert np.abs(scorer.score(more) - want).max() < 1e-4
+    assert np.abs(np.array([tx.Scorer(net).score([t])[0] for t in more]) - want).max() < 1e-4  # alone as in a batch
+    # the query itself: the network that ``scores`` trains, applied to whole texts
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, None), (901, "x " * 3000), (None, "idiot")],
+                                 "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    sample = tx.training_sample(docs, marks)
+    own = tx.train(*sample, 2)
+    got = tx.scores(docs, marks, epochs=2).collect()
+    by_id = {i: t.encode() for i, t in enumerate(texts)} | {900: b"", 901: b"x " * 3000, None: b"idiot"}
+    assert len(got) == len(by_id)
+    for r in got:
+        assert abs(r.score - plain_score(own, by_id[r.doc_id])) < 1e-4 and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 5 == 0)
