@@ -8,6 +8,7 @@ or repeated), so work that belongs to a text is keyed by ``text_key``.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -28,7 +29,7 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", list(columns) or None)
 
 
-#: Folders that ``materialize`` has written in this process, in order.
+#: Folders that ``materialize`` and ``graph.cut`` have written in this process, in order.
 SCRATCH: list[str] = []
 
 
@@ -49,11 +50,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete what ``materialize`` wrote, once nothing reads it any more."""
+    """Delete what ``materialize`` or ``graph.cut`` wrote, once nothing reads it any more."""
     for df in frames:
         delete_folder(df.sparkSession, df.scratch_path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch of this process, once the results that read it are written."""
+    while SCRATCH:
+        delete_folder(spark, SCRATCH.pop())
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps now.
 
@@ -65,6 +72,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give the memory that a task has freed back to the system; a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def text_key(text: Column) -> Column:
     """Two 64-bit hashes of a text with different seeds; NULL counts as empty."""
     t = F.coalesce(text, F.lit(""))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import release
+from riskspark.llm.common import SCRATCH, discard, release
 from riskspark.session import checkpoint_root
 
 #: Once no more edges than these are left (a few MB), one task finishes the components.
@@ -16,10 +16,17 @@ LAST_EDGES = 1 << 18
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; Spark removes it with its cleaner."""
+    """A reliable checkpoint in the shared folder.
+
+    Spark's cleaner removes it only where the session asks for that, so its
+    folder is scratch like any other: ``discard`` or ``clear`` deletes it.
+    """
     checkpoint_root(df.sparkSession)
     release(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    out.scratch_path = out._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+    SCRATCH.append(out.scratch_path)
+    return out
 
 
 def fingerprint(edges: DataFrame) -> tuple:
@@ -66,9 +73,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
-        stars = cut(small)
+        last, stars = stars, cut(small)
+        discard(last)
         before, state = state, fingerprint(stars)
         if state == before:
             heads = stars.select("v").distinct().select(F.col("v").alias("u"), "v")
             return stars.union(heads).toDF("node", "component")
-    return cut(stars.coalesce(1).mapInArrow(joined_sets, stars.schema)).toDF("node", "component")
+    joined = cut(stars.coalesce(1).mapInArrow(joined_sets, stars.schema))
+    discard(stars)
+    return joined.toDF("node", "component")
