@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskspark.llm.common import Hashes, binary, discard, materialize, mix, slices, sliding_argmin
+from riskspark.llm.common import Hashes, binary, discard, materialize, mix, slices, sliding_argmin, trim
 
 SEGMENT = 1 << 21  # units of a long text handled at a time
 # A place holds the first window, then a bit for a stretch over several places of its anchor, then the number of windows.
@@ -121,6 +121,7 @@ def map_slices(df: DataFrame, function, schema, limit: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, limit):
                 yield function(part)
+                trim()
     return df.mapInArrow(run, schema)
 
 
@@ -134,7 +135,7 @@ def all_stretches(docs: DataFrame, text: str, units: Units) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(keys[owner]), pa.array(h), pa.array(s), pa.array(place)],
                                           ["a", "h", "s", "place"])
 
-    return map_slices(rows, run, "a bigint, h bigint, s bigint, place bigint", 2 << 20)
+    return map_slices(rows, run, "a bigint, h bigint, s bigint, place bigint", 1 << 20)
 
 
 def occurrences(docs: DataFrame, text: str, units: Units) -> tuple[DataFrame, DataFrame]:

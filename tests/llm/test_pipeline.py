@@ -57,7 +57,7 @@ def test_near_duplicates(stages):
 
 def test_repeated_strings(stages):
     docs = rows(stages[2])
-    want = suffix_brute.brute([r.text for r in docs], 400)
+    want = suffix_brute.brute([r.text for r in docs], cp.REPEATED_BYTES)
     got = {r.doc_id: r for r in rows(stages[3])}
     for r, (n, removed, _, _) in zip(docs, want):
         if not removed:
