@@ -17,6 +17,11 @@ from riskspark.llm import mixing, quality_rules, queries, sentencepiece, simhash
 from riskspark.llm.common import documents, materialize
 from riskspark.plans.cache import delete_folder
 
+#: The suffix-array stage removes strings of so many bytes: shorter than a passage of 50 words in any of the
+#: languages, which has some 250 bytes and more.
+REPEATED_BYTES = 200
+REPEATED_ANCHOR = 50
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _LEFT: dict[str, list[str]] = {}
 
@@ -55,7 +60,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document that had text and has none left goes too.
     """
-    return suffix.cleaned(docs)
+    return suffix.cleaned(docs, window=REPEATED_BYTES, anchor=REPEATED_ANCHOR)
 
 
 @stage
