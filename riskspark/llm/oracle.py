@@ -54,18 +54,30 @@ tw AS (SELECT r, i, (n = 5 AND count(*) OVER (PARTITION BY r, gram, n) > 1) AS t
 rep AS (SELECT r, count(*) AS n_repeat_words FROM (
           SELECT r, bool_or(twice) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inside
           FROM tw) WHERE inside GROUP BY r),
-h AS (SELECT ln.r, source, md5(text) AS t, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
-             CAST('0x' || substr(md5(translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
-               'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')), 1, 15) AS BIGINT) AS k
-      FROM ln JOIN d USING (r)),
-u AS (SELECT DISTINCT source, t, k FROM h),
-c AS (SELECT source, k, t, min(k) OVER (PARTITION BY source, t) AS a,
-             list_sort(list(k) OVER (PARTITION BY source, t)) AS ks FROM u),
-f AS (SELECT source, k, count(DISTINCT coalesce(CASE WHEN k = ks[1] THEN ks[2] ELSE ks[1] END, -1)) AS n
-      FROM c GROUP BY source, k),
+h AS (SELECT *, len(ws) AS n, CAST('0x' || substr(md5(array_to_string(ws, ' ')), 1, 15) AS BIGINT) AS k,
+             CASE WHEN len(ws) > 5 THEN 3 WHEN len(ws) > 3 THEN 2 END AS ends
+      FROM (SELECT ln.r, source, md5(text) AS t,
+                   regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+                                                'abcdefghijklmnopqrstuvwxyz000000000'), '[^\x20\x09-\x0D]+') AS ws
+            FROM ln JOIN d USING (r)) AS normal),
+u AS (SELECT DISTINCT source, t, k, CASE WHEN ends > 0 THEN array_to_string(ws[1:ends], ' ') END AS s,
+             CASE WHEN ends > 0 THEN array_to_string(ws[len(ws) - ends + 1:len(ws)], ' ') END AS e FROM h),
+fr AS (SELECT source, k, s, e, count(*) AS n FROM u GROUP BY source, k, s, e HAVING count(*) > 20),
+st AS (SELECT source, s, min(k) AS k FROM fr WHERE s IS NOT NULL GROUP BY source, s),
+en AS (SELECT source, e, min(k) AS k FROM fr WHERE e IS NOT NULL GROUP BY source, e),
 hosts AS (SELECT source, count(DISTINCT md5(text)) AS texts FROM d GROUP BY source),
-hot AS (SELECT f.source, k FROM f JOIN hosts ON f.source IS NOT DISTINCT FROM hosts.source
-        WHERE n > 20 AND n * 100 > texts * 5),
+often AS (SELECT fr.source, k, texts FROM fr JOIN hosts ON fr.source IS NOT DISTINCT FROM hosts.source
+          WHERE n * 100 > texts * 5),
+hit AS (SELECT u.source, t, u.k, texts FROM u JOIN often ON u.k = often.k AND u.source IS NOT DISTINCT FROM often.source),
+sets AS (SELECT u.source, u.t, list_sort(list(DISTINCT coalesce(fr.k, st.k, en.k, u.k))) AS names
+         FROM u SEMI JOIN hit ON u.t = hit.t AND u.source IS NOT DISTINCT FROM hit.source
+         LEFT JOIN fr ON u.k = fr.k AND u.source IS NOT DISTINCT FROM fr.source
+         LEFT JOIN st ON u.s = st.s AND u.source IS NOT DISTINCT FROM st.source
+         LEFT JOIN en ON u.e = en.e AND u.source IS NOT DISTINCT FROM en.source
+         GROUP BY u.source, u.t),
+f AS (SELECT hit.source, k, texts, count(DISTINCT names) AS n FROM hit JOIN sets ON hit.t = sets.t
+      AND hit.source IS NOT DISTINCT FROM sets.source GROUP BY hit.source, k, texts),
+hot AS (SELECT source, k FROM f WHERE n > 20 AND n * 100 > texts * 5),
 gone AS (SELECT r, sum(n) AS removed_words FROM h JOIN hot ON h.k = hot.k AND h.source IS NOT DISTINCT FROM hot.source
          GROUP BY r),
 m AS (SELECT doc_id, CAST(len({WORDS}) AS BIGINT) AS n_words,

@@ -6,14 +6,12 @@ the number of distinct documents of each line is counted; a line of more
 documents than the limit is boilerplate, and a document that boilerplate
 leaves depleted is rejected.
 
-Copies must not make a text's own lines look like boilerplate.  A document
-therefore counts through its context, the smallest hash among its other
-lines: exact copies and most near copies of a document have one context,
-unrelated documents that share a line have different ones.  Where the smallest
-other line is boilerplate itself, contexts are too few; so documents are also
-counted by the smallest hash of their own lines, those of few texts of the
-host.  A line that begins or ends like a line of many texts is not an own one
-but that line edited, as in a near copy.  The greater count decides.
+Copies must not make a text's own lines look like boilerplate, so a document
+is known by the set of its lines: exact copies are one document.  A line of few
+texts that begins or ends like a line of many texts of the host is that line
+edited and stands for it in the set, so copies with edited words are one
+document too, while pages of one template differ by their own lines or by the
+choice of template lines and are counted each.
 """
 
 from __future__ import annotations
@@ -151,10 +149,14 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", host: str = "
 
 def common_lines(rows: DataFrame, min_documents: int = LINE_DOCUMENTS,
                  percent: int = LINE_PERCENT) -> DataFrame:
-    """(host, line) above both limits, over ``measured`` rows; one row per line."""
+    """(host, line) above both limits, over ``measured`` rows; one row per line.
+
+    Distinct texts bound the distinct documents from above, so only the lines
+    whose texts pass the limits, and the texts that hold one, are looked at again.
+    """
     texts = (rows.groupBy("host", "key").agg(F.first(F.struct("hashes", "ends")).alias("t"))
              .select("host", "key", F.array_distinct(F.arrays_zip("t.hashes", "t.ends")).alias("lines")))
-    lines = texts.select("host", F.explode("lines").alias("l")).select("host", F.col("l.hashes").alias("line"), "l.ends")
+    lines = texts.select("host", "key", F.explode("lines").alias("l")).select("host", "key", F.col("l.hashes").alias("line"), "l.ends")
     # written, so that their size is known and all lines need no shuffle to meet a few
     frequent = materialize(lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.first("ends").alias("ends"))
                            .where(F.col("n") > min_documents), "frequent-lines")
@@ -163,25 +165,28 @@ def common_lines(rows: DataFrame, min_documents: int = LINE_DOCUMENTS,
     hosts = rows.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     often = materialize(frequent.join(hosts, same_host).where(F.col("n") * 100 > F.col("texts") * percent)
                         .select("f_host", "f_line", "texts"), "common-lines")
-    least = F.array_sort("lines.hashes")
-    context = F.when(F.col("first") == F.col("line"), F.col("second")).otherwise(F.col("first"))
-    hit = cut(texts.select("host", "key", F.get(least, F.lit(0)).alias("first"), F.get(least, F.lit(1)).alias("second"),
-                           F.explode("lines.hashes").alias("line"))
-              .join(often, same_host & (F.col("line") == F.col("f_line")))
-              .select("host", "key", "line", "texts", context.alias("context")))
-    own = (texts.join(hit.select("key").distinct(), "key", "left_semi").select("host", "key", F.explode("lines").alias("l"))
-           .select("host", "key", F.col("l.hashes").alias("line"), "l.ends")
-           .join(frequent, same_host & (F.col("line") == F.col("f_line")), "left_anti"))
-    for end in (lambda c: F.shiftright(c, 31), lambda c: F.col(c).bitwiseAND(F.lit((1 << 31) - 1))):
-        known = frequent.where("f_ends <> 0").select("f_host", end("f_ends").alias("f_end")).distinct()
-        own = own.join(known, same_host & (F.col("ends") != 0) & (end("ends") == F.col("f_end")), "left_anti")
-    own = own.groupBy("key").agg(F.min("line").alias("own"))
-    marks = F.explode(F.array(F.struct(F.lit(0).alias("by"), F.col("context").alias("mark")),
-                              F.struct(F.lit(1).alias("by"), F.col("own").alias("mark"))))
-    counts = (hit.join(own, "key", "left").select("host", "line", "texts", marks.alias("m")).distinct()
-              .groupBy("host", "line", "texts", "m.by").count())
-    return (counts.where((F.col("count") > min_documents) & (F.col("count") * 100 > F.col("texts") * percent))
-            .select("host", "line").distinct())
+    hit = cut(lines.join(often, same_host & (F.col("line") == F.col("f_line"))).select("host", "key", "line", "texts"))
+    sets = line_sets(lines.join(hit.select("key").distinct(), "key", "left_semi"), frequent)
+    counts = hit.join(sets, "key").groupBy("host", "line", "texts").agg(F.count_distinct("lines").alias("documents"))
+    return (counts.where((F.col("documents") > min_documents) & (F.col("documents") * 100 > F.col("texts") * percent))
+            .select("host", "line"))
+
+
+def line_sets(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(key, lines): the set of each text's lines, as two hashes; an edited line stands for the frequent line it is like.
+
+    That is the least frequent line of the host with the same first words,
+    else the one with the same last words.
+    """
+    same_host = F.col("host").eqNullSafe(F.col("f_host"))
+    named = lines.join(frequent.select("f_host", "f_line"), same_host & (F.col("line") == F.col("f_line")), "left").drop("f_host")
+    for name, end in (("first", lambda c: F.shiftright(c, 31)), ("last", lambda c: F.col(c).bitwiseAND(F.lit((1 << 31) - 1)))):
+        known = (frequent.where("f_ends <> 0").groupBy("f_host", end("f_ends").alias("f_end"))
+                 .agg(F.min("f_line").alias(name)))
+        like = same_host & F.isnull("f_line") & (F.col("ends") != 0) & (end("ends") == F.col("f_end"))
+        named = named.join(known, like, "left").drop("f_host", "f_end")
+    names = F.array_sort(F.collect_set(F.coalesce("first", "last", "line")))
+    return named.groupBy("key").agg(F.struct(F.xxhash64(names).alias("a"), F.xxhash64(F.lit("lines"), names).alias("b")).alias("lines"))
 
 
 def verdicts(docs: DataFrame, keep: list[str], text: str = "text", host: str = "source",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -26,12 +27,24 @@ def brute(rows):
     out, lines, hosts = [], defaultdict(set), defaultdict(set)
     norm = lambda line: " ".join(w for w in re.split(SPACE, line) if w).lower().translate(
         str.maketrans("123456789", "0" * 9))
-    for host, text in rows:
-        hosts[host].add(text or "")
-        own = sorted({norm(x) for x in (text or "").split("\n")} - {""}, key=lambda x: qr.line_hash(x.encode().split()))
+    def ends(line):
+        words = line.split(" ")
+        n = min(3, len(words) // 2)
+        return ((), ()) if n < 2 else (tuple(words[:n]), tuple(words[-n:]))
+
+    texts = {(host, text or ""): {norm(x) for x in (text or "").split("\n")} - {""} for host, text in rows}
+    many = Counter((host, x) for (host, _), own in texts.items() for x in own)
+    key = lambda x: qr.line_hash(x.encode().split())
+    first, last = {}, {}
+    for (host, x), n in sorted(many.items(), key=lambda c: key(c[0][1])):
+        if n > 20 and ends(x)[0]:
+            first.setdefault((host, ends(x)[0]), x)
+            last.setdefault((host, ends(x)[1]), x)
+    for (host, text), own in texts.items():
+        hosts[host].add(text)
+        name = frozenset(x if many[host, x] > 20 else first.get((host, ends(x)[0]), last.get((host, ends(x)[1]), x)) for x in own)
         for x in own:
-            rest = [y for y in own if y != x]
-            lines[host, x].add(rest[0] if rest else None)
+            lines[host, x].add(name)
     for host, text in rows:
         t = text or ""
         words = [w for w in re.split(SPACE, t) if w]
@@ -92,3 +105,35 @@ def test_template_pages_are_found_and_near_copies_kept(spark):
     for i, (host, text) in enumerate(rows):
         assert got[i].kept == (host == "n")
         assert len(got[i].common or []) == (0 if host == "n" else 20)
+
+
+def test_pages_without_own_lines_are_found(spark):
+    """A host of 1,000 different texts, each 20 of 30 template lines and nothing else: every line is boilerplate."""
+    rng = random.Random(30)
+    template = [f"menu {name(k)} entry with number {name(k * 7)}" for k in range(30)]
+    rows = [("t", "\n".join(rng.sample(template, 20))) for _ in range(1000)]
+    rows += [("t", f"{name(k)}a {name(k)}b {name(k)}c and {name(k)}d {name(k)}e {name(k)}f {name(k)}g {name(k)}h {name(k)}i {name(k)}j")
+             for k in range(200)]
+    docs = frame(spark, rows)
+    common = qr.common_lines(qr.cut(qr.measured(docs, ["i"])))
+    assert common.count() == 30
+    assert sorted(r.row.i for r in qr.verdicts(docs, ["i"]).where("kept").collect()) == list(range(1000, 1200))
+
+
+def test_edited_copies_are_one_document(spark):
+    """Copies of two articles with words edited anywhere keep all their lines; their host's real boilerplate goes."""
+    rng = random.Random(31)
+    rows = []
+    for a in range(2):
+        article = [[f"{name(a)}{name(k)}w{name(j)}" for j in range(14)] for k in range(12)]
+        for i in range(100):
+            words = [list(x) for x in article]
+            for _ in range(3):
+                words[rng.randrange(12)][rng.randrange(3, 11)] = f"edit{name(rng.randrange(10**6))}"
+            rows.append(("n", "\n".join(" ".join(x) for x in words) + ("\n" + BOILER if i % 2 else "")))
+    rows += [("n", f"Page {name(k)} with its own {name(k)}x words and nothing else, {name(k)}y {name(k)}z.\n" + BOILER) for k in range(100)]
+    docs = frame(spark, rows)
+    got = {r.row.i: r for r in qr.verdicts(docs, ["i"]).collect()}
+    assert {len(r.common or []) for r in got.values()} <= {0, 1} and all(got[i].kept for i in got)
+    want = brute(rows)
+    assert all((got[i].kept, got[i].removed_words) == (want[i][6], want[i][7]) for i in got)
