@@ -18,9 +18,9 @@ from riskspark.llm.common import documents, materialize
 from riskspark.plans.cache import delete_folder
 
 #: The suffix-array stage removes strings of so many bytes: shorter than a passage of 50 words in any of the
-#: languages, which has some 250 bytes and more.
-REPEATED_BYTES = 200
-REPEATED_ANCHOR = 50
+#: languages, which has 259 bytes and more in the given tables.
+REPEATED_BYTES = 240
+REPEATED_ANCHOR = 60
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _LEFT: dict[str, list[str]] = {}
