@@ -11,12 +11,13 @@ chunk again, which sums them up per document.  A document is kept if its
 perplexity lies between two quantiles of the trusted texts of its language.
 With folds, a trusted text is scored by a model of the other folds' texts, so
 that its own counts do not make it, and the bounds, look likelier than unseen
-texts are.
+texts are.  The models of all trusted texts and of all but one fold share one
+count table, a column each, and answer the same requests in the same joins:
+every text is read, asked for and summed up once.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -27,15 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from riskspark.llm import common
-from riskspark.llm.common import materialize, mix
-from riskspark.llm.graph import cut
-from riskspark.plans.cache import delete_folder
+from riskspark.llm.common import discard, materialize, mix
 
 ORDER = 4
 LOW, HIGH = 0.01, 0.99
 FOLDS = 2  # of the trusted texts
-LEAST = 100  # trusted texts of a language with quantiles of its own; with fewer these would be its extremes
+#: A language's bounds lie between its own quantiles and those over all, which weigh as much as this many of its
+#: trusted texts: the quantiles of few texts are their extremes.
+PRIOR = 20
 CHUNK_BYTES = 24 << 20
 BIN = 0.001  # of the logarithm of a perplexity, for quantiles
 START, END = "\x02", "\x03"
@@ -95,65 +95,95 @@ def counted(texts: Iterator[str], order: int) -> tuple[list[str], list[int]]:
     return list(total), list(total.values())
 
 
-def trained_counts(trusted: DataFrame, text: str, order: int = ORDER) -> DataFrame:
-    """(gram, n) over all trusted texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = counted((t or "" for b in batches for t in b.column(0).to_pylist()), order)
-        for at in range(0, len(grams), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(grams[at:at + 100_000], pa.string()),
-                                              pa.array(counts[at:at + 100_000], pa.int64())], ["gram", "n"])
+def fold_of(text: Column, folds: int) -> Column:
+    """The fold of a text; equal texts are in one fold."""
+    return F.pmod(F.xxhash64(F.lit("fold"), F.coalesce(text, F.lit(""))), F.lit(folds)).cast("int")
+
 
-    return (trusted.select(text).mapInArrow(run, "gram string, n bigint")
-            .groupBy("gram").agg(F.sum("n").alias("n")))
+def model_columns(folds: int) -> list[str]:
+    """The model of all trusted texts, then those without one fold."""
+    return ["n", *(f"without_{f}" for f in range(folds if folds > 1 else 0))]
 
 
-def discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """The modified discounts for counts of one, two and more."""
-    row = counts.agg(*(F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
-    n = [0, *row]
+def trained_counts(trusted: DataFrame, text: str, order: int = ORDER, folds: int = 1) -> DataFrame:
+    """(gram, n, without_0, ...): how often a gram occurs in all trusted texts, and in all but one fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            fold = batch.column(1).to_numpy()
+            for f in np.unique(fold).tolist():
+                held.setdefault(f, []).append(batch.filter(pa.array(fold == f)))
+        for f, parts in held.items():
+            grams, counts = counted((t or "" for b in parts for t in b.column(0).to_pylist()), order)
+            for at in range(0, len(grams), 100_000):
+                part = grams[at:at + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.string()), pa.array([f] * len(part), pa.int32()),
+                     pa.array(counts[at:at + 100_000], pa.int64())], ["gram", "fold", "n"])
+
+    rows = trusted.select(text, fold_of(F.col(text), folds).alias("fold")).mapInArrow(run, "gram string, fold int, n bigint")
+    without = [F.sum(F.when(F.col("fold") != f, F.col("n")).otherwise(0)).alias(c)
+               for f, c in enumerate(model_columns(folds)[1:])]
+    return rows.groupBy("gram").agg(F.sum("n").alias("n"), *without)
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """The modified discounts for counts of one, two and more, from the counts of counts."""
+    n = [0, n1, n2, n3, n4]
     y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
     return tuple(min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.0), float(k)) if n[k] else 0.5 * k for k in (1, 2, 3))
 
 
 class Model:
-    """Count tables of all orders of a modified Kneser-Ney model."""
+    """Count tables of all orders of modified Kneser-Ney models, a column for each model."""
 
     def __init__(self, counts: DataFrame, order: int = ORDER):
         self.order = order
-        self.counts = {order: cut(counts)}
+        self.names = counts.columns[1:]
+        self.counts = {order: materialize(counts, "counts")}
         for k in range(order - 1, 0, -1):
-            self.counts[k] = cut(self.counts[k + 1].groupBy(F.substring("gram", 2, k).alias("gram"))
-                                 .agg(F.count("*").alias("n")))
-        self.discount = {k: discounts(c) for k, c in self.counts.items()}
+            longer = self.counts[k + 1].groupBy(F.substring("gram", 2, k).alias("gram"))
+            self.counts[k] = materialize(longer.agg(*(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in self.names)), "counts")
+        self.discount = {}
+        for k, table in self.counts.items():
+            row = table.agg(*(F.count(F.when(F.col(c) == j, 1)) for c in self.names for j in (1, 2, 3, 4))).first()
+            self.discount[k] = {c: discounts(*row[4 * i:4 * i + 4]) for i, c in enumerate(self.names)}
         single = self.context(1).first()
-        self.symbols = self.counts[1].count() + 1
-        self.single = (single["total"], single["free"]) if single and single["total"] else (1, 1.0)
+        symbols = self.counts[1].agg(*(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in self.names)).first()
+        self.single = {c: (single[f"total_{c}"] or 1, single[f"free_{c}"] if single[f"total_{c}"] else 1.0, symbols[c] + 1)
+                       for c in self.names}
 
-    def taken(self, k: int) -> Column:
-        d = self.discount[k]
-        return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    def taken(self, k: int, c: str) -> Column:
+        d, n = self.discount[k][c], F.col(c)
+        return F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 
     def context(self, k: int) -> DataFrame:
-        """(context, total, free): the sum of counts after a context and its share left over."""
-        sums = (F.sum("n").alias("total"), (F.sum(self.taken(k)) / F.sum("n")).alias("free"))
+        """(context, total_c, free_c): the sum of counts after a context and its share left over."""
+        sums = [x for c in self.names for x in (F.sum(c).alias(f"total_{c}"), F.try_divide(
+            F.sum(self.taken(k, c)), F.sum(c)).alias(f"free_{c}"))]
         if k == 1:
             return self.counts[1].agg(*sums)
         return self.counts[k].groupBy(F.substring("gram", 1, k - 1).alias("context")).agg(*sums)
 
     def probabilities(self, grams: DataFrame, k: int | None = None) -> DataFrame:
-        """(gram, p): the probability of each n-gram's last character after the others."""
+        """(gram, p_c): the probability of each n-gram's last character after the others."""
         k = k or self.order
-        seen = self.counts[k].select("gram", F.greatest(F.col("n") - self.taken(k), F.lit(0.0)).alias("own"))
+        seen = self.counts[k].select("gram", *(F.greatest(F.col(c) - self.taken(k, c), F.lit(0.0)).alias(f"own_{c}")
+                                               for c in self.names))
+        own = {c: F.coalesce(f"own_{c}", F.lit(0.0)) for c in self.names}
         if k == 1:
-            total, free = self.single
-            return (grams.join(seen, "gram", "left").select(
-                "gram", (F.coalesce("own", F.lit(0.0)) / float(total) + free / self.symbols).alias("p")))
+            return (grams.join(seen, "gram", "left").select("gram", *(
+                (own[c] / float(total) + free / symbols).alias(f"p_{c}") for c, (total, free, symbols) in self.single.items())))
         lower = self.probabilities(grams.select(F.substring("gram", 2, k - 1).alias("gram")).distinct(), k - 1)
-        lower = lower.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
+        lower = lower.select(F.col("gram").alias("shorter"), *(F.col(f"p_{c}").alias(f"below_{c}") for c in self.names))
         rows = grams.withColumns({"context": F.substring("gram", 1, k - 1), "shorter": F.substring("gram", 2, k - 1)})
+        known = {c: F.coalesce(f"total_{c}", F.lit(0)) > 0 for c in self.names}
         return (rows.join(lower, "shorter").join(self.context(k), "context", "left").join(seen, "gram", "left")
-                .select("gram", F.when(F.isnull("total"), F.col("below")).otherwise(
-                    F.coalesce("own", F.lit(0.0)) / F.col("total") + F.col("free") * F.col("below")).alias("p")))
+                .select("gram", *(F.when(~known[c], F.col(f"below_{c}")).otherwise(
+                    own[c] / F.col(f"total_{c}") + F.col(f"free_{c}") * F.col(f"below_{c}")).alias(f"p_{c}") for c in self.names)))
+
+    def discard(self) -> None:
+        discard(*self.counts.values())
 
 
 def packed(docs: DataFrame, keep: list[str], text: str, chunks: int) -> DataFrame:
@@ -194,47 +224,51 @@ def asked(chunk: pa.Table, order: int) -> pa.Table:
 
 
 def summed(chunk: pa.Table, answers: pa.Table, order: int, kind: pa.Schema) -> pa.Table:
-    """Sum of log probabilities and number of characters of each row of a chunk."""
+    """Number of characters of each row of a chunk and, for each model, its sum of log probabilities."""
     flat = np.frombuffer("".join(answers["gram"].to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = flat.reshape(-1, order)
     key = np.zeros(len(codes), np.uint64)
     for k in range(order):
         key = mix(key + codes[:, k].astype(np.uint64) + np.uint64(1))
     by_key = np.argsort(key)
-    key, value = key[by_key], np.array(answers["logp"])[by_key]
+    key, values = key[by_key], [np.array(answers[c])[by_key] for c in answers.column_names[2:]]
     out = []
     for table in unpacked(chunk["blob"]):
-        sums, sizes = [], []
+        sums, sizes = [[] for _ in values], []
         for part in groups(iter(table["text"].to_pylist())):
             flat, bounds = points(part, order)
-            keys = gram_hashes(flat, order)
-            found, inverse = np.unique(keys, return_inverse=True)
+            found, inverse = np.unique(gram_hashes(flat, order), return_inverse=True)
             at = np.minimum(np.searchsorted(key, found), len(key) - 1)
-            score = value[at][inverse]
-            total = np.concatenate([[0], np.cumsum(score)])
             last = bounds[1:] - order + 1
-            sums += (total[last] - total[bounds[:-1]]).tolist()
+            for own, value in zip(sums, values):
+                total = np.concatenate([[0], np.cumsum(value[at][inverse])])
+                own += (total[last] - total[bounds[:-1]]).tolist()
             sizes += (last - bounds[:-1]).tolist()
-        out.append(pa.Table.from_arrays([table["row"], pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())],
+        out.append(pa.Table.from_arrays([table["row"], pa.array(sizes, pa.int64()), *(pa.array(x, pa.float64()) for x in sums)],
                                         schema=kind))
     return pa.concat_tables(out)
 
 
 def perplexities(docs: DataFrame, keep: list[str], model: Model, text: str = "text",
                  chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Struct ``row`` of ``keep``, n (characters and the end) and log_perplexity of every document."""
+    """Struct ``row`` of ``keep``, size (characters and the end) and the log perplexity of every document by model.
+
+    Written: it needs neither the model nor the requests any more.
+    """
     order = model.order
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blobs = packed(docs, keep, text, size // chunk_bytes + 1)
     requests = materialize(blobs.groupBy("chunk").applyInArrow(lambda t: asked(t, order), "chunk bigint, gram string"), "grams")
     known = model.probabilities(requests.select("gram").distinct())
-    answers = requests.join(known, "gram").select("chunk", "gram", F.log("p").alias("logp"))
+    answers = requests.join(known, "gram").select("chunk", "gram", *(F.log(f"p_{c}").alias(c) for c in model.names))
     row = docs.select(F.struct(*keep).alias("row")).schema["row"]
-    schema = T.StructType([row, T.StructField("total", T.DoubleType()), T.StructField("n", T.LongType())])
+    schema = T.StructType([row, T.StructField("size", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in model.names)])
     kind = to_arrow_schema(schema)
     found = (blobs.groupBy("chunk").cogroup(answers.groupBy("chunk"))
              .applyInArrow(lambda a, b: summed(a, b, order, kind), schema))
-    return found.select("row", "n", (-F.col("total") / F.col("n")).alias("log_perplexity"))
+    found = materialize(found.select("row", "size", *((-F.col(c) / F.col("size")).alias(c) for c in model.names)), "perplexities")
+    discard(requests)
+    return found
 
 
 def trusted_texts(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
@@ -273,26 +307,11 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, l
             .mapInArrow(back, f"{kinds}, text string"))
 
 
-def held_out(texts: DataFrame, order: int, folds: int, chunk_bytes: int) -> DataFrame:
-    """``perplexities`` of (doc_id, lang, text), each text under the model of the other folds.
-
-    Equal texts are in one fold.
-    """
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(folds))
-    scored = []
-    for f in range(folds):
-        before = len(common.SCRATCH)
-        model = Model(trained_counts(texts.where(fold != f), "text", order), order)
-        scored.append(cut(perplexities(texts.where(fold == f), ["doc_id", "lang"], model, "text", chunk_bytes)))
-        for path in common.SCRATCH[before:]:
-            delete_folder(texts.sparkSession, path)
-    return functools.reduce(DataFrame.union, scored)
-
-
-def thresholds(scored: DataFrame, low: float, high: float, least: int = 0) -> tuple[DataFrame, tuple[float, float]]:
+def thresholds(scored: DataFrame, low: float, high: float, prior: float = 0) -> tuple[DataFrame, tuple[float, float]]:
     """Bounds of log_perplexity by lang, and over all, from (lang, log_perplexity) of trusted texts.
 
-    A language of fewer than ``least`` texts has none of its own.
+    A language's bounds are the mean of its own quantiles, by its number of
+    texts, and of those over all, by ``prior``.
     Values are counted in bins, so the quantiles are exact to a bin and equal in any run.
     """
     bins = (scored.select("lang", F.floor(F.col("log_perplexity") / BIN).alias("bin"))
@@ -304,46 +323,41 @@ def thresholds(scored: DataFrame, low: float, high: float, least: int = 0) -> tu
     found = placed.groupBy("all", "lang").agg(
         F.min(F.when(F.col("upto") > F.col("n") * low, F.col("bin"))).alias("low"),
         F.min(F.when(F.col("upto") >= F.col("n") * high, F.col("bin"))).alias("high"), F.first("n").alias("n"))
-    found = found.where(F.col("all") | (F.col("n") >= least))
-    found = found.select("all", "lang", (F.col("low") * BIN).alias("low"), ((F.col("high") + 1) * BIN).alias("high"))
+    found = found.select("all", "lang", "n", (F.col("low") * BIN).alias("low"), ((F.col("high") + 1) * BIN).alias("high"))
     whole = found.where("all").first()
-    return found.where("NOT all").drop("all"), (whole["low"], whole["high"]) if whole else (-math.inf, math.inf)
+    lowest, most = (whole["low"], whole["high"]) if whole else (-math.inf, math.inf)
+    own = lambda c, all_: ((F.col(c) * F.col("n") + prior * all_) / (F.col("n") + prior)).alias(c)
+    return found.where("NOT all").select("lang", own("low", lowest), own("high", most)), (lowest, most)
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
              order: int = ORDER, low: float = LOW, high: float = HIGH, chunk_bytes: int = CHUNK_BYTES,
-             folds: int = 1, least: int = 0) -> DataFrame:
+             folds: int = 1, prior: float = 0) -> DataFrame:
     """Per document: doc_id, lang, n_chars, perplexity, low and high (the bounds) and kept.
 
     Trusted are the texts whose ``labels.quality`` is 1; with two ``folds`` or
     more their perplexity, and so the bounds, come from models without them.
     NULL texts count as empty: only their end is scored.  A language without
-    trusted texts, or with fewer than ``least``, NULL too unless it has some,
-    takes the quantiles over all; without any trusted text all documents are
+    trusted texts, NULL too, takes the quantiles over all, and one with few
+    lies near them (``prior``); without any trusted text all documents are
     kept.  Rows that repeat are scored alike and each counts; other columns
     play no part and an empty table gives an empty result.
     """
-    trusted = cut(labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct())
-    texts = trusted_texts(docs, trusted, doc_id, text, lang)
-    if folds > 1:
-        texts = materialize(texts, "trusted")
-        own = held_out(texts, order, folds, chunk_bytes)
-    model = Model(trained_counts(texts, "text", order), order)
-    if folds > 1:
-        common.discard(texts)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    scored = perplexities(rows, ["doc_id", "lang"], model, "text", chunk_bytes)
-    columns = "row.doc_id", "row.lang", (F.col("n") - 1).alias("n_chars"), "log_perplexity"
-    scored = cut(scored.select(*columns))
-    if folds > 1:
-        own = own.select(*columns)
-        scored = scored.join(trusted, "doc_id", "left_anti").unionByName(own)
-    else:
-        own = scored.join(trusted, "doc_id", "left_semi")
-    bounds, (lowest, most) = thresholds(own, low, high, least)
+    trusted = materialize(labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct(), "trusted-ids")
+    model = Model(trained_counts(trusted_texts(docs, trusted, doc_id, text, lang), "text", order, folds), order)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"),
+                       fold_of(F.col(text), folds).alias("fold"))
+    scored = perplexities(rows, ["doc_id", "lang", "fold"], model, "text", chunk_bytes)
+    model.discard()
+    by_fold = F.coalesce(*(F.when(F.col("row.fold") == f, F.col(c)) for f, c in enumerate(model.names[1:])), F.col("n"))
+    own = trusted.select(F.col("doc_id").alias("t_id"))
+    judged = scored.join(own, F.col("row.doc_id") == F.col("t_id"), "left").select(
+        "row.doc_id", "row.lang", (F.col("size") - 1).alias("n_chars"), F.isnotnull("t_id").alias("trusted"),
+        F.when(F.isnotnull("t_id"), by_fold).otherwise(F.col("n")).alias("log_perplexity"))
+    bounds, (lowest, most) = thresholds(judged.where("trusted"), low, high, prior)
     bounds = bounds.withColumnRenamed("lang", "b_lang")
     value = F.col("log_perplexity")
-    return (scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
+    return (judged.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
             .withColumns({"low": F.coalesce("low", F.lit(lowest)), "high": F.coalesce("high", F.lit(most))})
             .select("doc_id", "lang", "n_chars", F.exp(value).alias("perplexity"), F.exp("low").alias("low"),
                     F.exp("high").alias("high"), ((value >= F.col("low")) & (value <= F.col("high"))).alias("kept")))

@@ -24,7 +24,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lm.classify(documents(spark, sf_dir, "doc_id", "lang", "text"),
                                read_table(spark, sf_dir, "labels", ["doc_id", "quality"]),
-                               folds=quality_lm.FOLDS, least=quality_lm.LEAST)
+                               folds=quality_lm.FOLDS, prior=quality_lm.PRIOR)
 
 
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def test_odd_trusted_texts_do_not_set_the_bounds(spark):
     texts = [*good, "zq#" * 90, *["#qz" * (60 + i) for i in range(5)], *["the " * (80 + i) for i in range(5)]]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i in range(201)], "doc_id long, quality int")
-    got = {r.doc_id: r.kept for r in ql.classify(docs, labels, folds=ql.FOLDS, least=ql.LEAST).collect()}
+    got = {r.doc_id: r.kept for r in ql.classify(docs, labels, folds=ql.FOLDS, prior=ql.PRIOR).collect()}
     assert len(got) == len(texts) and not any(got[i] for i in range(200, len(texts)))
     assert sum(got[i] for i in range(200)) >= 190
 
@@ -111,7 +111,34 @@ def test_trusted_texts_are_scored_without_their_own_counts(spark):
     fold = {r.text: r.f for r in docs.selectExpr("text", "pmod(xxhash64('fold', text), 2) AS f").collect()}
     models = [brute_model([texts[i] for i in trusted if fold[texts[i]] != f], 3)[1] for f in (0, 1)]
     whole = brute_model([texts[i] for i in trusted], 3)[1]
-    got = {r.doc_id: r for r in ql.classify(docs, labels, order=3, folds=2, least=100).collect()}
-    assert len(got) == len(texts) and len({(r.low, r.high) for r in got.values()}) == 1  # both languages have too few
+    got = {r.doc_id: r for r in ql.classify(docs, labels, order=3, low=0.2, high=0.8, folds=2, prior=5).collect()}
+    assert len(got) == len(texts)
     for i, t in enumerate(texts):
         assert got[i].perplexity == pytest.approx(math.exp((models[fold[t]] if i in trusted else whole)(t)))
+
+    def quantiles(values):
+        bins = sorted(math.floor(v / ql.BIN) for v in values)
+        low = next(v for v in bins if sum(x <= v for x in bins) > 0.2 * len(bins))
+        high = next(v for v in bins if sum(x <= v for x in bins) >= 0.8 * len(bins))
+        return low * ql.BIN, (high + 1) * ql.BIN
+    own = {i: models[fold[texts[i]]](texts[i]) for i in trusted}
+    overall = quantiles(own.values())
+    for lang in (0, 1):  # fr, and the rest: the bounds lie between their own and those over all
+        mine = [v for i, v in own.items() if (i % 5 > 0) == lang]
+        want = [math.exp((len(mine) * a + 5 * b) / (len(mine) + 5)) for a, b in zip(quantiles(mine), overall)]
+        for i, r in got.items():
+            if (i % 5 > 0) == lang:
+                assert (r.low, r.high) == (pytest.approx(want[0]), pytest.approx(want[1]))
+
+
+@pytest.mark.parametrize("folds", [1, 3])
+def test_fold_columns_are_the_counts_without_a_fold(spark, folds):
+    texts = corpus()[:45]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    fold = {r.text: r.f for r in docs.select("text", ql.fold_of(docs.text, folds).alias("f")).collect()}
+    model = ql.Model(ql.trained_counts(docs, "text", 3, folds), 3)
+    for c, left_out in zip(model.names, [None, *range(folds)] if folds > 1 else [None]):
+        _, _, counts = brute_model([t for t in texts if fold[t] != left_out], 3)
+        for k, table in model.counts.items():
+            assert {r.gram: r[c] for r in table.collect() if r[c]} == dict(counts[k])
+    model.discard()
