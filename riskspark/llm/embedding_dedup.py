@@ -14,8 +14,8 @@ vector to which all passes together promise less than ``PROMISED`` is open, and
 open vectors are compared with each other whole, in blocks.
 
 Equal vectors are one class throughout.  The order is a range sort, so a pass
-has as many tasks as the table needs; the first and last rows of each range
-meet in a second, small step.  Tasks hand out links that connect what their
+has as many tasks as the table needs; the rows around each border of ranges, as far
+as a window reaches, whatever the ranges' sizes, meet in a second, small step.  Tasks hand out links that connect what their
 windows connect, not all pairs; the number of links of a vector is counted
 afterwards, exactly, inside each component and in blocks.
 """
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,14 +122,15 @@ def window_links(packed: list[bytes], fresh: int, neighbours: int, cosine: float
     return joined(pairs, n)
 
 
-LINKED = "u bigint, v bigint, edge bigint, late boolean, pass int, place bigint, cls bigint, vector binary"
+LINKED = "u bigint, v bigint, edge bigint, pass int, place bigint, cls bigint, vector binary"
 
 
 def range_links(neighbours: int, cosine: float):
-    """For one sorted range: links (u, v), its first and last rows for the ranges beside it, and the
-    classes with their log_misses, packed into one ``vector`` without an edge."""
+    """For one sorted range, number ``edge``: links (u, v), its first and last rows with their place in it,
+    its number of rows (as v, with edge -2 - number), and the classes with their log_misses, packed into one
+    ``vector`` without an edge."""
     names = [f.split()[0] for f in LINKED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
     def out(n: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -148,9 +149,8 @@ def range_links(neighbours: int, cosine: float):
             held.append([batch.column(c).to_numpy() for c in (0, 1, 4, 5)])
             if seen < neighbours:
                 head = rows[:neighbours - seen]
-                yield out(len(head), edge=[part - 1] * len(head), late=[True] * len(head),
-                          place=list(range(seen, seen + len(head))), cls=[r[1] for r in head],
-                          vector=[r[2] for r in head], **{"pass": [r[0] for r in head]})
+                yield out(len(head), edge=[part] * len(head), place=list(range(seen, seen + len(head))),
+                          cls=[r[1] for r in head], vector=[r[2] for r in head], **{"pass": [r[0] for r in head]})
             seen += len(rows)
             both = tail + rows
             of_pass = np.array([r[0] for r in both])
@@ -162,8 +162,10 @@ def range_links(neighbours: int, cosine: float):
                     yield out(len(u), u=cls[same[u]], v=cls[same[v]])
             tail = both[-neighbours:]
         if tail:
-            yield out(len(tail), edge=[part] * len(tail), late=[False] * len(tail), place=list(range(-len(tail), 0)),
-                      cls=[r[1] for r in tail], vector=[r[2] for r in tail], **{"pass": [r[0] for r in tail]})
+            last = tail[max(0, neighbours - (seen - len(tail))):]  # the others were handed out as first rows
+            yield out(len(last), edge=[part] * len(last), place=list(range(seen - len(last), seen)),
+                      cls=[r[1] for r in last], vector=[r[2] for r in last], **{"pass": [r[0] for r in last]})
+            yield out(1, edge=[-2 - part], v=[seen])
             of_pass, cls, key, size = (np.concatenate(c) for c in zip(*held))
             starts = np.flatnonzero((np.diff(of_pass) != 0) | (np.diff(size) != 0)) + 1
             for run_cls, run_key in zip(np.split(cls, starts), np.split(key, starts)):
@@ -204,13 +206,30 @@ def whole_links(cosine: float):
     return run
 
 
+def around_borders(found: DataFrame, neighbours: int) -> DataFrame:
+    """(edge, pass, place, cls, vector): the rows less than a window from the start of each range, by their place from it.
+
+    Ranges may be empty or shorter than a window: places count through all of
+    them, so a row stands at every border that its window reaches.
+    """
+    sizes = found.where("edge < -1").select((-2 - F.col("edge")).alias("part"), F.col("v").alias("size"))
+    starts = sizes.withColumn("start", F.sum("size").over(Window.orderBy("part")) - F.col("size"))  # one row per range
+    rows = found.where("edge >= 0").withColumnRenamed("edge", "part").join(starts, "part").select(
+        "pass", (F.col("start") + F.col("place")).alias("at"), "cls", "vector")
+    bucket = F.floor(F.col("at") / neighbours)
+    borders = starts.where("start > 0").select(F.col("start").alias("edge"), F.floor(F.col("start") / neighbours).alias("bucket"))
+    return (rows.withColumn("bucket", F.explode(F.sequence(bucket - 1, bucket + 1))).join(borders, "bucket")
+            .withColumn("place", F.col("at") - F.col("edge")).where(F.col("place").between(-neighbours, neighbours - 1))
+            .select("edge", "pass", "place", "cls", "vector"))
+
+
 def border_links(neighbours: int, cosine: float):
     def run(border: pa.Table) -> pa.Table:
-        rows = sorted(border.to_pylist(), key=lambda r: (r["pass"], r["late"], r["place"]))
+        rows = sorted(border.to_pylist(), key=lambda r: (r["pass"], r["place"]))
         u, v = [], []
         for p in {r["pass"] for r in rows}:
             mine = [r for r in rows if r["pass"] == p]
-            a, b = window_links([r["vector"] for r in mine], sum(not r["late"] for r in mine), neighbours, cosine)
+            a, b = window_links([r["vector"] for r in mine], sum(r["place"] < 0 for r in mine), neighbours, cosine)
             u += [mine[i]["cls"] for i in a]
             v += [mine[i]["cls"] for i in b]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
@@ -300,8 +319,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                    .sortWithinPartitions("pass", "size", "key", "cls"))
         found = cut(ordered.select("pass", "cls", "vector", F.spark_partition_id().cast("long").alias("part"), "key", "size")
                     .mapInArrow(range_links(neighbours, cosine), LINKED))
-        border = found.where("edge >= 0").select("edge", "late", "pass", "place", "cls", "vector")
-        outer = border.groupBy("edge").applyInArrow(border_links(neighbours, cosine), "u bigint, v bigint")
+        outer = around_borders(found, neighbours).groupBy("edge").applyInArrow(border_links(neighbours, cosine), "u bigint, v bigint")
         links = found.where("u IS NOT NULL").select("u", "v").union(outer).distinct()
         misses = found.where("u IS NULL AND edge IS NULL").select("vector").mapInArrow(unpacked_misses, "cls bigint, miss double")
         return cut(links.withColumn("miss", F.lit(None).cast("double")).union(

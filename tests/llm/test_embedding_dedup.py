@@ -63,6 +63,40 @@ def test_ranges_meet_at_their_borders(spark, monkeypatch):
     assert all(got[i].n_links <= w[0] for i, w in enumerate(want)) and found >= 0.95 * full
 
 
+def test_borders_reach_over_short_ranges(spark):
+    """Ranges of 0 to 30 rows under a window of 20: every pair that stands within the window is found."""
+    import random
+    rng = random.Random(4)
+    vectors = np.random.default_rng(4).normal(size=(400, 3))
+    rows, sizes, at = [], [], 0
+    while at < len(vectors):
+        n = min(rng.choice([0, 0, 1, 2, 5, 19, 20, 21, 30]), len(vectors) - at)
+        sizes.append(n)
+        rows.append([(int(i >= 250), i, np.array(vectors[i]).tobytes(), len(sizes) - 1, 0, 3) for i in range(at, at + n)])
+        at += n
+    import pyarrow as pa
+    names = ["pass", "cls", "vector", "part", "key", "size"]
+    out = []
+    for part in rows:
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in part[k:k + 7]]) for k in range(0, len(part), 7)]
+        out += [r for b in ed.range_links(20, 0.9)(iter(batches)) for r in b.to_pylist()]
+    found = spark.createDataFrame([tuple(r.values()) for r in out], ed.LINKED)
+    outer = ed.around_borders(found, 20).groupBy("edge").applyInArrow(ed.border_links(20, 0.9), "u bigint, v bigint")
+    got = set()
+    for r in found.where("u IS NOT NULL").select("u", "v").union(outer).collect():
+        got.add(tuple(sorted(r)))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = [(i, j) for i in range(400) for j in range(i + 1, min(400, i + 21)) if (i >= 250) == (j >= 250) and unit[i] @ unit[j] >= 0.9]
+
+    def groups(links):
+        label = list(range(400))
+        for _ in range(400):
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+    assert near and groups(got) == groups(near)
+
+
 def test_empty_table(spark):
     assert ed.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
