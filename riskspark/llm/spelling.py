@@ -1,9 +1,9 @@
 """Spelling variant grouping: near words of a sorted vocabulary by dynamic programming.
 
 The words of a corpus are counted and each stands twice in one sorted list,
-as it is and reversed: two words of 7 or more code points that differ by one
-edit share their first or their last 3, so near words stand in the same range
-of the list at least once.  For a word, the list behind it is scanned with
+as it is and reversed: two words that differ by one edit share their first or
+their last half (``half``), so near words stand in the same range of the list
+at least once.  For a word, the list behind it is scanned with
 rows of the edit matrix, 3 cells wide; a row is reused for all words that
 share its prefix (the adjacent longest common prefixes tell), and once no
 cell of a row is within one edit, the range that shares the prefix is skipped.
@@ -62,6 +62,14 @@ def vocabulary(words: DataFrame, least_length: int = LEAST_LENGTH, least_count:
             .where(F.col("n") >= least_count))
 
 
+def half(word: str, least_length: int) -> int:
+    """So many code points a word shares with a near word at the front, or that word with it at the end.
+
+    No edit leaves fewer than the shorter word's length less one outside of it.
+    """
+    return max(least_length // 2, (len(word) - 1) // 2)
+
+
 def shared(a: str, b: str) -> int:
     """Length of the longest common prefix."""
     n = min(len(a), len(b))
@@ -128,11 +136,12 @@ class PrefixList:
             depth = self.common[place]
 
 
-def visitors(bounds: list[tuple[int, str, str]], least: int):
+def visitors(bounds: list[tuple[int, str, str]], least_length: int):
     """The blocks behind its own that each word of the list must visit: rows (block, own, key, n)."""
     blocks = [b for b, _, _ in bounds]
     order = {b: k for k, b in enumerate(blocks)}
     first = [f for _, f, _ in bounds]
+    least = 1 + least_length // 2  # with the mark of the list
     prefixes = PrefixList([f[:max(least, shared(f, t))] for _, f, t in bounds])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +149,7 @@ def visitors(bounds: list[tuple[int, str, str]], least: int):
             rows = []
             for key, n, own in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "block"))):
                 behind = order[own] + 1
-                if behind < len(first) and first[behind][:least] == key[:least]:
+                if behind < len(first) and shared(first[behind], key) > half(key[1:], least_length):
                     rows += [(blocks[k], own, key, n) for k in prefixes.near(key, behind, least, prefixes=True)]
             columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
@@ -149,7 +158,7 @@ def visitors(bounds: list[tuple[int, str, str]], least: int):
     return visit
 
 
-def links_of_block(table: pa.Table, least: int) -> pa.Table:
+def links_of_block(table: pa.Table, least_length: int) -> pa.Table:
     """Near words between a block and its visitors, or inside a block, from both ends: (word, near, near_n)."""
     table = table.sort_by("key")
     keys, counts, visits = (table[c].to_pylist() for c in ("key", "n", "visits"))
@@ -162,10 +171,10 @@ def links_of_block(table: pa.Table, least: int) -> pa.Table:
             continue
         back = key[0] == "1"
         word = key[:0:-1] if back else key[1:]
-        for place in found.near(key, k + 1 if inside else 0, least):
+        for place in found.near(key, k + 1 if inside else 0, 1 + half(word, least_length)):
             other = found.words[place]
             near = other[:0:-1] if back else other[1:]
-            if back and word[:least - 1] == near[:least - 1]:
+            if back and shared(word, near) >= half(min(word, near), least_length):
                 continue  # found among the words as they are
             out += [(word, near, counts[places[place]]), (near, word, counts[k])]
     columns = list(zip(*out)) if out else [(), (), ()]
@@ -178,7 +187,6 @@ def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, block_bits: i
 
     ``words`` are different and of ``least_length`` code points at least.
     """
-    least = least_length // 2 + 1  # with the mark of the list
     total = words.count()
     while 2 * total >> block_bits > MOST_BLOCKS:
         block_bits += 1
@@ -186,13 +194,13 @@ def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, block_bits: i
     ordered = materialize(both.repartitionByRange("key").sortWithinPartitions("key").select(
         "key", "n", F.shiftright(F.monotonically_increasing_id(), block_bits).alias("block")), "sorted-words")
     ends = ordered.groupBy("block").agg(F.min("key"), F.max("key")).collect()  # MOST_BLOCKS, and one a partition
-    visits = materialize(ordered.mapInArrow(visitors(sorted(map(tuple, ends)), least),
+    visits = materialize(ordered.mapInArrow(visitors(sorted(map(tuple, ends)), least_length),
                                             "block long, own long, key string, n long"), "visiting-words")
     pairs = visits.select("block", "own").distinct()
     work = (ordered.withColumn("own", F.col("block")).unionByName(ordered.join(pairs, "block"))
             .withColumn("visits", F.lit(False)).unionByName(visits.withColumn("visits", F.lit(True))))
     links = materialize(work.groupBy("block", "own").applyInArrow(
-        lambda table: links_of_block(table, least), "word string, near string, near_n long"), "near-words")
+        lambda table: links_of_block(table, least_length), "word string, near string, near_n long"), "near-words")
     discard(ordered, visits)
     return links
 
