@@ -131,6 +131,28 @@ def test_categorical_splits_and_nan(spark):
         10.0, 10.0, 20.0, 30.0, 30.0, 30.0]
 
 
+@pytest.mark.parametrize("gap", [False, True])
+def test_sets_without_gaps_are_ranges(spark, gap):
+    """Thresholds and runs of categories need no words; a set with a gap brings them back; the answers are the same."""
+    from riskspark.schema import MODEL_NODES_SCHEMA
+    sets, values = [[0.0], [1.0], [], [2.0, 3.0], [63.0, 64.0, 65.0], [0.0, 1.0]], [
+        -2.0, -1.0, -0.5, 0.0, 0.5, 1.0, np.nextafter(2.0, 0.0), 2.0, 3.9, 4.0, 62.9, 63.0, 64.0,
+        np.nextafter(66.0, 0.0), 66.0, 3e9, float("inf"), float("-inf"), float("nan")]
+    sets = sets + [[1.0, 3.0]] if gap else sets
+    tests = [("categorical", None, s) for s in sets] + [("continuous", 2.0, None)]
+    rows = []
+    for t, test in enumerate(tests):
+        rows += [(t, 0, False, 0.0, 0, *test, 1, 2, 1.0),
+                 (t, 1, True, float(2 ** t), None, None, None, None, None, None, 1.0),
+                 (t, 2, True, 0.0, None, None, None, None, None, None, 1.0)]
+    nodes = spark.createDataFrame(rows, MODEL_NODES_SCHEMA)
+    assert ("__words" in forest.packed_forest(nodes).columns) == gap
+    whole = lambda v: int(v) if np.isfinite(v) and abs(v) < 2 ** 31 else None
+    assert predicted(spark, nodes, [[v] for v in values], 1) == [
+        sum(2.0 ** t for t, (_, limit, kept) in enumerate(tests) if (v <= limit if kept is None else whole(v) in kept))
+        / len(tests) for v in values]
+
+
 def predicted(spark, nodes, x, depth):
     rows = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "id int, x array<double>")
     out = forest.with_forest_prediction(rows, nodes, F.col("x"), depth, "p")
