@@ -7,6 +7,7 @@ import re
 from conftest import SF_SMALL
 from riskspark.operators import explore
 from riskspark.plans import catalog
+from riskspark.plans.partitioning import partitions_for_rows
 from riskspark.sources.incidents import incidents
 
 
@@ -57,3 +58,9 @@ def test_labels_and_deltas_fit_no_forest(spark, monkeypatch):
     monkeypatch.setattr(catalog, "resolution_model", lambda *a: 1 / 0)
     assert catalog.QUERIES["label_index"](spark, SF_SMALL).count() > 0
     assert catalog.QUERIES["model_deltas"](spark, SF_SMALL).count() > 0
+
+
+def test_a_fit_of_many_rows_takes_larger_partitions():
+    rows = (1, 20_000, 118_000, 480_000, 1_180_000, 7_070_000, 42_400_000, 10 ** 9)
+    assert [partitions_for_rows(n) for n in rows] == [1, 1, 6, 24, 24, 36, 212, 1000]
+    assert all(partitions_for_rows(n) <= partitions_for_rows(n + 1_000) for n in range(1, 10 ** 7, 1_000))
