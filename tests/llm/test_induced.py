@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,3 +63,25 @@ def test_repeated_starts():
                 seen[s[i:i + window]] = seen.get(s[i:i + window], 0) + 1
         want = [[i for i in range(len(s) - window + 1) if seen[s[i:i + window]] > 1] for s in strings]
         assert [x.tolist() for x in induced.repeated_starts(strings, window, 300)] == want
+
+
+def test_name_that_fills_its_key():
+    """Seven symbols make a key: a name that ends with it is larger than the longer ones that begin like it."""
+    rng = random.Random(4)
+    for _ in range(50):
+        text = [s for _ in range(12) for s in [2, 3, 4, 5, 6, 7, 2] + rng.choice([[], [9], [1], [1, 8], [1, 1, 5]])] + [0]
+        order, lcp = naive(text, 1000)
+        parts = induced.ordered(np.array(text, np.uint16), 258, 1000)
+        assert np.concatenate([p for p, _ in parts]).tolist() == order
+        assert np.concatenate([c for _, c in parts]).tolist() == lcp
+
+
+def test_repeats_of_names_that_fill_their_key():
+    rng = random.Random(5)
+    for _ in range(30):
+        make = lambda n: b"".join(b"bcdefgb" + rng.choice([b"", b"z", b"a", b"ax", b"aae"]) for _ in range(n))
+        shared = make(6)
+        strings = [make(8) + shared + make(8), make(8), make(8) + shared, make(12)]
+        seen = Counter(s[i:i + 40] for s in strings for i in range(len(s) - 39))
+        want = [[i for i in range(len(s) - 39) if seen[s[i:i + 40]] > 1] for s in strings]
+        assert [x.tolist() for x in induced.repeated_starts(strings, 40)] == want
