@@ -39,3 +39,31 @@ def test_a_fit_leaves_no_shuffles(spark, train):
     while files() - before and time.monotonic() < until:
         time.sleep(0.2)
     assert not files() - before, os.linesep.join(files() - before)
+
+
+def test_stream_arrivals_are_compressed(spark, train, monkeypatch):
+    """The arrivals take less disk than plain text would, and the model is there before they are."""
+    import os
+    model = resolution.fit_resolution_model(train, trees=2, depth=3)
+    order, seen = [], {}
+    monkeypatch.setattr(catalog, "resolution_model", lambda *a: order.append("model") or model)
+    write, run = catalog.files.write_json, catalog.scoring.run_until_drained
+
+    def written(df, path, **options):
+        order.append("arrivals")
+        return write(df, path, **options)
+
+    def drained(spark, model, source, *rest, **options):
+        seen["source"] = source
+        return run(spark, model, source, *rest, **options)
+    monkeypatch.setattr(catalog.files, "write_json", written)
+    monkeypatch.setattr(catalog.scoring, "run_until_drained", drained)
+    scored = catalog.streamed_scores(spark, SF_SMALL)
+    assert order == ["model", "arrivals"]
+    lines = spark.read.text(seen["source"])
+    plain = lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    on_disk = sum(os.path.getsize(f.removeprefix("file://")) for f in lines.inputFiles())
+    assert on_disk < plain / 5
+    assert lines.count() == catalog.raw_incidents(spark, SF_SMALL).count()
+    valid = catalog.quality.validate(catalog.quality.normalize_text(catalog.raw_incidents(spark, SF_SMALL))).where("is_valid")
+    assert scored.drop("batch_id").exceptAll(resolution.score(model, valid)).count() == 0 and scored.count() == valid.count()
